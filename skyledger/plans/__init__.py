@@ -1,6 +1,6 @@
 """Contract queries: one module per domain, all registered in ``registry``."""
 
-from skyledger.plans import billing  # noqa: F401
+from skyledger.plans import billing, nested, text  # noqa: F401
 from skyledger.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]
