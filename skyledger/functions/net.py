@@ -38,7 +38,7 @@ def cidr_bounds(cidr: Column) -> Column:
     is_any = cidr == F.lit("*")
     addr = ip_to_long(F.substring_index(cidr, "/", 1))
     prefix = F.coalesce(F.substring_index(cidr, "/", -1).cast("int"), F.lit(32))
-    size = F.shiftleft(F.lit(1).cast("bigint"), F.lit(32) - prefix)
+    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - prefix)
     start = addr - F.pmod(addr, size)
     return F.when(is_any, F.struct(F.lit(0).cast("bigint").alias("start"),
                                    F.lit(4294967295).cast("bigint").alias("end"),
