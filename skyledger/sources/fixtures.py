@@ -97,7 +97,11 @@ def _case(col, mapping, default=None):
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request / flow log derived from events: one row per event."""
-    ev = read_table(spark, sf_dir, "events")
+    return requests_from_events(read_table(spark, sf_dir, "events"))
+
+
+def requests_from_events(ev: DataFrame) -> DataFrame:
+    """The request-log derivation on any events frame (batch or streaming)."""
     base = _case(ev.event_id % 4, [(i, F.lit(ip_literal_to_long(b)))
                                    for i, b in enumerate(REQUEST_BASES)])
     ip_num = (base + ev.user_id).cast("bigint")
@@ -117,7 +121,10 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Health-probe log: instance = user, failure = error event, latency = value/50 s."""
-    ev = read_table(spark, sf_dir, "events")
+    return probes_from_events(read_table(spark, sf_dir, "events"))
+
+
+def probes_from_events(ev: DataFrame) -> DataFrame:
     return ev.select(ev.event_id.alias("probe_id"), ev.user_id.alias("instance"), ev.ts,
                      (ev.event_type != "error").alias("ok"),
                      (ev.value / F.lit(50.0)).alias("latency_s"))
