@@ -12,13 +12,19 @@ from skyledger.sources.fixtures import billing
 DATASET, TABLE = "billing_lab", "billing_export"
 
 
+def _load(spark, sf) -> str:
+    return C.load_table(spark, billing(spark, sf), DATASET, TABLE, source_tag=f"billing:{sf}")
+
+
 def _loaded(spark, sf) -> str:
-    return C.load_table(spark, billing(spark, sf), DATASET, TABLE)
+    """The billing table loaded from ``sf``; loaded now if it is missing or stale."""
+    name = f"{DATASET}.{TABLE}"
+    return name if C.loaded_from(spark, name) == f"billing:{sf}" else _load(spark, sf)
 
 
 @register("load_table", f"SELECT {_FLAT} FROM billing", ("billing",))
 def load_table(spark, sf):
-    return B.flatten(spark.table(_loaded(spark, sf)))
+    return B.flatten(spark.table(_load(spark, sf)))
 
 
 @register("describe_table")

@@ -52,17 +52,39 @@ def read_source(spark: SparkSession, path: str, fmt: str, schema: T.StructType |
         raise
 
 
+SOURCE_PROPERTY = "skyledger.source"
+
+
 def load_table(spark: SparkSession, source: DataFrame | str, dataset: str, table: str,
-               fmt: str = "parquet", mode: str = "overwrite") -> str:
-    """Load a DataFrame (or a file in ``fmt``) into dataset.table; schema from the source."""
+               fmt: str = "parquet", mode: str = "overwrite", source_tag: str | None = None) -> str:
+    """Load a DataFrame (or a file in ``fmt``) into dataset.table; schema from the source.
+
+    ``source_tag`` is stored as a table property so later steps can tell
+    which input the table holds (see ``loaded_from``).
+    """
     df = read_source(spark, source, fmt) if isinstance(source, str) else source
     create_dataset(spark, dataset)
     name = f"{_ident(dataset)}.{_ident(table)}"
     path = scratch_path(spark, "warehouse", dataset, table)
     df.write.mode(mode).format("parquet").option("path", path).saveAsTable(name)
+    tag = source_tag if source_tag is not None else (source if isinstance(source, str) else None)
+    if tag is not None:
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{SOURCE_PROPERTY}' = '{_quote(tag)}')")
     return name
 
 
+def _quote(s: str) -> str:
+    return s.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def loaded_from(spark: SparkSession, name: str) -> str | None:
+    """The source tag of an existing table, or None when the table is absent."""
+    if not spark.catalog.tableExists(name):
+        return None
+    props = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return props.get(SOURCE_PROPERTY)
+
+
 def describe_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")
 

@@ -3,7 +3,7 @@
 Each function reads the parquet tables under ``sf_dir`` and returns a lazy
 DataFrame with the shape of one input of the labs (billing export, request
 log, probe log, policy documents, object inventory, ...). The same
-definitions are written in DuckDB SQL in ``skyledger.plans.oracle``; keep
+definitions are written in DuckDB SQL in ``skyledger.plans.oracle_fixtures``; keep
 the two in step.
 
 Only the TPC-H nation table (25 rows by specification) and the literal
