@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.scan import running, seq_bucket
+from skyledger.operators.sizing import bounded_broadcast
 
 KEY = ["member", "resource", "role"]
 
@@ -32,36 +33,42 @@ def effective_bindings(log: DataFrame) -> DataFrame:
 
 
 def check_access(attempts: DataFrame, log: DataFrame, role_permissions: DataFrame,
-                 bucket_width: int = 1 << 14, max_role_rows: int = 100_000) -> DataFrame:
-    """Decide every attempt (seq, member, resource, permission) as of its seq."""
-    n_roles = role_permissions.count()
-    if n_roles > max_role_rows:
-        raise ValueError(f"role table has {n_roles} rows; expected a small catalogue")
-    # one probe row per role that could grant the attempted permission
-    probes = attempts.join(F.broadcast(role_permissions), on="permission").select(
-        F.col("seq"), "member", "resource", "role", F.col("seq").alias("attempt_seq"))
+                 bucket_width: int = 1 << 14, max_role_bytes: int = 64 << 20) -> DataFrame:
+    """Decide every attempt (seq, member, resource, permission) as of its seq.
+
+    1. as-of the last reset of the attempt's resource (scan keyed by resource);
+    2. one probe row per role that could grant the permission (the role
+       catalogue is broadcast when its estimated size is within the bound,
+       joined normally otherwise; an attempt whose permission no
+       role grants keeps one probe with an empty role, which nothing holds);
+    3. as-of the last add/remove of (member, resource, role) before the
+       attempt (scan keyed by member, resource, role);
+    4. one aggregate per attempt: allowed = any role held and not reset since.
+    """
+    roles = bounded_broadcast(role_permissions, max_role_bytes)
+    att = attempts.select("seq", "member", "resource", "permission")
+
+    resets = log.where(F.col("action") == "reset").select(
+        "seq", "resource", F.lit(None).cast("bigint").alias("member"),
+        F.lit(None).cast("string").alias("permission"), F.lit(True).alias("is_reset"))
+    r = running(att.withColumn("is_reset", F.lit(False)).unionByName(resets), ["resource"], ["seq"],
+                seq_bucket("seq", bucket_width),
+                {"reset_seq": ("last", F.when(F.col("is_reset"), F.col("seq")))}, exclusive=True)
+    att = r.where(~F.col("is_reset")).drop("is_reset")
+
+    probes = att.join(roles, on="permission", how="left").select(
+        "seq", "member", "resource", F.coalesce(F.col("role"), F.lit("")).alias("role"),
+        F.col("seq").alias("attempt_seq"), "permission", "reset_seq",
+        F.lit(None).cast("struct<seq:bigint,action:string>").alias("act"))
     grants = log.where(F.col("action").isin("add", "remove")).select(
         "seq", "member", "resource", "role", F.lit(None).cast("bigint").alias("attempt_seq"),
+        F.lit(None).cast("string").alias("permission"), F.lit(None).cast("bigint").alias("reset_seq"),
         F.struct("seq", "action").alias("act"))
-    u = grants.unionByName(probes.withColumn("act", F.lit(None).cast("struct<seq:bigint,action:string>")))
-    u = running(u, KEY, ["seq"], seq_bucket("seq", bucket_width),
+    u = running(grants.unionByName(probes), KEY, ["seq"], seq_bucket("seq", bucket_width),
                 {"last_act": ("last", F.col("act"))}, exclusive=True)
-    held = u.where(F.col("attempt_seq").isNotNull()).select(
-        "attempt_seq", "resource", F.col("last_act.seq").alias("act_seq"),
-        F.col("last_act.action").alias("act_action"))
-
-    resets = log.where(F.col("action") == "reset").select(
-        "seq", "resource", F.lit(None).cast("bigint").alias("attempt_seq"), F.col("seq").alias("reset"))
-    at = attempts.select("seq", "resource", F.col("seq").alias("attempt_seq"),
-                         F.lit(None).cast("bigint").alias("reset"))
-    r = running(resets.unionByName(at), ["resource"], ["seq"], seq_bucket("seq", bucket_width),
-                {"reset_seq": ("last", F.col("reset"))}, exclusive=True)
-    r = r.where(F.col("attempt_seq").isNotNull()).select("attempt_seq", "reset_seq")
 
-    ok = (F.col("act_action") == "add") & (
-        F.col("reset_seq").isNull() | (F.col("act_seq") > F.col("reset_seq")))
-    per_attempt = held.join(r, on="attempt_seq", how="left").groupBy("attempt_seq").agg(
-        F.bool_or(ok).alias("allowed"))
-    return (attempts.join(per_attempt, attempts.seq == per_attempt.attempt_seq, "left")
-            .select(attempts.seq.alias("attempt_seq"), "member", "resource", "permission",
-                    F.coalesce(F.col("allowed"), F.lit(False)).alias("allowed")))
+    held = (F.col("last_act.action") == "add") & (
+        F.col("reset_seq").isNull() | (F.col("last_act.seq") > F.col("reset_seq")))
+    return (u.where(F.col("attempt_seq").isNotNull())
+            .groupBy("attempt_seq", "member", "resource", "permission")
+            .agg(F.coalesce(F.bool_or(held), F.lit(False)).alias("allowed")))

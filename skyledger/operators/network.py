@@ -3,8 +3,8 @@
 Rule sets (firewall rules, security policies) are configuration: tens of
 rows. They are size-checked and then either embedded as a literal array
 and evaluated per row with higher-order functions (no join, no shuffle),
-or — beyond the bound — joined by network (broadcast while the rule table
-stays under the broadcast bound, shuffled otherwise) and reduced per
+or — beyond the bound — joined by network (broadcast while the rule
+table's estimated size stays under the broadcast bound, shuffled otherwise) and reduced per
 connection with ``min_by``.
 """
 
@@ -15,17 +15,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions.net import cidr_bounds, ip_to_long, parse_rule_spec, spec_matches
+from skyledger.operators.sizing import bounded_broadcast, literal_table
 from skyledger.sources import literals
 
 MAX_EMBEDDED_RULES = 1_000
-MAX_BROADCAST_RULES = 1_000_000
+MAX_BROADCAST_BYTES = 256 << 20
 
 RULE_SCHEMA = ("name string, network string, direction string, priority int, action string, "
                "rules string, source_ranges array<string>, target_tags array<string>")
 
 
 def firewall_rules(spark) -> DataFrame:
-    return spark.createDataFrame(literals.FIREWALL_RULES, RULE_SCHEMA)
+    return literal_table(spark, literals.FIREWALL_RULES, RULE_SCHEMA)
 
 
 def prepare_rules(rules: DataFrame) -> DataFrame:
@@ -67,16 +68,16 @@ def firewall_decide(conns: DataFrame, rules: DataFrame, id_col: str = "request_i
     ``conns`` needs: id_col, network, ip_num, protocol, port, target_tags.
     """
     prepared = prepare_rules(rules)
-    n = prepared.count()
-    if n <= MAX_EMBEDDED_RULES:
-        lit_rules = _literal_rules(prepared.collect())
+    head = prepared.limit(MAX_EMBEDDED_RULES + 1).collect() if MAX_EMBEDDED_RULES > 0 else [None]
+    if len(head) <= MAX_EMBEDDED_RULES:
+        lit_rules = _literal_rules(head)
         matched = F.filter(lit_rules, lambda r: _rule_applies(
             r, F.col("network"), F.col("ip_num"), F.col("protocol"), F.col("port"), F.col("target_tags")))
         best = F.array_min(F.transform(matched, lambda r: F.struct(
             r["priority"].alias("priority"), r["name"].alias("name"), r["action"].alias("action"))))
         out = conns.withColumn("__best", best)
     else:
-        r = prepared if n > MAX_BROADCAST_RULES else F.broadcast(prepared)
+        r = bounded_broadcast(prepared, MAX_BROADCAST_BYTES)
         cond = (conns.network == r.network) & _rule_applies(
             F.struct(*[r[c].alias(c) for c in ("network", "ranges", "specs", "tags")]),
             conns.network, conns.ip_num, conns.protocol, conns.port, conns.target_tags)
@@ -141,9 +142,8 @@ def policy_first_match(requests: DataFrame, ip: str = "ip",
 
 def resolve_network(instances: DataFrame, subnets: DataFrame) -> DataFrame:
     """instance -> subnet -> network (the subnet catalogue is broadcast after a size check)."""
-    if subnets.count() > MAX_BROADCAST_RULES:
-        raise ValueError("subnet catalogue too large to broadcast")
-    return instances.join(F.broadcast(subnets.select("subnet", "network", "region")), on="subnet", how="left")
+    cat = bounded_broadcast(subnets.select("subnet", "network", "region"), MAX_BROADCAST_BYTES)
+    return instances.join(cat, on="subnet", how="left")
 
 
 def reachability(conns: DataFrame, located: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:

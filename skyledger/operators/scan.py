@@ -38,9 +38,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
         if kind not in KINDS:
             raise ValueError(f"{out}: unsupported kind {kind}")
     v = {out: f"__v_{out}" for out in aggs}
-    d = df.withColumn(_B, bucket)
-    for out, (_, expr) in aggs.items():
-        d = d.withColumn(v[out], expr)
+    d = df.select("*", bucket.alias(_B), *[expr.alias(v[out]) for out, (_, expr) in aggs.items()])
 
     end = -1 if exclusive else Window.currentRow
     w_local = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
@@ -49,30 +47,26 @@ def running(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
     summaries, local = [], {}
     for out, (kind, _) in aggs.items():
         c = F.col(v[out])
-        if kind == "sum":
-            local[out] = F.sum(c).over(w_local)
-            summaries.append(F.sum(c).alias(f"__s_{out}"))
-        elif kind == "max":
-            local[out] = F.max(c).over(w_local)
-            summaries.append(F.max(c).alias(f"__s_{out}"))
-        elif kind == "min":
-            local[out] = F.min(c).over(w_local)
-            summaries.append(F.min(c).alias(f"__s_{out}"))
-        else:
+        if kind == "last":
             local[out] = F.last(c, ignorenulls=True).over(w_local)
             summaries.append(F.max_by(c, F.when(c.isNotNull(), ordkey)).alias(f"__s_{out}"))
+        else:
+            fn = _AGG[kind]
+            local[out] = fn(c).over(w_local)
+            summaries.append(fn(c).alias(f"__s_{out}"))
 
     summary = d.groupBy(*keys, _B).agg(*summaries)
     w_carry = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []
     for out, (kind, _) in aggs.items():
         s = F.col(f"__s_{out}")
-        fn = {"sum": F.sum, "max": F.max, "min": F.min}.get(kind)
-        carry_cols.append((fn(s) if fn else F.last(s, ignorenulls=True)).over(w_carry).alias(f"__c_{out}"))
+        agg = F.last(s, ignorenulls=True) if kind == "last" else _AGG[kind](s)
+        carry_cols.append(agg.over(w_carry).alias(f"__c_{out}"))
     carry = summary.select(*keys, _B, *carry_cols)
 
     d = d.select("*", *[local[out].alias(f"__l_{out}") for out in aggs])
     j = d.join(carry, on=[*keys, _B], how="left")
+    results = []
     for out, (kind, _) in aggs.items():
         lv, cv = F.col(f"__l_{out}"), F.col(f"__c_{out}")
         if kind == "sum":
@@ -84,9 +78,13 @@ def running(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
             res = F.least(lv, cv)
         else:
             res = F.coalesce(lv, cv)
-        j = j.withColumn(out, res)
-    drop = [_B, *v.values(), *[f"__l_{o}" for o in aggs], *[f"__c_{o}" for o in aggs]]
-    return j.drop(*drop)
+        results.append(res.alias(out))
+    internal = {_B, *v.values(), *[f"__l_{o}" for o in aggs], *[f"__c_{o}" for o in aggs]}
+    keep = [c for c in j.columns if c not in internal and c not in aggs]
+    return j.select(*keep, *results)
+
+
+_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def seq_bucket(seq: str, width: int) -> Column:

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from skyledger.operators import billing as B
+from skyledger.plans.loaded import billing_table as billing
 from skyledger.plans.registry import register
-from skyledger.sources.fixtures import billing
 
 _TIE = "order_key, line_number, part_key, supp_key, usage_amount, usage_end_time"
 _FLAT = ("billing_account_id, project_id, project_name, service_description, sku_description, "

@@ -4,22 +4,11 @@ from __future__ import annotations
 
 from skyledger.operators import billing as B
 from skyledger.plans.billing import _FLAT, _Q1
+from skyledger.plans.loaded import billing_table_name as _loaded
+from skyledger.plans.loaded import load_billing as _load
 from skyledger.plans.registry import register
 from skyledger.session import scratch_path
 from skyledger.sources import catalog as C
-from skyledger.sources.fixtures import billing
-
-DATASET, TABLE = "billing_lab", "billing_export"
-
-
-def _load(spark, sf) -> str:
-    return C.load_table(spark, billing(spark, sf), DATASET, TABLE, source_tag=f"billing:{sf}")
-
-
-def _loaded(spark, sf) -> str:
-    """The billing table loaded from ``sf``; loaded now if it is missing or stale."""
-    name = f"{DATASET}.{TABLE}"
-    return name if C.loaded_from(spark, name) == f"billing:{sf}" else _load(spark, sf)
 
 
 @register("load_table", f"SELECT {_FLAT} FROM billing", ("billing",))
@@ -44,6 +33,6 @@ def table_stats(spark, sf):
 
 @register("csv_roundtrip", f"SELECT {_Q1}, usage_end_time FROM billing", ("billing",))
 def csv_roundtrip(spark, sf):
-    flat = B.flatten(billing(spark, sf), B.QUERY1_FIELDS + ["usage_end_time"])
+    flat = B.flatten(spark.table(_loaded(spark, sf)), B.QUERY1_FIELDS + ["usage_end_time"])
     path = C.write_csv(flat, scratch_path(spark, "csv"))
     return C.read_csv(spark, path, flat.schema)

@@ -20,14 +20,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions.net import ip_literal_to_long, long_to_ip
+from skyledger.operators.sizing import literal_table, plan_bytes
 from skyledger.sources import literals
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
+MIN_SPLIT_BYTES = 1 << 20
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame, min_split_bytes: int = MIN_SPLIT_BYTES) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A parquet file with one row group is one split however large it is, and
+    broadcast joins keep that single partition, so one core would do all the
+    work. When the input has fewer files than ``defaultParallelism`` and is
+    large enough (``min_split_bytes`` per split, at least four splits), it is
+    spread round-robin. Large inputs already scan in many splits, and there
+    this is a no-op. Only the file list and plan statistics are consulted.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    n_files = len(df.inputFiles())
+    if n_files >= par:
+        return df
+    size = plan_bytes(df)
+    want = min(par, size // min_split_bytes)
+    return df.repartition(want) if want >= max(4, 2 * n_files) else df
 
 
 # ------------------------------------------------------------------ billing
@@ -182,7 +205,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def role_permissions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(literals.ROLE_PERMISSIONS, "role string, permission string")
+    return literal_table(spark, literals.ROLE_PERMISSIONS, "role string, permission string")
 
 
 # ----------------------------------------------------------------- objects
@@ -256,8 +279,7 @@ MACHINE_TYPES = ["e2-micro", "e2-medium", "e2-standard-2"]
 
 
 def subnets(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(literals.SUBNETS,
-                                 "subnet string, network string, region string, range string")
+    return literal_table(spark, literals.SUBNETS, "subnet string, network string, region string, range string")
 
 
 def _instances_from(df, key, prefix):

@@ -74,7 +74,7 @@ def test_firewall_priority_tags_and_default_deny(spark):
                    5: ("ALLOW", "allow-http"), 6: ("ALLOW", "privatenet-allow-icmp-ssh-rdp")}
     # the join path (large rule sets) gives the same answer
     old = NW.MAX_EMBEDDED_RULES
-    NW.MAX_EMBEDDED_RULES = 0
+    NW.MAX_EMBEDDED_RULES = 0  # forces the join path
     try:
         got2 = {r.request_id: (r.decision, r.rule_name) for r in NW.firewall_decide(conns, rules).collect()}
     finally:
