@@ -39,7 +39,7 @@ def probe_outcomes(probes: DataFrame, timeout_s: float = HC["timeout_s"],
 
 def health_state(outcomes: DataFrame, healthy_threshold: int = HC["healthy_threshold"],
                  unhealthy_threshold: int = HC["unhealthy_threshold"],
-                 bucket_s: int = 86400) -> DataFrame:
+                 bucket_s: int = 3600) -> DataFrame:
     """State after each probe (probe_id, instance, ts, success, counted, state)."""
     c = outcomes.where("counted")
     bucket = time_bucket("ts", bucket_s)

@@ -92,6 +92,8 @@ def seq_bucket(seq: str, width: int) -> Column:
     return F.floor(F.col(seq) / F.lit(width))
 
 
-def time_bucket(ts: str, width_s: int) -> Column:
-    """Epoch-aligned bucket number of a timestamp, ``width_s`` seconds wide."""
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(width_s * 1_000_000))
+def time_bucket(ts: str, width_s: float) -> Column:
+    """Epoch-aligned bucket number of a timestamp, ``width_s`` seconds wide
+    (sub-second widths allowed)."""
+    width_us = max(1, int(round(width_s * 1_000_000)))
+    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(width_us))

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,27 +34,39 @@ STATE_SCHEMA = "first_us long, run_ok boolean, run_len long, state string"
 def advance(key, batches: Iterator[pd.DataFrame], state: GroupState,
             timeout_s: float = HC["timeout_s"], initial_delay_s: int = HC["initial_delay_s"],
             up: int = HC["healthy_threshold"], down: int = HC["unhealthy_threshold"]) -> Iterator[pd.DataFrame]:
+    """Advance one instance's state machine over its new probes (vectorised).
+
+    Runs of equal outcomes are numbered with a cumulative sum of changes;
+    the run that was open at the end of the previous micro-batch continues
+    when the first new outcome matches it. A probe is decisive when its run
+    reaches the threshold; the state is the last decisive outcome so far.
+    """
     pdf = pd.concat(list(batches), ignore_index=True)
     if pdf.empty:
         return
     pdf = pdf.sort_values(["ts", "probe_id"], kind="mergesort").reset_index(drop=True)
-    ts_us = pdf["ts"].astype("datetime64[us]").astype("int64")
+    ts_us = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()
     if state.exists:
         first_us, run_ok, run_len, cur = state.get
     else:
-        first_us, run_ok, run_len, cur = int(ts_us.iloc[0]), None, 0, "UNKNOWN"
+        first_us, run_ok, run_len, cur = int(ts_us[0]), None, 0, "UNKNOWN"
     success = (pdf["ok"].astype(bool) & (pdf["latency_s"] <= float(timeout_s))).to_numpy()
-    counted = (ts_us >= first_us + int(initial_delay_s) * 1_000_000).to_numpy()
-    states = []
-    for ok, c in zip(success, counted):
-        if c:
-            run_len = run_len + 1 if run_ok is not None and bool(ok) == run_ok else 1
-            run_ok = bool(ok)
-            if run_ok and run_len >= up:
-                cur = "HEALTHY"
-            elif not run_ok and run_len >= down:
-                cur = "UNHEALTHY"
-        states.append(cur if c else "UNKNOWN")
+    counted = ts_us >= first_us + int(initial_delay_s) * 1_000_000
+    states = np.full(len(pdf), "UNKNOWN", dtype=object)
+
+    ok = success[counted]
+    if len(ok):
+        change = np.empty(len(ok), dtype=bool)
+        change[0] = run_ok is None or bool(ok[0]) != run_ok
+        change[1:] = ok[1:] != ok[:-1]
+        grp = np.cumsum(change)
+        lens = pd.Series(1, index=range(len(ok))).groupby(grp).cumsum().to_numpy()
+        if not change[0]:
+            lens[grp == grp[0]] += run_len
+        mark = np.where(ok & (lens >= up), "HEALTHY", np.where(~ok & (lens >= down), "UNHEALTHY", None))
+        st = pd.Series(mark, dtype=object).ffill().fillna(cur).to_numpy()
+        states[counted] = st
+        run_ok, run_len, cur = bool(ok[-1]), int(lens[-1]), str(st[-1])
     state.update((int(first_us), run_ok, int(run_len), cur))
     yield pd.DataFrame({"probe_id": pdf["probe_id"], "instance": pdf["instance"], "ts": pdf["ts"],
                         "success": success, "counted": counted, "state": states})
