@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions.net import cidr_bounds, ip_to_long, parse_rule_spec, spec_matches
-from skyledger.operators.sizing import bounded_broadcast, literal_table
+from skyledger.operators.sizing import bounded_broadcast, literal_array, literal_table
 from skyledger.sources import literals
 
 MAX_EMBEDDED_RULES = 1_000
@@ -47,17 +47,17 @@ def _rule_applies(r: Column, network: Column, ip_num: Column, protocol: Column,
                 tags, F.array().cast("array<string>")))))
 
 
+_PREPARED = ("priority int, name string, action string, network string, "
+             "specs array<struct<protocol:string,port:int>>, ranges array<struct<start:bigint,end:bigint>>, "
+             "tags array<string>")
+
+
 def _literal_rules(rows) -> Column:
-    def struct_of(r):
-        specs = F.array(*[F.struct(F.lit(s["protocol"]).alias("protocol"),
-                                   F.lit(s["port"]).cast("int").alias("port")) for s in r["specs"]])
-        ranges = F.array(*[F.struct(F.lit(g["start"]).cast("bigint").alias("start"),
-                                    F.lit(g["end"]).cast("bigint").alias("end")) for g in r["ranges"]])
-        tags = F.array(*[F.lit(t) for t in r["tags"]]).cast("array<string>")
-        return F.struct(F.lit(r["priority"]).cast("int").alias("priority"), F.lit(r["name"]).alias("name"),
-                        F.lit(r["action"]).alias("action"), F.lit(r["network"]).alias("network"),
-                        specs.alias("specs"), ranges.alias("ranges"), tags.alias("tags"))
-    return F.array(*[struct_of(r) for r in rows])
+    """Prepared rules as one array<struct> literal (one expression, folded)."""
+    flat = [(r["priority"], r["name"], r["action"], r["network"],
+             [(s["protocol"], s["port"]) for s in r["specs"]],
+             [(g["start"], g["end"]) for g in r["ranges"]], list(r["tags"])) for r in rows]
+    return literal_array(None, flat, _PREPARED)
 
 
 def firewall_decide(conns: DataFrame, rules: DataFrame, id_col: str = "request_id") -> DataFrame:

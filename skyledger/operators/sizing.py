@@ -21,19 +21,37 @@ def bounded_broadcast(df: DataFrame, max_bytes: int) -> DataFrame:
     return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
 
 
-def literal_table(spark, rows, schema: str) -> DataFrame:
-    """A small fixed table as inline literals: the optimizer folds it into a
-    local relation with an exact size, so size checks see its true bound
-    (``createDataFrame`` over Python rows reports an unknown size)."""
+def sql_literal(v, dt) -> str:
+    """A Python value as a Spark SQL literal of type ``dt`` (strings escaped)."""
+    from pyspark.sql import types as T
+
+    if v is None:
+        return f"CAST(NULL AS {dt.simpleString()})"
+    if isinstance(dt, T.ArrayType):
+        items = ", ".join(sql_literal(x, dt.elementType) for x in v)
+        return f"CAST(array({items}) AS {dt.simpleString()})"
+    if isinstance(dt, T.StructType):
+        fields = ", ".join(f"'{f.name}', {sql_literal(v[f.name] if isinstance(v, dict) or hasattr(v, 'asDict') else v[i], f.dataType)}"
+                           for i, f in enumerate(dt.fields))
+        return f"named_struct({fields})"
+    if isinstance(dt, T.StringType):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dt, T.BooleanType):
+        return "TRUE" if v else "FALSE"
+    return f"CAST({v!r} AS {dt.simpleString()})"
+
+
+def literal_array(spark, rows, schema: str):
+    """A small fixed table as one array<struct> literal expression."""
     from pyspark.sql import types as T
 
     st = T._parse_datatype_string(schema)
+    return F.expr("array(" + ", ".join(sql_literal(r, st) for r in rows) + ")")
 
-    def lit(v, dt):
-        if isinstance(dt, T.ArrayType):
-            return F.array(*[lit(x, dt.elementType) for x in (v or [])]).cast(dt) if v is not None \
-                else F.lit(None).cast(dt)
-        return F.lit(v).cast(dt)
 
-    structs = [F.struct(*[lit(v, f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+def literal_table(spark, rows, schema: str) -> DataFrame:
+    """A small fixed table as inline literals: the optimizer folds it into a
+    local relation with an exact size, so size checks see its true bound
+    (``createDataFrame`` over Python rows reports an unknown size). Built as
+    one SQL expression, so it costs one call into the JVM."""
+    return spark.range(1).select(F.inline(literal_array(spark, rows, schema)))
