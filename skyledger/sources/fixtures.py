@@ -250,8 +250,9 @@ def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, line_no 1-based, n_lines, line) for every line of every document."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = F.split(F.col("text"), "\n")
-    return d.select("doc_id", F.size(lines).alias("n_lines"), F.posexplode(lines)) \
-        .select("doc_id", (F.col("pos") + 1).alias("line_no"), "n_lines", F.col("col").alias("line"))
+    return d.select("doc_id", F.size(lines).cast("bigint").alias("n_lines"), F.posexplode(lines)) \
+        .select("doc_id", (F.col("pos") + 1).cast("bigint").alias("line_no"), "n_lines",
+                F.col("col").alias("line"))
 
 
 # ------------------------------------------------------------ job records
