@@ -7,6 +7,7 @@ import math
 from decimal import Decimal
 
 from pyspark.sql import SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from skyledger.plans import ORACLE, QUERIES
 from skyledger.sources.fixtures import TABLES
@@ -58,11 +59,17 @@ def compare(spark: SparkSession, name: str, sf_dir: str, con=None) -> dict:
         res["status"] = "rows-only"
         return res
     con = con or duckdb_connection(sf_dir)
-    cur = con.execute(ORACLE[name])
-    d_cols = [c[0] for c in cur.description]
-    d_rows = _rows(d_cols, cur.fetchall())
+    tbl = con.sql(ORACLE[name]).to_arrow_table()
+    d_cols = tbl.column_names
+    d_rows = _rows(d_cols, [tuple(r.values()) for r in tbl.to_pylist()])
     res["oracle_rows"] = len(d_rows)
     res["columns_match"] = sorted(s_cols) == sorted(d_cols)
+    s_types = {f.name: str(f.type) for f in to_arrow_schema(df.schema)}
+    d_types = {f.name: str(f.type) for f in tbl.schema}
+    res["types_match"] = s_types == d_types
+    if not res["types_match"]:
+        res["type_diff"] = {k: (s_types.get(k), d_types.get(k)) for k in set(s_types) | set(d_types)
+                            if s_types.get(k) != d_types.get(k)}
     res["values_match"] = s_rows == d_rows
     if not res["columns_match"]:
         res["spark_cols"], res["oracle_cols"] = sorted(s_cols), sorted(d_cols)
@@ -70,5 +77,5 @@ def compare(spark: SparkSession, name: str, sf_dir: str, con=None) -> dict:
         diff_s = [r for r in s_rows if r not in set(d_rows)][:3]
         diff_d = [r for r in d_rows if r not in set(s_rows)][:3]
         res["spark_only"], res["oracle_only"] = diff_s, diff_d
-    res["status"] = "ok" if res["columns_match"] and res["values_match"] else "MISMATCH"
+    res["status"] = "ok" if res["columns_match"] and res["values_match"] and res["types_match"] else "MISMATCH"
     return res
