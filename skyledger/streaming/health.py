@@ -22,7 +22,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from skyledger.session import scratch_path
 from skyledger.sources import literals
 from skyledger.sources.fixtures import probes_from_events
-from skyledger.streaming.rate_limit import event_stream
+from skyledger.streaming.rate_limit import event_stream, wall_clock
 
 HC = literals.HEALTH_CHECK
 
@@ -91,4 +91,4 @@ def health_stream(spark: SparkSession, events_dir: str, glob: str = "events*.par
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.read.parquet(sink).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return spark.read.parquet(sink).withColumn("ts", wall_clock(F.col("ts"), spark))

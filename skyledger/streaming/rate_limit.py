@@ -1,7 +1,8 @@
 """Per-key rate-limit breaches over a request stream.
 
-Event time is the request timestamp (cast from TIMESTAMP_NTZ, which a
-watermark does not accept; sessions use UTC). Windows are tumbling and
+Event time is the request timestamp: the stored TIMESTAMP_NTZ wall clock
+read as a UTC instant (a watermark needs TIMESTAMP), so windows align as in
+batch in any session time zone. Windows are tumbling and
 epoch-aligned like the batch operator. Output mode is ``update``: every
 micro-batch emits the windows whose count changed, and state older than
 the watermark is dropped, so state stays bounded on an endless stream.
@@ -13,7 +14,7 @@ lost driver or executor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,13 +23,27 @@ from skyledger.sources import literals
 from skyledger.sources.fixtures import EVENT_SCHEMA, requests_from_events
 
 
+def event_time(ntz: Column, spark: SparkSession) -> Column:
+    """TIMESTAMP_NTZ wall clock -> the TIMESTAMP instant with that wall clock in UTC
+    (watermarks need TIMESTAMP; windows then align as in batch, whatever the
+    session time zone)."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return F.from_utc_timestamp(ntz.cast("timestamp"), tz)
+
+
+def wall_clock(ts: Column, spark: SparkSession) -> Column:
+    """Inverse of ``event_time``: the instant's UTC wall clock as TIMESTAMP_NTZ."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    return F.to_utc_timestamp(ts, tz).cast("timestamp_ntz")
+
+
 def event_stream(spark: SparkSession, directory: str, glob: str = "events*.parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Event files arriving in ``directory`` as a stream (explicit schema); ts as TIMESTAMP."""
+    """Event files arriving in ``directory`` as a stream (explicit schema); ts as event time."""
     r = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(directory).withColumn("ts", F.col("ts").cast("timestamp"))
+    return r.parquet(directory).withColumn("ts", event_time(F.col("ts"), spark))
 
 
 def start_rate_limit_stream(requests: DataFrame, sink: str, checkpoint: str, key: str = "ip",
@@ -54,7 +69,7 @@ def current_breaches(spark: SparkSession, sink: str, key: str = "ip",
     log = spark.read.parquet(sink)
     cur = log.groupBy(key, "window_start").agg(F.max_by("requests", "batch_id").alias("requests"))
     return cur.where(F.col("requests") > limit).select(
-        key, F.col("window_start").cast("timestamp_ntz").alias("window_start"), "requests")
+        key, wall_clock(F.col("window_start"), spark).alias("window_start"), "requests")
 
 
 def rate_limit_stream(spark: SparkSession, events_dir: str, limit: int, interval_s: int,

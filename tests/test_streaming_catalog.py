@@ -64,3 +64,14 @@ def test_formats_round_trip(spark, tmpdir_path):
         df.write.format(fmt).save(f"{tmpdir_path}/{fmt}")
         back = C.read_source(spark, f"{tmpdir_path}/{fmt}", fmt, "id int, v string")
         assert sorted(back.collect()) == sorted(df.collect())
+
+
+def test_stream_windows_do_not_depend_on_session_zone(spark, split_events):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        s = rate_limit_stream(spark, split_events, 1, 86400, max_files_per_trigger=2)
+        b = TR.rate_limit_breaches(fx.requests(spark, SF_SMALL), "ip", "ts", 1, 86400)
+        assert _rows(s, ["ip", "window_start", "requests"]) == _rows(b, ["ip", "window_start", "requests"])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
