@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.scan import running, seq_bucket
 from skyledger.operators.sizing import bounded_broadcast
+from skyledger.session import stage_table
 
 KEY = ["member", "resource", "role"]
 
@@ -54,7 +55,8 @@ def check_access(attempts: DataFrame, log: DataFrame, role_permissions: DataFram
     r = running(att.withColumn("is_reset", F.lit(False)).unionByName(resets), ["resource"], ["seq"],
                 seq_bucket("seq", bucket_width),
                 {"reset_seq": ("last", F.when(F.col("is_reset"), F.col("seq")))}, exclusive=True)
-    att = r.where(~F.col("is_reset")).drop("is_reset")
+    # written once: the role scan below reads its input twice
+    att = stage_table(r.where(~F.col("is_reset")).drop("is_reset"), "access-attempts")
 
     probes = att.join(roles, on="permission", how="left").select(
         "seq", "member", "resource", F.coalesce(F.col("role"), F.lit("")).alias("role"),

@@ -13,6 +13,8 @@ Batch plan (no per-instance window, so a very busy instance is split):
    (instance, outcome, ordinal) — unique keys, no skew;
 3. a decisive mark where the run reaches its threshold, and the state as
    the last mark so far (second scan).
+Intermediate results that later steps read more than once are written to
+the shared storage root (``stage_table``), so nothing is recomputed.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.scan import running, time_bucket
+from skyledger.session import stage_table
 from skyledger.sources import literals
 
 HC = literals.HEALTH_CHECK
@@ -41,7 +44,8 @@ def health_state(outcomes: DataFrame, healthy_threshold: int = HC["healthy_thres
                  unhealthy_threshold: int = HC["unhealthy_threshold"],
                  bucket_s: int = 3600) -> DataFrame:
     """State after each probe (probe_id, instance, ts, success, counted, state)."""
-    c = outcomes.where("counted")
+    c = stage_table(outcomes.where("counted").select("probe_id", "instance", "ts", "success", "counted"),
+                    "health-counted")
     bucket = time_bucket("ts", bucket_s)
     order = ["ts", "probe_id"]
     c = running(c, ["instance"], order, bucket, {
@@ -49,8 +53,10 @@ def health_state(outcomes: DataFrame, healthy_threshold: int = HC["healthy_thres
         "n_fail": ("sum", F.when(F.col("success"), 0).otherwise(1).cast("bigint")),
     })
     c = c.withColumn("n_ok", F.col("pos") - F.col("n_fail"))
-    # ordinal of each probe among probes with the same outcome
-    c = c.withColumn("ordinal", F.when(F.col("success"), F.col("n_ok")).otherwise(F.col("n_fail")))
+    # ordinal of each probe among probes with the same outcome; the scan result
+    # is used on both sides of the next join, so it is written once
+    c = stage_table(c.withColumn("ordinal", F.when(F.col("success"), F.col("n_ok")).otherwise(F.col("n_fail"))),
+                    "health-positions")
     other = c.select(F.col("instance").alias("o_instance"), F.col("success").alias("o_success"),
                      F.col("ordinal").alias("o_ordinal"), F.col("pos").alias("o_pos"))
     want = F.when(F.col("success"), F.col("n_fail")).otherwise(F.col("n_ok"))
@@ -59,7 +65,8 @@ def health_state(outcomes: DataFrame, healthy_threshold: int = HC["healthy_thres
     run_len = F.col("pos") - F.coalesce(F.col("o_pos"), F.lit(0))
     mark = (F.when(F.col("success") & (run_len >= healthy_threshold), F.lit("HEALTHY"))
             .when(~F.col("success") & (run_len >= unhealthy_threshold), F.lit("UNHEALTHY")))
-    j = j.withColumn("mark", mark)
+    j = stage_table(j.select("probe_id", "instance", "ts", "success", "counted", mark.alias("mark")),
+                    "health-marks")
     j = running(j, ["instance"], order, bucket, {"state": ("last", F.col("mark"))})
     counted = j.select("probe_id", "instance", "ts", "success", "counted",
                        F.coalesce(F.col("state"), F.lit("UNKNOWN")).alias("state"))

@@ -149,7 +149,7 @@ def reconcile(desired: DataFrame, actual: DataFrame, key: str = "name",
     """Idempotent create: 'create' when absent, 'skip' when present; or
     'recreate' (drop and create) for present keys in recreate mode."""
     present_action = {"create_if_absent": "skip", "recreate": "recreate"}[mode]
-    keys = actual.select(key)
-    absent = desired.join(keys, on=key, how="left_anti").withColumn("action", F.lit("create"))
-    present = desired.join(keys, on=key, how="left_semi").withColumn("action", F.lit(present_action))
-    return absent.unionByName(present)
+    present = actual.select(key).distinct().withColumn("__present", F.lit(True))
+    j = desired.join(present, on=key, how="left")
+    return j.withColumn("action", F.when(F.col("__present"), F.lit(present_action))
+                        .otherwise(F.lit("create"))).drop("__present")

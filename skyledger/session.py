@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -53,3 +53,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A unique path below the storage root for written intermediate tables."""
     root = storage_root(spark).rstrip("/")
     return "/".join([root, *parts, uuid.uuid4().hex])
+
+
+def stage_table(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result as parquet under the shared storage root and
+    read it back. This cuts the lineage: later steps that use the result more than
+    once read files instead of recomputing it, and a lost executor costs a
+    re-read, not a recomputation. Runs a job now."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "stages", label)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
