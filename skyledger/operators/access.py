@@ -49,24 +49,26 @@ def check_access(attempts: DataFrame, log: DataFrame, role_permissions: DataFram
     roles = bounded_broadcast(role_permissions, max_role_bytes)
     att = attempts.select("seq", "member", "resource", "permission")
 
+    # at equal seq an attempt sorts before log rows (kind 0 < 1), so it only
+    # sees grants and resets strictly before it
     resets = log.where(F.col("action") == "reset").select(
         "seq", "resource", F.lit(None).cast("bigint").alias("member"),
-        F.lit(None).cast("string").alias("permission"), F.lit(True).alias("is_reset"))
-    r = running(att.withColumn("is_reset", F.lit(False)).unionByName(resets), ["resource"], ["seq"],
+        F.lit(None).cast("string").alias("permission"), F.lit(1).alias("kind"))
+    r = running(att.withColumn("kind", F.lit(0)).unionByName(resets), ["resource"], ["seq", "kind"],
                 seq_bucket("seq", bucket_width),
-                {"reset_seq": ("last", F.when(F.col("is_reset"), F.col("seq")))}, exclusive=True)
+                {"reset_seq": ("last", F.when(F.col("kind") == 1, F.col("seq")))}, exclusive=True)
     # written once: the role scan below reads its input twice
-    att = stage_table(r.where(~F.col("is_reset")).drop("is_reset"), "access-attempts")
+    att = stage_table(r.where(F.col("kind") == 0).drop("kind"), "access-attempts")
 
     probes = att.join(roles, on="permission", how="left").select(
-        "seq", "member", "resource", F.coalesce(F.col("role"), F.lit("")).alias("role"),
-        F.col("seq").alias("attempt_seq"), "permission", "reset_seq",
-        F.lit(None).cast("struct<seq:bigint,action:string>").alias("act"))
+        "seq", F.lit(0).alias("kind"), "member", "resource",
+        F.coalesce(F.col("role"), F.lit("")).alias("role"), F.col("seq").alias("attempt_seq"),
+        "permission", "reset_seq", F.lit(None).cast("struct<seq:bigint,action:string>").alias("act"))
     grants = log.where(F.col("action").isin("add", "remove")).select(
-        "seq", "member", "resource", "role", F.lit(None).cast("bigint").alias("attempt_seq"),
-        F.lit(None).cast("string").alias("permission"), F.lit(None).cast("bigint").alias("reset_seq"),
-        F.struct("seq", "action").alias("act"))
-    u = running(grants.unionByName(probes), KEY, ["seq"], seq_bucket("seq", bucket_width),
+        "seq", F.lit(1).alias("kind"), "member", "resource", "role",
+        F.lit(None).cast("bigint").alias("attempt_seq"), F.lit(None).cast("string").alias("permission"),
+        F.lit(None).cast("bigint").alias("reset_seq"), F.struct("seq", "action").alias("act"))
+    u = running(grants.unionByName(probes), KEY, ["seq", "kind"], seq_bucket("seq", bucket_width),
                 {"last_act": ("last", F.col("act"))}, exclusive=True)
 
     held = (F.col("last_act.action") == "add") & (

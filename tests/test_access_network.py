@@ -95,3 +95,13 @@ def test_reachability_same_network_only(spark):
     conns = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "zz")], "src string, dst string")
     got = {(r.src, r.dst): r.path for r in NW.reachability(conns, inst).collect()}
     assert got == {("a", "b"): "internal", ("a", "c"): "external", ("a", "zz"): "external"}
+
+
+def test_grant_with_the_same_seq_is_not_seen(spark):
+    log = spark.createDataFrame([(5, 1, "b", "roles/viewer", "add"), (9, 1, "b", None, "reset"),
+                                 (12, 1, "b", "roles/viewer", "add")], LOG)
+    att = spark.createDataFrame([(5, 1, "b", "compute.instances.list"), (6, 1, "b", "compute.instances.list"),
+                                 (9, 1, "b", "compute.instances.list"), (10, 1, "b", "compute.instances.list")],
+                                ATT)
+    got = {r.attempt_seq: r.allowed for r in A.check_access(att, log, rp(spark)).collect()}
+    assert got == {5: False, 6: True, 9: True, 10: False}
