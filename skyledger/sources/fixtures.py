@@ -15,12 +15,12 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions.net import ip_literal_to_long, long_to_ip
-from skyledger.operators.sizing import literal_table, plan_bytes
+from skyledger.operators.sizing import literal_table, plan_bytes, sql_literal
 from skyledger.sources import literals
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -111,11 +111,12 @@ TYPE_PORTS = {"click": ("tcp", 80), "view": ("tcp", 22), "signup": ("tcp", 3389)
 TAG_SETS = [["http-server", "allow-health-checks"], ["iap-gce"], []]
 
 
-def _case(col, mapping, default=None):
-    expr = None
-    for k, v in mapping:
-        expr = (F.when(col == k, v) if expr is None else expr.when(col == k, v))
-    return expr.otherwise(default) if default is not None else expr
+def _case(col_sql: str, pairs, type_str: str, default=None) -> Column:
+    """CASE col WHEN k THEN v ... END as one SQL expression (one call into the JVM)."""
+    dt = T._parse_datatype_string(type_str)
+    key = lambda k: str(k) if isinstance(k, int) else sql_literal(k, T.StringType())
+    whens = " ".join(f"WHEN {key(k)} THEN {sql_literal(v, dt)}" for k, v in pairs)
+    return F.expr(f"CASE {col_sql} {whens} ELSE {sql_literal(default, dt)} END")
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,18 +126,15 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests_from_events(ev: DataFrame) -> DataFrame:
     """The request-log derivation on any events frame (batch or streaming)."""
-    base = _case(ev.event_id % 4, [(i, F.lit(ip_literal_to_long(b)))
-                                   for i, b in enumerate(REQUEST_BASES)])
+    base = _case("event_id % 4", [(i, ip_literal_to_long(b)) for i, b in enumerate(REQUEST_BASES)], "bigint")
     ip_num = (base + ev.user_id).cast("bigint")
-    tags = _case(ev.user_id % 3, [(i, F.array(*[F.lit(t) for t in ts]).cast("array<string>"))
-                                  for i, ts in enumerate(TAG_SETS)])
+    tags = _case("user_id % 3", list(enumerate(TAG_SETS)), "array<string>")
     return ev.select(
         ev.event_id.alias("request_id"), ev.ts, ev.user_id,
         long_to_ip(ip_num).alias("ip"), ip_num.alias("ip_num"),
-        _case(ev.user_id % 4, [(i, F.lit(n)) for i, n in enumerate(NETWORKS)]).alias("network"),
-        _case(ev.event_type, [(k, F.lit(v[0])) for k, v in TYPE_PORTS.items()]).alias("protocol"),
-        _case(ev.event_type, [(k, F.lit(v[1]).cast("int")) for k, v in TYPE_PORTS.items()])
-        .alias("port"),
+        _case("user_id % 4", list(enumerate(NETWORKS)), "string").alias("network"),
+        _case("event_type", [(k, v[0]) for k, v in TYPE_PORTS.items()], "string").alias("protocol"),
+        _case("event_type", [(k, v[1]) for k, v in TYPE_PORTS.items()], "int").alias("port"),
         tags.alias("target_tags"),
         ev.event_type,
     )
@@ -192,7 +190,7 @@ def grants(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(ev.value > 20, "add").otherwise("remove"))
     return ev.select(ev.event_id.alias("seq"), ev.user_id.alias("member"),
                      F.concat(F.lit("bucket-"), (ev.user_id % 10).cast("string")).alias("resource"),
-                     _case(ev.event_type, list(ROLE_BY_TYPE.items())).alias("role"),
+                     _case("event_type", list(ROLE_BY_TYPE.items()), "string").alias("role"),
                      action.alias("action"))
 
 
@@ -201,7 +199,7 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").where(F.col("event_id") % 5 == 0)
     return ev.select(ev.event_id.alias("seq"), ev.user_id.alias("member"),
                      F.concat(F.lit("bucket-"), (ev.user_id % 10).cast("string")).alias("resource"),
-                     _case(ev.event_type, list(PERMISSION_BY_TYPE.items())).alias("permission"))
+                     _case("event_type", list(PERMISSION_BY_TYPE.items()), "string").alias("permission"))
 
 
 def role_permissions(spark: SparkSession) -> DataFrame:
@@ -266,7 +264,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.struct(jid.alias("jobId"),
                  F.concat(F.lit("proj-"), o.o_custkey.cast("string")).alias("projectId")).alias("reference"),
-        F.struct(_case(o.o_orderstatus, list(JOB_STATE.items()), F.lit("ERROR")).alias("state"),
+        F.struct(_case("o_orderstatus", list(JOB_STATE.items()), "string", "ERROR").alias("state"),
                  o.o_orderdate.alias("stateStartTime")).alias("status"),
         F.concat(F.lit("gs://staging/driveroutput/"), jid, F.lit("/driveroutput")).alias(
             "driverOutputResourceUri"),
@@ -283,20 +281,20 @@ def subnets(spark: SparkSession) -> DataFrame:
     return literal_table(spark, literals.SUBNETS, "subnet string, network string, region string, range string")
 
 
-def _instances_from(df, key, prefix):
-    idx = key % len(literals.SUBNETS)
-    subnet = _case(idx, [(i, F.lit(s[0])) for i, s in enumerate(literals.SUBNETS)])
-    region = _case(idx, [(i, F.lit(s[2])) for i, s in enumerate(literals.SUBNETS)])
-    start = _case(idx, [(i, F.lit(ip_literal_to_long(s[3].split("/")[0])))
-                        for i, s in enumerate(literals.SUBNETS)])
-    suffix = _case(key % 3, [(i, F.lit(z)) for i, z in enumerate(ZONE_SUFFIX)])
-    tags = _case(key % 3, [(i, F.array(*[F.lit(t) for t in ts]).cast("array<string>"))
-                           for i, ts in enumerate(TAG_SETS)])
-    ip_num = (start + F.lit(2) + key % 250).cast("bigint")
+def _instances_from(df, key: str, prefix: str):
+    idx = f"{key} % {len(literals.SUBNETS)}"
+    subnet = _case(idx, [(i, sn[0]) for i, sn in enumerate(literals.SUBNETS)], "string")
+    region = _case(idx, [(i, sn[2]) for i, sn in enumerate(literals.SUBNETS)], "string")
+    start = _case(idx, [(i, ip_literal_to_long(sn[3].split("/")[0])) for i, sn in enumerate(literals.SUBNETS)],
+                  "bigint")
+    suffix = _case(f"{key} % 3", list(enumerate(ZONE_SUFFIX)), "string")
+    tags = _case(f"{key} % 3", list(enumerate(TAG_SETS)), "array<string>")
+    k = F.col(key)
+    ip_num = (start + F.lit(2) + k % 250).cast("bigint")
     return df.select(
-        F.concat(F.lit(prefix), key.cast("string")).alias("name"),
+        F.concat(F.lit(prefix), k.cast("string")).alias("name"),
         F.concat(region, F.lit("-"), suffix).alias("zone"),
-        _case(key % 3, [(i, F.lit(m)) for i, m in enumerate(MACHINE_TYPES)]).alias("machine_type"),
+        _case(f"{key} % 3", list(enumerate(MACHINE_TYPES)), "string").alias("machine_type"),
         subnet.alias("subnet"), tags.alias("tags"),
         long_to_ip(ip_num).alias("internal_ip"))
 
@@ -305,7 +303,7 @@ def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """VM inventory: one VM per customer ('vm-c<key>') and per supplier ('vm-s<key>')."""
     c = read_table(spark, sf_dir, "customer")
     s = read_table(spark, sf_dir, "supplier")
-    return _instances_from(c, c.c_custkey, "vm-c").unionByName(_instances_from(s, s.s_suppkey, "vm-s"))
+    return _instances_from(c, "c_custkey", "vm-c").unionByName(_instances_from(s, "s_suppkey", "vm-s"))
 
 
 def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -322,7 +320,7 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def project_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-customer project metadata as a key/value item list."""
     c = read_table(spark, sf_dir, "customer")
-    inst = _instances_from(c, c.c_custkey, "vm-c")
+    inst = _instances_from(c, "c_custkey", "vm-c")
     region = F.regexp_replace(F.col("zone"), "-[^-]*$", "")
     item = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
     return inst.select(
