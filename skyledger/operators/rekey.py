@@ -24,7 +24,7 @@ def encrypt(df: DataFrame, col: str, key: Column, out: str = "payload") -> DataF
 
 
 def rewrite(df: DataFrame, payload: str, old_key: Column, new_key: Column, where: Column) -> DataFrame:
-    """Re-encrypt the selected rows with the new key (``gsutil rewrite -k``)."""
+    """Re-encrypt the selected rows with the new key (the rewrite step of a rotation)."""
     re = F.aes_encrypt(F.aes_decrypt(F.col(payload), old_key, F.lit("GCM")), new_key, F.lit("GCM"))
     return df.withColumn(payload, F.when(where, re).otherwise(F.col(payload))) \
         .withColumn("rewritten", where)

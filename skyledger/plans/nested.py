@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from skyledger.operators import nested as N
 from skyledger.plans.registry import register
 from skyledger.sources import fixtures as fx
+from skyledger.sources import literals
 
 
 @register("json_props", """
@@ -57,8 +58,8 @@ SELECT 'proj-' || substr(name, 5) AS project, zone, regexp_replace(zone, '-[^-]*
 FROM instances WHERE name LIKE 'vm-c%'""", ("instances",))
 def map_lookup(spark, sf):
     return N.map_lookup(fx.project_metadata(spark, sf), "commonInstanceMetadata.items",
-                        {"zone": "google-compute-default-zone",
-                         "region": "google-compute-default-region"}, keep=("project",))
+                        {"zone": literals.METADATA_ZONE_KEY,
+                         "region": literals.METADATA_REGION_KEY}, keep=("project",))
 
 
 @register("list_sorted", """

@@ -8,6 +8,7 @@ from skyledger.functions import text as X
 from skyledger.operators.compute import pi_estimate
 from skyledger.plans.registry import register
 from skyledger.sources import fixtures as fx
+from skyledger.sources import literals as L
 
 LINE_PATTERN = "(License|token)"
 
@@ -37,17 +38,17 @@ def nth_field(spark, sf):
                         X.nth_word(F.col("html"), 5).alias("word5"))
 
 
-@register("concat_names", """
-SELECT c_custkey, 'proj-' || CAST(c_custkey AS VARCHAR) || '-minecraft-backup' AS bucket,
-       'read-bucket-objects@proj-' || CAST(c_custkey AS VARCHAR) || '.iam.gserviceaccount.com'
+@register("concat_names", f"""
+SELECT c_custkey, 'proj-' || CAST(c_custkey AS VARCHAR) || '{L.BACKUP_BUCKET_SUFFIX}' AS bucket,
+       '{L.SERVICE_ACCOUNT_NAME}@proj-' || CAST(c_custkey AS VARCHAR) || '{L.SERVICE_ACCOUNT_DOMAIN}'
            AS service_account
 FROM customer""")
 def concat_names(spark, sf):
     c = fx.read_table(spark, sf, "customer")
     proj = F.concat(F.lit("proj-"), c.c_custkey.cast("string"))
-    return c.select("c_custkey", F.concat(proj, F.lit("-minecraft-backup")).alias("bucket"),
-                    F.concat(F.lit("read-bucket-objects@"), proj,
-                             F.lit(".iam.gserviceaccount.com")).alias("service_account"))
+    return c.select("c_custkey", F.concat(proj, F.lit(L.BACKUP_BUCKET_SUFFIX)).alias("bucket"),
+                    F.concat(F.lit(L.SERVICE_ACCOUNT_NAME + "@"), proj,
+                             F.lit(L.SERVICE_ACCOUNT_DOMAIN)).alias("service_account"))
 
 
 @register("default_if_empty", """

@@ -325,8 +325,8 @@ def project_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     item = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
     return inst.select(
         F.concat(F.lit("proj-"), F.substring(F.col("name"), 5, 100)).alias("project"),
-        F.struct(F.array(item("google-compute-default-zone", F.col("zone")),
-                         item("google-compute-default-region", region),
+        F.struct(F.array(item(literals.METADATA_ZONE_KEY, F.col("zone")),
+                         item(literals.METADATA_REGION_KEY, region),
                          item("enable-oslogin", F.lit("TRUE")))
                  .alias("items")).alias("commonInstanceMetadata"))
 

@@ -107,6 +107,15 @@ HEALTH_CHECK = {"check_interval_s": 5, "timeout_s": 5,
 AUTOSCALER = {"target_utilization": 0.8, "max_rate_per_instance": 50.0,
               "capacity_scaler": 1.0, "min_replicas": 1, "max_replicas": 2}
 
+# Project metadata keys for the default zone and region.
+METADATA_ZONE_KEY = "google-compute-default-zone"
+METADATA_REGION_KEY = "google-compute-default-region"
+
+# Derived resource names: backup bucket suffix, service account name and domain.
+BACKUP_BUCKET_SUFFIX = "-minecraft-backup"
+SERVICE_ACCOUNT_NAME = "read-bucket-objects"
+SERVICE_ACCOUNT_DOMAIN = ".iam.gserviceaccount.com"
+
 # Dataset defaults and rate limit.
 DATASET_DEFAULT_TTL_S = 86400
 RATE_LIMIT = {"count": 500, "interval_s": 60}
