@@ -6,6 +6,7 @@ and in Structured Streaming.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,25 @@ def _interval(seconds: int) -> str:
     return f"{int(seconds)} seconds"
 
 
+def backend_settings(policy_json: str = literals.BACKEND_SERVICE_JSON) -> dict:
+    """Settings of a backend-service document that the request operators use:
+    cache-key policy, log sample rate, and the rate-based backend's capacity."""
+    doc = json.loads(policy_json)
+    key = doc.get("cdnPolicy", {}).get("cacheKeyPolicy", {})
+    rate = next((b for b in doc.get("backends", []) if b.get("balancingMode") == "RATE"), {})
+    return {
+        "cache_key": {"include_protocol": bool(key.get("includeProtocol", True)),
+                      "include_host": bool(key.get("includeHost", True)),
+                      "include_query": bool(key.get("includeQueryString", True))},
+        "sample_rate": float(doc.get("logConfig", {}).get("sampleRate", 1.0)),
+        "max_rate_per_instance": float(rate.get("maxRatePerInstance", literals.AUTOSCALER["max_rate_per_instance"])),
+        "capacity_scaler": float(rate.get("capacityScaler", literals.AUTOSCALER["capacity_scaler"])),
+    }
+
+
+BACKEND = backend_settings()
+
+
 def rate_limit_breaches(requests: DataFrame, key: str = "ip", ts: str = "ts",
                         limit: int = literals.RATE_LIMIT["count"],
                         interval_s: int = literals.RATE_LIMIT["interval_s"]) -> DataFrame:
@@ -47,9 +67,9 @@ def rate_limit_verdicts(requests: DataFrame, key: str = "ip", ts: str = "ts", id
 
 
 def replica_recommendation(load: DataFrame, group: str, ts: str, interval_s: int = 60,
-                           max_rate_per_instance: float = literals.AUTOSCALER["max_rate_per_instance"],
+                           max_rate_per_instance: float = BACKEND["max_rate_per_instance"],
                            target_utilization: float = literals.AUTOSCALER["target_utilization"],
-                           capacity_scaler: float = literals.AUTOSCALER["capacity_scaler"],
+                           capacity_scaler: float = BACKEND["capacity_scaler"],
                            min_replicas: int = literals.AUTOSCALER["min_replicas"],
                            max_replicas: int = literals.AUTOSCALER["max_replicas"]) -> DataFrame:
     """Replicas per (group, window) so that requests / (replicas * capacity) stays at
@@ -95,13 +115,17 @@ def cache_key(url: Column, include_protocol: bool = True, include_host: bool = T
 
 
 def requests_by_cache_key(df: DataFrame, url: str = "url", **policy: bool) -> DataFrame:
-    return df.groupBy(cache_key(F.col(url), **policy).alias("cache_key")).agg(
+    """Requests per cache key; the key policy defaults to the backend document's."""
+    flags = {**BACKEND["cache_key"], **policy}
+    return df.groupBy(cache_key(F.col(url), **flags).alias("cache_key")).agg(
         F.count(F.lit(1)).alias("requests"))
 
 
-def sample_logs(df: DataFrame, id_col: str, rate: float) -> DataFrame:
+def sample_logs(df: DataFrame, id_col: str, rate: float | None = None) -> DataFrame:
     """Keep a repeatable fraction of log rows: the first 32 bits of md5(id)
-    below rate * 2^32 (rate 1.0 keeps everything)."""
+    below rate * 2^32 (rate 1.0 keeps everything; default: the backend's
+    configured log sample rate)."""
+    rate = BACKEND["sample_rate"] if rate is None else rate
     if rate >= 1.0:
         return df
     h = F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("bigint")

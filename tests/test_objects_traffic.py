@@ -158,3 +158,9 @@ def test_scalar_functions(spark):
 def test_pi_job(spark):
     r = pi_job(spark, tasks=4, points_per_task=20000).first()
     assert abs(r.pi_estimate - 3.14159) < 0.05
+
+
+def test_backend_document_defaults():
+    b = TR.backend_settings()
+    assert b["cache_key"] == {"include_protocol": True, "include_host": True, "include_query": True}
+    assert (b["sample_rate"], b["max_rate_per_instance"], b["capacity_scaler"]) == (1.0, 50.0, 1.0)

@@ -38,3 +38,21 @@ def test_hot_key_is_split_into_buckets(spark):
     assert out.agg(F.max("n")).first()[0] == 5000
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "__bucket" in plan
+
+
+def test_size_checks_and_spread(spark):
+    from skyledger.operators.sizing import bounded_broadcast, literal_table, plan_bytes
+    from skyledger.sources import fixtures as fx
+    from skyledger.sources import literals
+
+    lit = literal_table(spark, literals.SUBNETS, "subnet string, network string, region string, range string")
+    assert plan_bytes(lit) < 1 << 20                       # exact, small
+    assert lit.count() == len(literals.SUBNETS)
+    rdd_backed = spark.createDataFrame(literals.SUBNETS, "a string, b string, c string, d string")
+    assert bounded_broadcast(rdd_backed, 1 << 20) is rdd_backed   # unknown size: no broadcast hint
+    joined = spark.range(10).withColumn("subnet", F.lit("privatesubnet-us")) \
+        .join(bounded_broadcast(lit, 1 << 20), on="subnet")
+    assert "Broadcast" in joined._jdf.queryExecution().executedPlan().toString()
+    # tiny files are never spread (the sf0.001 tables are far below the threshold)
+    ev = fx.read_table(spark, "/root/testdata/sf0.001", "events")
+    assert "Repartition" not in ev._jdf.queryExecution().optimizedPlan().toString()
