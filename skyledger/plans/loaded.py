@@ -22,7 +22,8 @@ _LOCK = threading.Lock()
 
 def load_billing(spark: SparkSession, sf: str) -> str:
     with _LOCK:
-        return C.load_table(spark, billing(spark, sf), DATASET, TABLE, source_tag=f"billing:{sf}")
+        return C.load_table(spark, billing(spark, sf), DATASET, TABLE, mode="overwrite",
+                            source_tag=f"billing:{sf}")
 
 
 def billing_table_name(spark: SparkSession, sf: str) -> str:
@@ -31,7 +32,8 @@ def billing_table_name(spark: SparkSession, sf: str) -> str:
     with _LOCK:
         if C.loaded_from(spark, name) == f"billing:{sf}":
             return name
-        return C.load_table(spark, billing(spark, sf), DATASET, TABLE, source_tag=f"billing:{sf}")
+        return C.load_table(spark, billing(spark, sf), DATASET, TABLE, mode="overwrite",
+                            source_tag=f"billing:{sf}")
 
 
 def billing_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -56,17 +56,22 @@ SOURCE_PROPERTY = "skyledger.source"
 
 
 def load_table(spark: SparkSession, source: DataFrame | str, dataset: str, table: str,
-               fmt: str = "parquet", mode: str = "overwrite", source_tag: str | None = None) -> str:
+               fmt: str = "parquet", mode: str = "append", source_tag: str | None = None) -> str:
     """Load a DataFrame (or a file in ``fmt``) into dataset.table; schema from the source.
 
-    ``source_tag`` is stored as a table property so later steps can tell
-    which input the table holds (see ``loaded_from``).
+    ``mode="append"`` (the default) adds rows to an existing table and creates
+    it otherwise; ``"overwrite"`` replaces it. ``source_tag`` is stored as a
+    table property so later steps can tell which input the table holds
+    (see ``loaded_from``).
     """
     df = read_source(spark, source, fmt) if isinstance(source, str) else source
     create_dataset(spark, dataset)
     name = f"{_ident(dataset)}.{_ident(table)}"
-    path = scratch_path(spark, "warehouse", dataset, table)
-    df.write.mode(mode).format("parquet").option("path", path).saveAsTable(name)
+    if mode == "append" and spark.catalog.tableExists(name):
+        df.write.mode("append").saveAsTable(name)
+    else:
+        path = scratch_path(spark, "warehouse", dataset, table)
+        df.write.mode(mode).format("parquet").option("path", path).saveAsTable(name)
     tag = source_tag if source_tag is not None else (source if isinstance(source, str) else None)
     if tag is not None:
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{SOURCE_PROPERTY}' = '{_quote(tag)}')")

@@ -75,3 +75,12 @@ def test_stream_windows_do_not_depend_on_session_zone(spark, split_events):
         assert _rows(s, ["ip", "window_start", "requests"]) == _rows(b, ["ip", "window_start", "requests"])
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_load_appends_by_default(spark):
+    df = spark.createDataFrame([(1,)], "id int")
+    name = C.load_table(spark, df, "t_ds", "t_append", mode="overwrite")
+    C.load_table(spark, df, "t_ds", "t_append")
+    assert spark.table(name).count() == 2
+    C.load_table(spark, df, "t_ds", "t_append", mode="overwrite")
+    assert spark.table(name).count() == 1
