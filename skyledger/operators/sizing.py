@@ -6,9 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+UNKNOWN_SIZE = 1 << 62
+
+
 def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a plan (exact for scans and local data)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's size estimate of a plan (exact for scans and local data).
+
+    Where the estimate is not reachable (e.g. a Spark Connect client) the size
+    counts as unknown, so nothing is broadcast or spread on its account.
+    """
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no JVM handle on this client
+        return UNKNOWN_SIZE
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int) -> DataFrame:

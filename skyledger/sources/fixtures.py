@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions.net import ip_literal_to_long, long_to_ip
-from skyledger.operators.sizing import literal_table, plan_bytes, sql_literal
+from skyledger.operators.sizing import UNKNOWN_SIZE, literal_table, plan_bytes, sql_literal
 from skyledger.sources import literals
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -44,11 +44,16 @@ def spread(df: DataFrame, min_split_bytes: int = MIN_SPLIT_BYTES) -> DataFrame:
     spread round-robin. Large inputs already scan in many splits, and there
     this is a no-op. Only the file list and plan statistics are consulted.
     """
-    par = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext on this client: leave the scan as it is
+        return df
     n_files = len(df.inputFiles())
     if n_files >= par:
         return df
     size = plan_bytes(df)
+    if size >= UNKNOWN_SIZE:
+        return df
     want = min(par, size // min_split_bytes)
     return df.repartition(want) if want >= max(4, 2 * n_files) else df
 
