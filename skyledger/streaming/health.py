@@ -11,6 +11,7 @@ applied in arrival order).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,9 +73,14 @@ def advance(key, batches: Iterator[pd.DataFrame], state: GroupState,
                         "success": success, "counted": counted, "state": states})
 
 
-def start_health_stream(probes: DataFrame, sink: str, checkpoint: str, available_now: bool = True):
+def start_health_stream(probes: DataFrame, sink: str, checkpoint: str, available_now: bool = True,
+                        timeout_s: float = HC["timeout_s"], initial_delay_s: int = HC["initial_delay_s"],
+                        healthy_threshold: int = HC["healthy_threshold"],
+                        unhealthy_threshold: int = HC["unhealthy_threshold"]):
+    step = functools.partial(advance, timeout_s=timeout_s, initial_delay_s=initial_delay_s,
+                             up=healthy_threshold, down=unhealthy_threshold)
     out = probes.groupBy("instance").applyInPandasWithState(
-        advance, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        step, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
     w = out.writeStream.outputMode("append").format("parquet").option("path", sink) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
@@ -82,12 +88,13 @@ def start_health_stream(probes: DataFrame, sink: str, checkpoint: str, available
 
 
 def health_stream(spark: SparkSession, events_dir: str, glob: str = "events*.parquet",
-                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run the probe stream over the available input and return the per-probe states."""
+                  max_files_per_trigger: int | None = None, **settings) -> DataFrame:
+    """Run the probe stream over the available input and return the per-probe states.
+    ``settings`` override the health-check thresholds (see ``start_health_stream``)."""
     root = scratch_path(spark, "streams", "health")
     sink, ckpt = f"{root}/sink", f"{root}/checkpoint"
     probes = probes_from_events(event_stream(spark, events_dir, glob, max_files_per_trigger))
-    q = start_health_stream(probes, sink, ckpt)
+    q = start_health_stream(probes, sink, ckpt, **settings)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

@@ -84,3 +84,10 @@ def test_load_appends_by_default(spark):
     assert spark.table(name).count() == 2
     C.load_table(spark, df, "t_ds", "t_append", mode="overwrite")
     assert spark.table(name).count() == 1
+
+
+def test_health_stream_custom_thresholds(spark, split_events):
+    s = health_stream(spark, split_events, max_files_per_trigger=1, healthy_threshold=3, unhealthy_threshold=1)
+    b = H.health_state(H.probe_outcomes(fx.probes(spark, SF_SMALL)), 3, 1)
+    cols = ["probe_id", "state"]
+    assert _rows(s, cols) == _rows(b, cols)
