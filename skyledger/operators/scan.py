@@ -88,12 +88,13 @@ _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def seq_bucket(seq: str, width: int) -> Column:
-    """Bucket of a dense integer sequence: at most ``width`` rows per (key, bucket)."""
-    return F.floor(F.col(seq) / F.lit(width))
+    """Bucket of a dense integer sequence: at most ``width`` rows per (key, bucket).
+    Exact integer division, monotone in ``seq``."""
+    return F.expr(f"`{seq}` div {int(width)}")
 
 
 def time_bucket(ts: str, width_s: float) -> Column:
     """Epoch-aligned bucket number of a timestamp, ``width_s`` seconds wide
     (sub-second widths allowed)."""
     width_us = max(1, int(round(width_s * 1_000_000)))
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(width_us))
+    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(width_us).cast("bigint"))

@@ -163,7 +163,7 @@ def policy_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation")
     return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
         F.concat(F.lit("projects/"), F.lower(n.n_name), F.lit("-"),
-                 F.floor(c.c_custkey / 100).cast("string")).alias("resource"),
+                 F.expr("c_custkey div 100").cast("string")).alias("resource"),
         F.concat(F.lit("roles/"), F.lower(c.c_mktsegment)).alias("role"),
         F.concat(F.lit("user:"), c.c_name).alias("member"))
 
