@@ -90,3 +90,32 @@ def cost_by_service(spark, sf):
           f"SELECT * FROM ({_COST_BY_SERVICE}) ORDER BY total_cost DESC, service_description LIMIT 1", F)
 def top_service_by_cost(spark, sf):
     return B.top_service_by_cost(billing(spark, sf))
+
+
+def _top1_sql(inner: str, value: str, key: str) -> str:
+    return f"SELECT * FROM ({inner}) ORDER BY {value} DESC, {key} LIMIT 1"
+
+
+_BY_SERVICE = ("SELECT service_description, COUNT(*) AS billing_records FROM billing{where} "
+               "GROUP BY service_description")
+
+
+@register("top_service_by_records",
+          _top1_sql(_BY_SERVICE.format(where=""), "billing_records", "service_description"), F)
+def top_service_by_records(spark, sf):
+    return B.top1(B.records_by(billing(spark, sf), "service.description"),
+                  "billing_records", "service_description")
+
+
+@register("top_service_over_1",
+          _top1_sql(_BY_SERVICE.format(where=" WHERE cost > 1"), "billing_records", "service_description"), F)
+def top_service_over_1(spark, sf):
+    return B.top1(B.records_by(billing(spark, sf), "service.description", 1),
+                  "billing_records", "service_description")
+
+
+@register("top_unit_with_cost",
+          _top1_sql("SELECT usage_unit, COUNT(*) AS billing_records FROM billing WHERE cost > 0 "
+                    "GROUP BY usage_unit", "billing_records", "usage_unit"), F)
+def top_unit_with_cost(spark, sf):
+    return B.top1(B.records_by(billing(spark, sf), "usage.unit", 0), "billing_records", "usage_unit")
