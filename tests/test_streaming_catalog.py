@@ -1,6 +1,7 @@
 """Batch = stream over several arriving files; catalog and format round trips."""
 
 import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 import pytest
 
 from skyledger.operators import health as H
@@ -91,3 +92,16 @@ def test_health_stream_custom_thresholds(spark, split_events):
     b = H.health_state(H.probe_outcomes(fx.probes(spark, SF_SMALL)), 3, 1)
     cols = ["probe_id", "state"]
     assert _rows(s, cols) == _rows(b, cols)
+
+
+def test_read_lines_tail_head(spark, tmpdir_path):
+    from skyledger.sources.files import head, read_lines, tail
+    with open(f"{tmpdir_path}/driveroutput.000000000", "w") as f:
+        f.write("".join(f"line {i}\n" for i in range(1, 121)))
+    with open(f"{tmpdir_path}/driveroutput.000000001", "w") as f:
+        f.write("Pi is roughly 3.14\n")
+    lines = read_lines(spark, tmpdir_path)
+    assert lines.count() == 121
+    last = tail(lines, 50).where(F.col("path").endswith("000000000")).orderBy("line_no").collect()
+    assert len(last) == 50 and last[0].line == "line 71" and last[-1].line == "line 120"
+    assert [r.line for r in head(lines, 1).orderBy("path").collect()] == ["line 1", "Pi is roughly 3.14"]
