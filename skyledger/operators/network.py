@@ -50,14 +50,24 @@ def _rule_applies(r: Column, network: Column, ip_num: Column, protocol: Column,
 _PREPARED = ("priority int, name string, action string, network string, "
              "specs array<struct<protocol:string,port:int>>, ranges array<struct<start:bigint,end:bigint>>, "
              "tags array<string>")
+_PREPARED_STRUCT = ("priority:int,name:string,action:string,network:string,"
+                    "specs:array<struct<protocol:string,port:int>>,ranges:array<struct<start:bigint,end:bigint>>,"
+                    "tags:array<string>")
 
 
 def _literal_rules(rows) -> Column:
-    """Prepared rules as one array<struct> literal (one expression, folded)."""
-    flat = [(r["priority"], r["name"], r["action"], r["network"],
+    """Prepared rules as one map literal network -> array<struct> (one expression,
+    folded), so each connection only evaluates the rules of its own network."""
+    by_net: dict[str, list] = {}
+    for r in rows:
+        by_net.setdefault(r["network"], []).append(
+            (r["priority"], r["name"], r["action"], r["network"],
              [(s["protocol"], s["port"]) for s in r["specs"]],
-             [(g["start"], g["end"]) for g in r["ranges"]], list(r["tags"])) for r in rows]
-    return literal_array(None, flat, _PREPARED)
+             [(g["start"], g["end"]) for g in r["ranges"]], list(r["tags"])))
+    if not by_net:
+        return F.expr(f"CAST(map() AS map<string, array<struct<{_PREPARED_STRUCT}>>>)")
+    return F.create_map(*[c for net, rules in by_net.items()
+                          for c in (F.lit(net), literal_array(None, rules, _PREPARED))])
 
 
 def firewall_decide(conns: DataFrame, rules: DataFrame, id_col: str = "request_id") -> DataFrame:
@@ -70,8 +80,9 @@ def firewall_decide(conns: DataFrame, rules: DataFrame, id_col: str = "request_i
     prepared = prepare_rules(rules)
     head = prepared.limit(MAX_EMBEDDED_RULES + 1).collect() if MAX_EMBEDDED_RULES > 0 else [None]
     if len(head) <= MAX_EMBEDDED_RULES:
-        lit_rules = _literal_rules(head)
-        matched = F.filter(lit_rules, lambda r: _rule_applies(
+        net_rules = F.coalesce(F.try_element_at(_literal_rules(head), F.col("network")),
+                               F.expr(f"CAST(array() AS array<struct<{_PREPARED_STRUCT}>>)"))
+        matched = F.filter(net_rules, lambda r: _rule_applies(
             r, F.col("network"), F.col("ip_num"), F.col("protocol"), F.col("port"), F.col("target_tags")))
         best = F.array_min(F.transform(matched, lambda r: F.struct(
             r["priority"].alias("priority"), r["name"].alias("name"), r["action"].alias("action"))))

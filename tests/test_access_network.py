@@ -66,12 +66,14 @@ def test_firewall_priority_tags_and_default_deny(spark):
         (4, "default", ip("8.8.8.8"), "tcp", 80, []),                     # http needs tag -> deny
         (5, "default", ip("8.8.8.8"), "tcp", 80, ["http-server"]),
         (6, "privatenet", ip("1.2.3.4"), "icmp", None, None),
+        (7, "no-such-net", ip("1.2.3.4"), "tcp", 22, []),                 # network without rules
     ], CONN)
     rules = NW.firewall_rules(spark)
     got = {r.request_id: (r.decision, r.rule_name) for r in NW.firewall_decide(conns, rules).collect()}
     assert got == {1: ("ALLOW", "allow-iap-ssh"), 2: ("ALLOW", "mynetwork-allow-ssh"),
                    3: ("ALLOW", "mynetwork-allow-custom"), 4: ("DENY", None),
-                   5: ("ALLOW", "allow-http"), 6: ("ALLOW", "privatenet-allow-icmp-ssh-rdp")}
+                   5: ("ALLOW", "allow-http"), 6: ("ALLOW", "privatenet-allow-icmp-ssh-rdp"),
+                   7: ("DENY", None)}
     # the join path (large rule sets) gives the same answer
     old = NW.MAX_EMBEDDED_RULES
     NW.MAX_EMBEDDED_RULES = 0  # forces the join path
