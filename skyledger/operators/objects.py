@@ -144,6 +144,16 @@ def write_snapshot(df: DataFrame, root: str, key: str, fmt: str = "parquet") ->
     return path
 
 
+def write_snapshot_windows(df: DataFrame, root: str, key: str, ts: str, every: str = literals.SNAPSHOT_EVERY,
+                           value_cols: tuple[str, ...] = ()) -> str:
+    """Backfill every periodic snapshot in one job: the last row per key per
+    window, written partitioned by snapshot key (one folder per snapshot).
+    Refuses to overwrite an existing snapshot root."""
+    snaps = snapshot_windows(df, key, ts, every, value_cols)
+    snaps.write.mode("errorifexists").partitionBy("snapshot_key").parquet(root)
+    return root
+
+
 def reconcile(desired: DataFrame, actual: DataFrame, key: str = "name",
               mode: str = "create_if_absent") -> DataFrame:
     """Idempotent create: 'create' when absent, 'skip' when present; or

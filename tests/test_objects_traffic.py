@@ -164,3 +164,14 @@ def test_backend_document_defaults():
     b = TR.backend_settings()
     assert b["cache_key"] == {"include_protocol": True, "include_host": True, "include_query": True}
     assert (b["sample_rate"], b["max_rate_per_instance"], b["capacity_scaler"]) == (1.0, 50.0, 1.0)
+
+
+def test_snapshot_backfill_one_folder_per_window(spark, tmpdir_path):
+    t = lambda h, m: D(2024, 1, 1, h, m)
+    ev = spark.createDataFrame([(1, t(0, 10), 1.0), (1, t(3, 50), 2.0), (1, t(4, 5), 3.0), (2, t(9, 0), 4.0)],
+                               "user_id long, ts timestamp_ntz, value double")
+    root = O.write_snapshot_windows(ev, f"{tmpdir_path}/world", "user_id", "ts", "4 hours", ("value",))
+    back = spark.read.parquet(root)
+    got = {(r.user_id, r.snapshot_key): r.last_value for r in back.collect()}
+    assert got == {(1, "20240101-040000-world"): 2.0, (1, "20240101-080000-world"): 3.0,
+                   (2, "20240101-120000-world"): 4.0}
