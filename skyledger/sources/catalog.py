@@ -6,6 +6,7 @@ with an explicit path, so a catalog entry can always be recreated over it.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,6 +115,11 @@ def schema_fields(schema: T.StructType) -> list[tuple[str, str, bool]]:
     return out
 
 
+def schema_json(df: DataFrame) -> str:
+    """The nested schema as pretty-printed JSON (``show --schema --format=prettyjson``)."""
+    return json.dumps(df.schema.jsonValue(), indent=2)
+
+
 def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(schema_fields(df.schema), "path string, type string, nullable boolean")
 
@@ -147,5 +153,5 @@ def discard(df: DataFrame) -> None:
 
 
 __all__ = ["create_dataset", "describe_dataset", "read_source", "load_table", "describe_table",
-           "schema_fields", "schema_frame", "table_stats", "write_csv", "read_csv", "discard",
+           "schema_fields", "schema_json", "schema_frame", "table_stats", "write_csv", "read_csv", "discard",
            "storage_root"]

@@ -50,6 +50,9 @@ def test_dataset_load_describe_stats(spark):
     assert spark.table(name).count() == 1
     assert C.table_stats(spark, name).first().num_rows == 1
     assert ("s.x", "string", True) in C.schema_fields(spark.table(name).schema)
+    import json
+    doc = json.loads(C.schema_json(spark.table(name)))
+    assert [f["name"] for f in doc["fields"]] == ["id", "s"] and doc["fields"][1]["type"]["type"] == "struct"
     assert C.describe_table(spark, name).count() > 0
 
 
