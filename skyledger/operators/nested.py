@@ -43,6 +43,12 @@ def has_binding(policies: DataFrame, role: str, member_substring: str) -> DataFr
     return policies.select("resource", hit.alias("has_role"))
 
 
+def any_match(df: DataFrame, cond: Column) -> bool:
+    """``grep -q``: does any row satisfy the condition? Stops at the first match
+    (``limit(1)``), so only as much input is read as needed."""
+    return len(df.where(cond).limit(1).take(1)) > 0
+
+
 def project_paths(df: DataFrame, paths: dict[str, str]) -> DataFrame:
     """Nested paths -> flat columns: {alias: 'a.b.c'}."""
     return df.select(*[F.col(p).alias(a) for a, p in paths.items()])

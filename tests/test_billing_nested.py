@@ -74,6 +74,8 @@ def test_flatten_filter_exists(spark):
     assert [r.member for r in hit.collect()] == ["user:b@x"]
     has = {r.resource: r.has_role for r in N.has_binding(pol, "roles/viewer", "a@").collect()}
     assert has == {"r1": True, "r2": False}
+    assert N.any_match(flat, F.col("role") == "roles/owner")
+    assert not N.any_match(flat, F.col("role") == "roles/editor")
 
 
 def test_keyed_lookup_missing_key_is_null(spark):
