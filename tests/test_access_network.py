@@ -107,3 +107,14 @@ def test_grant_with_the_same_seq_is_not_seen(spark):
                                 ATT)
     got = {r.attempt_seq: r.allowed for r in A.check_access(att, log, rp(spark)).collect()}
     assert got == {5: False, 6: True, 9: True, 10: False}
+
+
+def test_policy_first_match_with_ranges(spark):
+    import json
+    doc = json.dumps({"rules": [
+        {"action": "allow", "priority": 2147483647, "match": {"config": {"srcIpRanges": ["*"]}}},
+        {"action": "deny(403)", "priority": 100, "match": {"config": {"srcIpRanges": ["10.0.0.0/8"]}}},
+        {"action": "throttle", "priority": 200, "match": {"config": {"srcIpRanges": ["10.1.0.0/16"]}}}]})
+    df = spark.createDataFrame([("10.1.2.3",), ("192.168.0.1",)], "ip string")
+    got = {r.ip: (r.rule_priority, r.rule_action) for r in NW.policy_first_match(df, policy_json=doc).collect()}
+    assert got == {"10.1.2.3": (100, "deny(403)"), "192.168.0.1": (2147483647, "allow")}
