@@ -15,8 +15,8 @@ of the work. ``running`` splits each key's sequence into ordered buckets:
 
 Supported kinds are associative: ``sum``, ``max``, ``min`` and ``last``
 (last non-null value in order). ``bucket`` must be monotone in ``order``
-(e.g. ``floor(seq / width)`` or a time-window start); key columns must be
-non-null.
+(e.g. ``seq div width`` or a time bucket). Key columns may be null: they are
+carried as one struct key, which is never null itself.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("sum", "max", "min", "last")
 _B = "__bucket"
+_K = "__key"
 
 
 def running(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
@@ -38,10 +39,13 @@ def running(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
         if kind not in KINDS:
             raise ValueError(f"{out}: unsupported kind {kind}")
     v = {out: f"__v_{out}" for out in aggs}
-    d = df.select("*", bucket.alias(_B), *[expr.alias(v[out]) for out, (_, expr) in aggs.items()])
+    # one struct key: never null itself, so rows whose key fields are null still
+    # meet their carry in the join below
+    d = df.select("*", F.struct(*[F.col(k) for k in keys]).alias(_K), bucket.alias(_B),
+                  *[expr.alias(v[out]) for out, (_, expr) in aggs.items()])
 
     end = -1 if exclusive else Window.currentRow
-    w_local = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    w_local = Window.partitionBy(_K, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     ordkey = F.struct(*[F.col(c) for c in order])
 
     summaries, local = [], {}
@@ -55,17 +59,17 @@ def running(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
             local[out] = fn(c).over(w_local)
             summaries.append(fn(c).alias(f"__s_{out}"))
 
-    summary = d.groupBy(*keys, _B).agg(*summaries)
-    w_carry = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    summary = d.groupBy(_K, _B).agg(*summaries)
+    w_carry = Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = []
     for out, (kind, _) in aggs.items():
         s = F.col(f"__s_{out}")
         agg = F.last(s, ignorenulls=True) if kind == "last" else _AGG[kind](s)
         carry_cols.append(agg.over(w_carry).alias(f"__c_{out}"))
-    carry = summary.select(*keys, _B, *carry_cols)
+    carry = summary.select(_K, _B, *carry_cols)
 
     d = d.select("*", *[local[out].alias(f"__l_{out}") for out in aggs])
-    j = d.join(carry, on=[*keys, _B], how="left")
+    j = d.join(carry, on=[_K, _B], how="left")
     results = []
     for out, (kind, _) in aggs.items():
         lv, cv = F.col(f"__l_{out}"), F.col(f"__c_{out}")
@@ -79,7 +83,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
         else:
             res = F.coalesce(lv, cv)
         results.append(res.alias(out))
-    internal = {_B, *v.values(), *[f"__l_{o}" for o in aggs], *[f"__c_{o}" for o in aggs]}
+    internal = {_K, _B, *v.values(), *[f"__l_{o}" for o in aggs], *[f"__c_{o}" for o in aggs]}
     keep = [c for c in j.columns if c not in internal and c not in aggs]
     return j.select(*keep, *results)
 
