@@ -25,12 +25,12 @@ def duckdb_connection(sf_dir: str):
 def _norm(v):
     if v is None:
         return None
-    if isinstance(v, float):
+    if isinstance(v, float):  # exact: both engines must give the same double
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return v + 0.0  # -0.0 == 0.0
     if isinstance(v, Decimal):
-        return round(float(v), 6) + 0.0
+        return float(v) + 0.0
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat(sep=" ") if isinstance(v, dt.datetime) else v.isoformat()
     if isinstance(v, (list, tuple)):
