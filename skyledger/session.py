@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,14 +37,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def storage_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    scratch folder is created and registered.
+    Read from the session. Only on a ``local`` master may it be unset (tests);
+    then a fresh scratch folder is created and registered. On a cluster a folder
+    of one machine would lose data, so a missing setting is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not re.fullmatch(r"local(\[.*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                                   f"executors share (master is {sc.master})")
             root = tempfile.mkdtemp(prefix="skyledger-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
@@ -64,3 +70,33 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, "stages", label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written table below the storage root (any file system Spark reads)."""
+    if not path.startswith(storage_root(spark).rstrip("/") + "/"):
+        raise ValueError(f"{path} is not below the storage root")
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor.
+
+    Functions that run in workers are pickled by reference, so the workers must
+    be able to import the package. It is zipped once per session and handed to
+    ``addPyFile``; Spark serves it to the executors.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_skyledger_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="skyledger-py-"), "skyledger_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(path)
+    sc._skyledger_shipped = True
