@@ -8,18 +8,46 @@ read again as the next stage's ``docs``. All but the last return the columns of
 
 from __future__ import annotations
 
+from skyledger.llm.langid import keep_identified, train, train_split
+from skyledger.llm.mixing import mixed_documents
 from skyledger.llm.packing import pack, tokenizer_file
+from skyledger.llm.secret_scan import redact
+from skyledger.llm.simhash import one_per_component
 from skyledger.session import scratch_path
 
-ORACLE_SQL = None  # tokenizer ids, hyperdimensional vectors and permutations are not SQL
+ORACLE_SQL = None  # random vectors, permutations and tokenizer ids are not SQL
+
+
+def language_id(spark, docs, sf_dir):
+    """Keeps documents written in a language learned from the training split of ``docs``."""
+    return keep_identified(docs, *train(train_split(docs)))
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """Keeps one document of each group of SimHash near-duplicates, the one of smallest doc_id."""
+    return one_per_component(docs, shingle=4, max_bits=4)
+
+
+def secret_scan(spark, docs, sf_dir):
+    """Keeps every document; secrets in its text are replaced by a mark."""
+    return redact(docs)
+
+
+def source_mixing(spark, docs, sf_dir):
+    """Mixes the sources to their target weights; a document may come in part or repeatedly."""
+    return mixed_documents(docs)
 
 
 def packing(spark, docs, sf_dir):
-    """Harmonic packing of every mixed document; returns the pieces."""
+    """Packs the token ids of every mixed document; returns the pieces."""
     return pack(docs, tokenizer_file())
 
 
 STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("source_mixing", source_mixing),
     ("packing", packing),
 ]
 

@@ -1,6 +1,6 @@
 """Importing this module registers every query of the subpackage."""
 
-from skyledger.llm import langid, packing, secret_scan, simhash  # noqa: F401
+from skyledger.llm import langid, mixing, packing, secret_scan, simhash  # noqa: F401
 from skyledger.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
