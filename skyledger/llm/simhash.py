@@ -18,10 +18,11 @@ have a common neighbour within one bit of both, hence a common key. For a pair a
 
 Either way a shared key has about 34 bits, so chance meetings stay rare however many
 fingerprints there are. Fingerprints are made distinct first, so groups of copies cost
-one row. A key with two fingerprints gives one pair at once; the few keys with more are
-searched breadth-first from unvisited members, which finds every member's component
-without listing the pairs of a group. A key with very many fingerprints is cut into
-chunks, and every pair of chunks is searched on its own. Distances are always verified.
+one row. Keys are counted first (with partial counts before the shuffle), and only the
+few that two fingerprints share go on. Each is searched breadth-first from unvisited
+members, which finds every member's component without listing the pairs of a group. A
+key with very many fingerprints is cut into chunks, and every pair of chunks is searched
+on its own. Distances are always verified.
 
 Defined results: a null text counts as empty; repeated rows are returned once each; a
 null doc_id never becomes a component_id (a component of null ids only has null); extra
@@ -37,12 +38,15 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.components import components
 from skyledger.llm.registry import register, table
+from skyledger.operators.sizing import bounded_broadcast
 from skyledger.session import ship_package, stage_table
 
 SEED = 42
 MAX_BITS = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, width
 CHUNK = 2048  # fingerprints of one key searched together
+PRINTS_PER_TASK = 8192
+SHARED_BROADCAST_BYTES = 16 << 20  # beyond it the keys are joined by a shuffle
 
 # ----------------------------------------------------------- fingerprints
 SLICE_WORDS = 1 << 18
@@ -152,7 +156,7 @@ def fuzzy_keys(prints: np.ndarray, golay: Golay) -> tuple[np.ndarray, np.ndarray
 # ------------------------------------------------------------------ links
 def local_roots(prints: np.ndarray, max_bits: int) -> np.ndarray:
     """Smallest fingerprint of each one's component under links of up to ``max_bits``."""
-    root = prints.copy()
+    root, bits = prints.copy(), prints.view(np.uint64)  # a bit count needs unsigned words
     left = np.argsort(prints, kind="stable")
     while len(left):
         first, left = left[0], left[1:]
@@ -162,7 +166,7 @@ def local_roots(prints: np.ndarray, max_bits: int) -> np.ndarray:
             for at in range(0, len(frontier), 64):
                 some = frontier[at:at + 64]
                 rest = np.nonzero(~near)[0]
-                apart = np.bitwise_count(prints[some][:, None] ^ prints[left[rest]][None, :])
+                apart = np.bitwise_count(bits[some][:, None] ^ bits[left[rest]][None, :])
                 near[rest[(apart <= max_bits).any(axis=0)]] = True
             frontier, left = left[near], left[~near]
             root[frontier] = prints[first]
@@ -176,7 +180,7 @@ def _search(batches, max_bits: int):
     def solve(rows):
         out = []
         edge = np.nonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1))[0] + 1
-        for group in np.split(rows[:, 3], edge):
+        for group in np.split(np.ascontiguousarray(rows[:, 3]), edge):
             root = local_roots(group, max_bits)
             linked = root != group
             out.append(np.stack([group[linked], root[linked]], axis=1))
@@ -215,22 +219,19 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 key, at = fuzzy_keys(part, golay)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[at])], ["key", "fp"])
 
-    keys = prints.select("fp").mapInArrow(emit, "key long, fp long")
-    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"),
-                                     F.max("fp").alias("b")).filter("n > 1")
-    shared = stage_table(shared, "simhash_keys")
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    pairs = shared.filter("n = 2").filter(near).select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-    crowded = shared.filter("n > 2").select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts"))
+    # many tasks: every row becomes about a hundred keys
+    prints = stage_table(prints.select("fp"), "simhash_prints")
+    tasks = max(1, -(-prints.count() // PRINTS_PER_TASK))
+    keys = prints.repartition(tasks).mapInArrow(emit, "key long, fp long")
+    shared = stage_table(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash_keys")
+    shared = shared.select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts"))
     chunk = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
         F.least(F.col("chunk"), j).alias("lo"), F.greatest(F.col("chunk"), j).alias("hi")))
-    members = (keys.join(crowded, "key").withColumn("chunk", chunk)
+    members = (keys.join(bounded_broadcast(shared, SHARED_BROADCAST_BYTES), "key").withColumn("chunk", chunk)
                .select("key", "fp", F.inline(cells)).select("key", "lo", "hi", "fp"))
-    searched = (members.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-                .mapInArrow(lambda batches: _search(batches, max_bits), "u long, v long"))
-    return pairs.union(searched).distinct()
+    return (members.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+            .mapInArrow(lambda batches: _search(batches, max_bits), "u long, v long").distinct())
 
 
 def classes(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
