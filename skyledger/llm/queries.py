@@ -1,6 +1,6 @@
 """Importing this module registers every query of the subpackage."""
 
-from skyledger.llm import ann, langid, mixing, packing, quality, secret_scan, simhash, topk  # noqa: F401
+from skyledger.llm import ann, fixity, langid, mixing, packing, quality, secret_scan, simhash, topk  # noqa: F401
 from skyledger.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
