@@ -95,9 +95,14 @@ def neighbour_graph(centroids: np.ndarray) -> np.ndarray:
     ring = ((np.arange(n) + 1) % n)[:, None]
     if degree < 1:
         return ring
-    near = [np.argsort(distances(centroids[a:a + 512], centroids), axis=1)[:, 1:degree + 1]
-            for a in range(0, n, 512)]
-    return np.concatenate([np.concatenate(near), ring], axis=1)
+    near = []
+    for a in range(0, n, 512):
+        gap = distances(centroids[a:a + 512], centroids)
+        gap[np.arange(len(gap)), np.arange(a, a + len(gap))] = np.inf
+        near.append(np.argsort(gap, axis=1)[:, :degree])
+    near = np.concatenate(near)
+    twice = (near == ring).any(axis=1)  # then the place holds the centroid itself, which a walk has seen
+    return np.concatenate([near, np.where(twice, np.arange(n), ring[:, 0])[:, None]], axis=1)
 
 
 def graph_search(points: np.ndarray, centroids: np.ndarray, graph: np.ndarray, beam: int):

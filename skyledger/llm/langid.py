@@ -139,7 +139,7 @@ def train(labelled: DataFrame, dimensions: int = DIMENSIONS,
     def run(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            texts, langs = (t.as_py() for t in batch.column(0)), batch.column(1).to_pylist()
             names = sorted(set(langs))
             place = {n: i for i, n in enumerate(names)}
             for n, vector in zip(names, bundles(texts, [place[x] for x in langs], len(names), dimensions),
@@ -171,16 +171,20 @@ def predictor(names: list[str], prototypes: np.ndarray):
 
     @F.arrow_udf("struct<lang:string,score:double>")
     def identify(texts: pa.Array) -> pa.Array:
-        texts = texts.to_pylist()
-        vectors = bundles(texts, range(len(texts)), len(texts), dimensions)
-        size = np.linalg.norm(vectors, axis=1)
-        lang, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        if names:
+        lang, score = [], []
+        for first in range(0, len(texts), BLOCK_TEXTS):
+            some = [t.as_py() for t in texts.slice(first, BLOCK_TEXTS)]
+            vectors = bundles(some, range(len(some)), len(some), dimensions)
+            size = np.linalg.norm(vectors, axis=1)
+            if not names:
+                lang += [UNDETERMINED] * len(some)
+                score += [0.0] * len(some)
+                continue
             cosine = vectors @ prototypes.T / np.maximum(size, 1e-12)[:, None]
             best = cosine.argmax(axis=1)
-            has = [bool(s) or has_letter(t) for s, t in zip(size, texts, strict=True)]
-            lang = [names[b] if h else UNDETERMINED for b, h in zip(best, has, strict=True)]
-            score = np.clip(cosine[np.arange(len(texts)), best], 0.0, 1.0)
+            lang += [names[b] if n or has_letter(t) else UNDETERMINED
+                     for b, n, t in zip(best.tolist(), size.tolist(), some, strict=True)]
+            score += np.clip(cosine[np.arange(len(some)), best], 0.0, 1.0).tolist()
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                           ["lang", "score"])
 

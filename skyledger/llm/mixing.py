@@ -241,8 +241,8 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, sizes: pa.Array, ranges: pa.Array) -> pa.Array:
-        return pa.array([cut_words(t, n, r) for t, n, r in
-                         zip(texts.to_pylist(), sizes.to_pylist(), ranges.to_pylist(), strict=True)], pa.string())
+        return pa.array([cut_words(t.as_py(), n.as_py(), r.as_py()) for t, n, r in
+                         zip(texts, sizes, ranges, strict=True)], pa.string())
 
     taken = wanted.join(whole, "key").select("row", cut(F.col("row.text"), F.col("size"), F.col("ranges")).alias("cut"))
     new = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}

@@ -44,7 +44,7 @@ EPOCHS, COST, TOLERANCE = 20, 1.0, 1e-3
 CALIBRATION = 4  # one row in so many is kept for the logistic curve
 THRESHOLD = 0.3
 SEED = 23
-MEMORY_ENTRIES = 300_000
+MEMORY_ENTRIES = 150_000
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _LOWER, _TITLE, _UPPER, _DIGIT, _MARK, _END, _AGAIN = 1, 2, 3, 4, 5, 6, 7

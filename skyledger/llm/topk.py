@@ -66,7 +66,7 @@ def cell_top(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, id
         end = at + int(np.searchsorted(-length[at:at + BUCKET_ROWS], -RATIO * longest, side="right"))
         end = max(end, at + 1)
         bound = q_len * longest
-        local = np.where(bound > 0, threshold / np.maximum(bound, 1e-300),
+        local = np.where(bound > 0, threshold / np.where(bound > 0, bound, 1.0),
                          np.where(threshold > 0, np.inf, -np.inf))
         local = np.where(np.isneginf(threshold), -np.inf, local) - 1e-9
         live = np.nonzero(local <= 1)[0]
