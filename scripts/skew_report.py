@@ -1,9 +1,10 @@
-"""Hot-key evidence: largest per-task shuffle read, plain window vs bucketed scan.
+"""Hot-key evidence: largest per-task shuffle read, plain window vs running scan.
 
 A grant log is derived from the events table with one key (member,
-resource, role) owning a third of all rows. The same "last action before each row" is computed (a) with a
-plain window partitioned by key and (b) with ``operators.scan.running``. The
-per-task shuffle records are taken from Spark's event log, written to a
+resource, role) owning a third of all rows, once with its dense sequence and once
+with a sparse one. The same "last action before each row" is computed (a) with a
+plain window partitioned by key and (b) with ``operators.scan.running`` at its
+default settings. The per-task shuffle records are taken from Spark's event log, written to a
 fresh scratch folder. Usage: python scripts/skew_report.py [sf_dir]
 """
 
@@ -20,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from skyledger.operators.scan import running, seq_bucket  # noqa: E402
+from skyledger.operators.scan import running  # noqa: E402
 from skyledger.sources import fixtures as fx  # noqa: E402
 
 
@@ -33,28 +34,29 @@ def main() -> None:
              .config("spark.sql.adaptive.enabled", "false")  # fixed partitions: compare like with like
              .getOrCreate())
     hot = F.col("seq") % 3 == 0
-    g = fx.grants(spark, sf).select(
+    base = fx.grants(spark, sf).select(
         "seq", "action",
         F.when(hot, F.lit(0)).otherwise(F.col("member")).alias("member"),
         F.when(hot, F.lit("bucket-0")).otherwise(F.col("resource")).alias("resource"),
         F.when(hot, F.lit("roles/viewer")).otherwise(F.col("role")).alias("role"))
-    total = g.count()
-    act = F.struct("seq", "action")
+    total = base.count()
+    same = True
+    for kind, seq in (("dense", F.col("seq")), ("sparse", F.col("seq") * F.col("seq") * 131_071)):
+        g = base.withColumn("seq", seq)
+        act = F.struct("seq", "action")
+        spark.sparkContext.setJobGroup(f"plain_{kind}", "plain window")
+        w = Window.partitionBy("member", "resource", "role").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+        plain = g.select("*", F.last(act, True).over(w).alias("last_act"))
+        plain.write.format("noop").mode("overwrite").save()
 
-    spark.sparkContext.setJobGroup("plain", "plain window")
-    w = Window.partitionBy("member", "resource", "role").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    plain = g.select("*", F.last(act, True).over(w).alias("last_act"))
-    plain.write.format("noop").mode("overwrite").save()
-
-    spark.sparkContext.setJobGroup("scan", "bucketed scan")
-    scan = running(g, ["member", "resource", "role"], ["seq"], seq_bucket("seq", 1024),
-                   {"last_act": ("last", act)}, exclusive=True)
-    scan.write.format("noop").mode("overwrite").save()
-    spark.sparkContext.setJobGroup("check", "compare results")
-    same = plain.select("seq", "last_act").exceptAll(scan.select("seq", "last_act")).count() == 0
+        spark.sparkContext.setJobGroup(f"scan_{kind}", "running scan")
+        scan = running(g, ["member", "resource", "role"], ["seq"], {"last_act": ("last", act)}, exclusive=True)
+        scan.write.format("noop").mode("overwrite").save()
+        spark.sparkContext.setJobGroup("check", "compare results")
+        same &= plain.select("seq", "last_act").exceptAll(scan.select("seq", "last_act")).count() == 0
     spark.stop()
 
-    per_group: dict[str, list[int]] = {"plain": [], "scan": []}
+    per_group: dict[str, list[int]] = {f"{how}_{kind}": [] for how in ("plain", "scan") for kind in ("dense", "sparse")}
     stage_group: dict[int, str] = {}
     for path in sorted(glob.glob(f"{logdir}/**/*", recursive=True)):
         if os.path.isdir(path):

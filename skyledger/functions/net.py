@@ -13,14 +13,13 @@ def ip_literal_to_long(ip: str) -> int:
 
 
 def ip_to_long(ip: Column) -> Column:
-    """Dotted IPv4 string column -> bigint."""
+    """Dotted IPv4 string column -> bigint; NULL for anything else (an IPv6 address, say)."""
     parts = F.split(ip, r"\.")
-    return (
-        F.element_at(parts, 1).cast("bigint") * F.lit(16777216)
-        + F.element_at(parts, 2).cast("bigint") * F.lit(65536)
-        + F.element_at(parts, 3).cast("bigint") * F.lit(256)
-        + F.element_at(parts, 4).cast("bigint")
-    )
+    octet = [F.try_element_at(parts, F.lit(i)).try_cast("bigint") for i in (1, 2, 3, 4)]
+    valid = ip.rlike(r"\A[0-9]{1,3}(\.[0-9]{1,3}){3}\z")
+    for o in octet:
+        valid = valid & (o <= 255)
+    return F.when(valid, octet[0] * 16777216 + octet[1] * 65536 + octet[2] * 256 + octet[3])
 
 
 def long_to_ip(n: Column) -> Column:
@@ -30,14 +29,16 @@ def long_to_ip(n: Column) -> Column:
 
 
 def cidr_bounds(cidr: Column) -> Column:
-    """'a.b.c.d/n' (or '*') -> struct(start, end, size) as bigints.
+    """'a.b.c.d/n' (or '*', or a bare address) -> struct(start, end, size) as bigints.
 
     The start is the network address (host bits cleared), the end the
-    broadcast address; '*' covers the whole IPv4 space.
+    broadcast address; '*' covers the whole IPv4 space. Any other text, IPv6
+    ranges included, gives NULL fields, which no address lies between.
     """
     is_any = cidr == F.lit("*")
     addr = ip_to_long(F.substring_index(cidr, "/", 1))
-    prefix = F.coalesce(F.substring_index(cidr, "/", -1).cast("int"), F.lit(32))
+    prefix = F.when(cidr.contains("/"), F.substring_index(cidr, "/", -1).try_cast("int")).otherwise(32)
+    prefix = F.when(prefix.between(0, 32), prefix)
     size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - prefix)
     start = addr - F.pmod(addr, size)
     return F.when(is_any, F.struct(F.lit(0).cast("bigint").alias("start"),
@@ -48,21 +49,25 @@ def cidr_bounds(cidr: Column) -> Column:
 
 
 def parse_rule_spec(spec: Column) -> Column:
-    """'icmp,tcp:22,tcp:3389' or 'all' -> array<struct<protocol, port>>.
+    """'icmp,tcp:22,udp:8000-9000' or 'all' -> array<struct<protocol, low, high>>.
 
-    A null port means any port; protocol 'all' matches every protocol.
+    Null ports mean any port; protocol 'all' matches every protocol. An item whose
+    ports are not numbers matches nothing: low 1, high 0.
     """
-    items = F.split(spec, ",")
-    return F.transform(
-        items,
-        lambda item: F.struct(
-            F.lower(F.trim(F.element_at(F.split(item, ":"), 1))).alias("protocol"),
-            F.try_element_at(F.split(item, ":"), F.lit(2)).cast("int").alias("port"),
-        ),
-    )
+    def item(text):
+        ports = F.trim(F.substring_index(text, ":", -1))
+        low = F.trim(F.substring_index(ports, "-", 1)).try_cast("int")
+        high = F.trim(F.substring_index(ports, "-", -1)).try_cast("int")
+        some = text.contains(":")
+        good = low.isNotNull() & high.isNotNull()
+        return F.struct(F.lower(F.trim(F.substring_index(text, ":", 1))).alias("protocol"),
+                        F.when(some, F.when(good, low).otherwise(1)).alias("low"),
+                        F.when(some, F.when(good, high).otherwise(0)).alias("high"))
+
+    return F.transform(F.split(spec, ","), item)
 
 
 def spec_matches(spec: Column, protocol: Column, port: Column) -> Column:
-    """Does one parsed (protocol, port) spec admit this connection?"""
+    """Does one parsed (protocol, low, high) spec admit this connection?"""
     return ((spec["protocol"] == F.lit("all")) | (spec["protocol"] == protocol)) & (
-        spec["port"].isNull() | (spec["port"] == port))
+        spec["low"].isNull() | port.between(spec["low"], spec["high"]))

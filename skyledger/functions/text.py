@@ -19,7 +19,7 @@ def regex_match(col: Column, pattern: str) -> Column:
 
 def zone_to_region(zone: Column) -> Column:
     """${ZONE%-*}: drop the last '-' segment (us-east1-b -> us-east1)."""
-    return F.regexp_replace(zone, r"-[^-]*$", "")
+    return F.regexp_replace(zone, r"-[^-]*\z", "")
 
 
 def nth_field(col: Column, sep: str, n: int) -> Column:
@@ -54,13 +54,13 @@ def replace_at_start(col: Column, prefix: str, replacement: str) -> Column:
 
 
 def replace_at_end(col: Column, suffix: str, replacement: str) -> Column:
-    """sed 's/suffix$/replacement/'."""
-    return F.regexp_replace(col, re.escape(suffix) + "$", _lit_repl(replacement))
+    """sed 's/suffix$/replacement/' on one line (a final carriage return is part of it)."""
+    return F.regexp_replace(col, re.escape(suffix) + r"\z", _lit_repl(replacement))
 
 
 def replace_rest(col: Column, prefix: str, replacement: str) -> Column:
     """sed 's/prefix.*/replacement/' — greedy to the end of the line."""
-    return F.regexp_replace(col, re.escape(prefix) + ".*", _lit_repl(replacement))
+    return F.regexp_replace(col, re.escape(prefix) + r"[^\n]*", _lit_repl(replacement))
 
 
 def _lit_repl(s: str) -> str:
@@ -87,6 +87,16 @@ def drop_last_lines(text: Column, n: int) -> Column:
     return F.array_join(F.slice(ls, 1, F.greatest(F.size(ls) - n, F.lit(0))), "\n")
 
 
+def last_line_rows(df, text: str, n: int, *keep: str):
+    """tail -N as rows (kept columns, line_no 1-based, line): the lines are cut before they are
+    exploded, so only the rows asked for are made."""
+    counted = df.select(*keep, lines(F.col(text)).alias("__lines"))
+    first = F.greatest(F.size("__lines") - n, F.lit(0))
+    return (counted.select(*keep, first.alias("__first"),
+                           F.posexplode(F.slice("__lines", first + 1, F.lit(n))).alias("__pos", "line"))
+            .select(*keep, (F.col("__first") + F.col("__pos") + 1).cast("bigint").alias("line_no"), "line"))
+
+
 def last_lines(text: Column, n: int) -> Column:
     """tail -N as one text."""
     ls = lines(text)

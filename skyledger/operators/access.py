@@ -6,9 +6,9 @@ grant on the resource made before it). Roles add up: an attempt passes if
 any role held at that moment grants the permission.
 
 No range join is used: the "latest action before the attempt" is an as-of
-lookup computed with the bucketed running scan over the union of grant rows
-and attempt probes, so no pairs are formed and a hot member or resource is
-split across tasks.
+lookup computed with the running scan over the union of grant rows and
+attempt probes, so no pairs are formed and a hot member or resource is split
+across tasks.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators.scan import running, seq_bucket
+from skyledger.operators.scan import running
 from skyledger.operators.sizing import bounded_broadcast
 from skyledger.session import stage_table
 
@@ -26,15 +26,17 @@ KEY = ["member", "resource", "role"]
 def effective_bindings(log: DataFrame) -> DataFrame:
     """(resource, member, role) held after replaying the whole log."""
     g = log.where(F.col("action").isin("add", "remove"))
-    last = g.groupBy(*KEY).agg(F.max_by(F.struct("seq", "action"), F.col("seq")).alias("last"))
+    # fixed-width buffers only (hash aggregate): held if the last action was an add
+    last = g.groupBy(*KEY).agg(F.max("seq").alias("seq"),
+                               F.max(F.when(F.col("action") == "add", F.col("seq"))).alias("add_seq"))
     resets = log.where(F.col("action") == "reset").groupBy("resource").agg(F.max("seq").alias("reset_seq"))
     j = last.join(resets, on="resource", how="left")
-    held = (F.col("last.action") == "add") & (F.col("reset_seq").isNull() | (F.col("last.seq") > F.col("reset_seq")))
-    return j.where(held).select("resource", "member", "role", F.col("last.seq").alias("granted_seq"))
+    held = (F.col("add_seq") == F.col("seq")) & (F.col("reset_seq").isNull() | (F.col("seq") > F.col("reset_seq")))
+    return j.where(held).select("resource", "member", "role", F.col("seq").alias("granted_seq"))
 
 
 def check_access(attempts: DataFrame, log: DataFrame, role_permissions: DataFrame,
-                 bucket_width: int = 1 << 14, max_role_bytes: int = 64 << 20) -> DataFrame:
+                 max_role_bytes: int = 64 << 20) -> DataFrame:
     """Decide every attempt (seq, member, resource, permission) as of its seq.
 
     1. as-of the last reset of the attempt's resource (scan keyed by resource);
@@ -55,7 +57,6 @@ def check_access(attempts: DataFrame, log: DataFrame, role_permissions: DataFram
         "seq", "resource", F.lit(None).cast("bigint").alias("member"),
         F.lit(None).cast("string").alias("permission"), F.lit(1).alias("kind"))
     r = running(att.withColumn("kind", F.lit(0)).unionByName(resets), ["resource"], ["seq", "kind"],
-                seq_bucket("seq", bucket_width),
                 {"reset_seq": ("last", F.when(F.col("kind") == 1, F.col("seq")))}, exclusive=True)
     # written once: the role scan below reads its input twice
     att = stage_table(r.where(F.col("kind") == 0).drop("kind"), "access-attempts")
@@ -68,7 +69,7 @@ def check_access(attempts: DataFrame, log: DataFrame, role_permissions: DataFram
         "seq", F.lit(1).alias("kind"), "member", "resource", "role",
         F.lit(None).cast("bigint").alias("attempt_seq"), F.lit(None).cast("string").alias("permission"),
         F.lit(None).cast("bigint").alias("reset_seq"), F.struct("seq", "action").alias("act"))
-    u = running(grants.unionByName(probes), KEY, ["seq", "kind"], seq_bucket("seq", bucket_width),
+    u = running(grants.unionByName(probes), KEY, ["seq", "kind"],
                 {"last_act": ("last", F.col("act"))}, exclusive=True)
 
     held = (F.col("last_act.action") == "add") & (

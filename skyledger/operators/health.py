@@ -6,15 +6,12 @@ turns UNHEALTHY after ``unhealthy_threshold`` failures in a row and HEALTHY
 after ``healthy_threshold`` successes in a row; otherwise it keeps its
 state (UNKNOWN before the first decision).
 
-Batch plan (no per-instance window, so a very busy instance is split):
-1. position and failure count per instance by the bucketed running scan;
-2. length of the current run = position minus the position of the last
-   probe with the other outcome, found by an equi-join on
-   (instance, outcome, ordinal) — unique keys, no skew;
-3. a decisive mark where the run reaches its threshold, and the state as
-   the last mark so far (second scan).
-Intermediate results that later steps read more than once are written to
-the shared storage root (``stage_table``), so nothing is recomputed.
+Batch plan: three running scans over one keying and order, so ordinary instances take
+one shuffle and a very busy one is split (see ``scan``):
+1. position of each counted probe;
+2. position of the last success and of the last failure so far: the current run is what
+   lies behind the last probe of the other outcome;
+3. a decisive mark where the run reaches its threshold, and the state as the last mark.
 """
 
 from __future__ import annotations
@@ -22,8 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators.scan import running, time_bucket
-from skyledger.session import stage_table
+from skyledger.operators.scan import hot_keys, running
 from skyledger.sources import literals
 
 HC = literals.HEALTH_CHECK
@@ -41,35 +37,20 @@ def probe_outcomes(probes: DataFrame, timeout_s: float = HC["timeout_s"],
 
 
 def health_state(outcomes: DataFrame, healthy_threshold: int = HC["healthy_threshold"],
-                 unhealthy_threshold: int = HC["unhealthy_threshold"],
-                 bucket_s: int = 3600) -> DataFrame:
+                 unhealthy_threshold: int = HC["unhealthy_threshold"]) -> DataFrame:
     """State after each probe (probe_id, instance, ts, success, counted, state)."""
-    c = stage_table(outcomes.where("counted").select("probe_id", "instance", "ts", "success", "counted"),
-                    "health-counted")
-    bucket = time_bucket("ts", bucket_s)
+    columns = ["probe_id", "instance", "ts", "success", "counted"]
     order = ["ts", "probe_id"]
-    c = running(c, ["instance"], order, bucket, {
-        "pos": ("sum", F.lit(1).cast("bigint")),
-        "n_fail": ("sum", F.when(F.col("success"), 0).otherwise(1).cast("bigint")),
-    })
-    c = c.withColumn("n_ok", F.col("pos") - F.col("n_fail"))
-    # ordinal of each probe among probes with the same outcome; the scan result
-    # is used on both sides of the next join, so it is written once
-    c = stage_table(c.withColumn("ordinal", F.when(F.col("success"), F.col("n_ok")).otherwise(F.col("n_fail"))),
-                    "health-positions")
-    other = c.select(F.col("instance").alias("o_instance"), F.col("success").alias("o_success"),
-                     F.col("ordinal").alias("o_ordinal"), F.col("pos").alias("o_pos"))
-    want = F.when(F.col("success"), F.col("n_fail")).otherwise(F.col("n_ok"))
-    j = c.join(other, (F.col("instance") == F.col("o_instance")) & (F.col("o_success") != F.col("success"))
-               & (F.col("o_ordinal") == want), "left")
-    run_len = F.col("pos") - F.coalesce(F.col("o_pos"), F.lit(0))
+    c = outcomes.where("counted").select(*columns)
+    scan = {"keys": ["instance"], "order": order, "hot": hot_keys(c, ["instance"], order)}
+    c = running(c, aggs={"pos": ("sum", F.lit(1).cast("bigint"))}, **scan)
+    c = running(c, aggs={"last_ok": ("max", F.when(F.col("success"), F.col("pos"))),
+                         "last_fail": ("max", F.when(~F.col("success"), F.col("pos")))}, **scan)
+    run_len = F.col("pos") - F.coalesce(F.when(F.col("success"), F.col("last_fail")).otherwise(F.col("last_ok")),
+                                        F.lit(0))
     mark = (F.when(F.col("success") & (run_len >= healthy_threshold), F.lit("HEALTHY"))
             .when(~F.col("success") & (run_len >= unhealthy_threshold), F.lit("UNHEALTHY")))
-    j = stage_table(j.select("probe_id", "instance", "ts", "success", "counted", mark.alias("mark")),
-                    "health-marks")
-    j = running(j, ["instance"], order, bucket, {"state": ("last", F.col("mark"))})
-    counted = j.select("probe_id", "instance", "ts", "success", "counted",
-                       F.coalesce(F.col("state"), F.lit("UNKNOWN")).alias("state"))
-    skipped = outcomes.where(~F.col("counted")).select(
-        "probe_id", "instance", "ts", "success", "counted", F.lit("UNKNOWN").alias("state"))
+    c = running(c.withColumn("mark", mark), aggs={"state": ("last", F.col("mark"))}, **scan)
+    counted = c.select(*columns, F.coalesce(F.col("state"), F.lit("UNKNOWN")).alias("state"))
+    skipped = outcomes.where(~F.col("counted")).select(*columns, F.lit("UNKNOWN").alias("state"))
     return counted.unionByName(skipped)

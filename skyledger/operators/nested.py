@@ -55,8 +55,9 @@ def project_paths(df: DataFrame, paths: dict[str, str]) -> DataFrame:
 
 
 def lookup(items: Column, key: str) -> Column:
-    """Value for `key` in an array<struct<key, value>> item list (NULL if absent)."""
-    return F.element_at(F.map_from_entries(items), F.lit(key))
+    """Value for `key` in an array<struct<key, value>> item list (NULL if absent; the first
+    one if the key is repeated)."""
+    return F.try_element_at(F.filter(items, lambda i: i["key"] == F.lit(key)), F.lit(1))["value"]
 
 
 def map_lookup(df: DataFrame, items_path: str, keys: dict[str, str],

@@ -1,11 +1,9 @@
 """Network rules over connection and request logs.
 
-Rule sets (firewall rules, security policies) are configuration: tens of
-rows. They are size-checked and then either embedded as a literal array
-and evaluated per row with higher-order functions (no join, no shuffle),
-or — beyond the bound — joined by network (broadcast while the rule
-table's estimated size stays under the broadcast bound, shuffled otherwise) and reduced per
-connection with ``min_by``.
+Firewall rules are gathered per network and joined to the connections by
+network (broadcast while their estimated size stays under the bound, shuffled
+beyond it); the first match is found inside the row with higher-order
+functions. A security policy is one document, parsed once as a literal.
 """
 
 from __future__ import annotations
@@ -15,10 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions.net import cidr_bounds, ip_to_long, parse_rule_spec, spec_matches
-from skyledger.operators.sizing import bounded_broadcast, literal_array, literal_table
+from skyledger.operators.sizing import bounded_broadcast, literal_table
 from skyledger.sources import literals
 
-MAX_EMBEDDED_RULES = 1_000
 MAX_BROADCAST_BYTES = 256 << 20
 
 RULE_SCHEMA = ("name string, network string, direction string, priority int, action string, "
@@ -47,60 +44,28 @@ def _rule_applies(r: Column, network: Column, ip_num: Column, protocol: Column,
                 tags, F.array().cast("array<string>")))))
 
 
-_PREPARED = ("priority int, name string, action string, network string, "
-             "specs array<struct<protocol:string,port:int>>, ranges array<struct<start:bigint,end:bigint>>, "
-             "tags array<string>")
-_PREPARED_STRUCT = ("priority:int,name:string,action:string,network:string,"
-                    "specs:array<struct<protocol:string,port:int>>,ranges:array<struct<start:bigint,end:bigint>>,"
-                    "tags:array<string>")
-
-
-def _literal_rules(rows) -> Column:
-    """Prepared rules as one map literal network -> array<struct> (one expression,
-    folded), so each connection only evaluates the rules of its own network."""
-    by_net: dict[str, list] = {}
-    for r in rows:
-        by_net.setdefault(r["network"], []).append(
-            (r["priority"], r["name"], r["action"], r["network"],
-             [(s["protocol"], s["port"]) for s in r["specs"]],
-             [(g["start"], g["end"]) for g in r["ranges"]], list(r["tags"])))
-    if not by_net:
-        return F.expr(f"CAST(map() AS map<string, array<struct<{_PREPARED_STRUCT}>>>)")
-    return F.create_map(*[c for net, rules in by_net.items()
-                          for c in (F.lit(net), literal_array(None, rules, _PREPARED))])
-
-
-def firewall_decide(conns: DataFrame, rules: DataFrame, id_col: str = "request_id") -> DataFrame:
+def firewall_decide(conns: DataFrame, rules: DataFrame) -> DataFrame:
     """Ingress decision per connection: among the rules of its network whose
     source range, protocol/port and target tags match, the lowest priority
     number wins (ties: rule name); no match means DENY.
 
-    ``conns`` needs: id_col, network, ip_num, protocol, port, target_tags.
+    The rules of a network are one array, so a connection meets one row and
+    needs no identity: rows with equal or null ids are decided one by one. A
+    null network (of a rule or a connection) matches nothing.
+
+    ``conns`` needs: network, ip_num, protocol, port, target_tags.
     """
-    prepared = prepare_rules(rules)
-    head = prepared.limit(MAX_EMBEDDED_RULES + 1).collect() if MAX_EMBEDDED_RULES > 0 else [None]
-    if len(head) <= MAX_EMBEDDED_RULES:
-        net_rules = F.coalesce(F.try_element_at(_literal_rules(head), F.col("network")),
-                               F.expr(f"CAST(array() AS array<struct<{_PREPARED_STRUCT}>>)"))
-        matched = F.filter(net_rules, lambda r: _rule_applies(
-            r, F.col("network"), F.col("ip_num"), F.col("protocol"), F.col("port"), F.col("target_tags")))
-        best = F.array_min(F.transform(matched, lambda r: F.struct(
-            r["priority"].alias("priority"), r["name"].alias("name"), r["action"].alias("action"))))
-        out = conns.withColumn("__best", best)
-    else:
-        r = bounded_broadcast(prepared, MAX_BROADCAST_BYTES)
-        cond = (conns.network == r.network) & _rule_applies(
-            F.struct(*[r[c].alias(c) for c in ("network", "ranges", "specs", "tags")]),
-            conns.network, conns.ip_num, conns.protocol, conns.port, conns.target_tags)
-        m = conns.select(id_col, "network", "ip_num", "protocol", "port", "target_tags").alias("c") \
-            .join(r.alias("r"), cond).groupBy(F.col(f"c.{id_col}").alias(id_col)).agg(
-                F.min(F.struct(F.col("r.priority").alias("priority"), F.col("r.name").alias("name"),
-                               F.col("r.action").alias("action"))).alias("__best"))
-        out = conns.join(m, on=id_col, how="left")
-    return out.select(
-        "*", F.coalesce(F.col("__best.action"), F.lit("DENY")).alias("decision"),
-        F.col("__best.name").alias("rule_name"), F.col("__best.priority").alias("rule_priority"),
-    ).drop("__best")
+    prepared = prepare_rules(rules).where(F.col("network").isNotNull())
+    per_network = prepared.groupBy("network").agg(F.collect_list(F.struct(
+        "priority", "name", "action", "network", "specs", "ranges", "tags")).alias("__rules"))
+    met = conns.join(bounded_broadcast(per_network, MAX_BROADCAST_BYTES), on="network", how="left")
+    matched = F.filter("__rules", lambda r: _rule_applies(
+        r, F.col("network"), F.col("ip_num"), F.col("protocol"), F.col("port"), F.col("target_tags")))
+    best = F.array_min(F.transform(matched, lambda r: F.struct(
+        r["priority"].alias("priority"), r["name"].alias("name"), r["action"].alias("action"))))
+    return met.withColumn("__best", best).select(
+        *conns.columns, F.coalesce(F.col("__best.action"), F.lit("DENY")).alias("decision"),
+        F.col("__best.name").alias("rule_name"), F.col("__best.priority").alias("rule_priority"))
 
 
 SECURITY_POLICY_SCHEMA = T.StructType([
@@ -140,15 +105,19 @@ def policy_rules(spark, policy_json: str = literals.SECURITY_POLICY_JSON) -> Dat
 def policy_first_match(requests: DataFrame, ip: str = "ip",
                        policy_json: str = literals.SECURITY_POLICY_JSON) -> DataFrame:
     """First rule (lowest priority number) whose source ranges match the request
-    ('*' matches all). The document is parsed once as a folded literal."""
-    rules = F.from_json(F.lit(policy_json), SECURITY_POLICY_SCHEMA)["rules"]
-    ip_num = ip_to_long(F.col(ip))
-    matched = F.filter(rules, lambda r: F.exists(
-        r["match"]["config"]["srcIpRanges"],
-        lambda g: (g == F.lit("*")) | ((ip_num >= cidr_bounds(g)["start"]) & (ip_num <= cidr_bounds(g)["end"]))))
+    ('*' matches all, and is the only range that matches an address other than
+    IPv4). The document's ranges are parsed once, as a folded literal; the address
+    is parsed once per request."""
+    rules = F.transform(F.from_json(F.lit(policy_json), SECURITY_POLICY_SCHEMA)["rules"], lambda r: F.struct(
+        r["priority"].alias("priority"), r["action"].alias("action"),
+        F.exists(r["match"]["config"]["srcIpRanges"], lambda g: g == "*").alias("any"),
+        F.transform(r["match"]["config"]["srcIpRanges"], cidr_bounds).alias("ranges")))
+    asked = requests.withColumn("__ip", ip_to_long(F.col(ip)))
+    matched = F.filter(rules, lambda r: r["any"] | F.exists(r["ranges"], lambda g: F.coalesce(
+        F.col("__ip").between(g["start"], g["end"]), F.lit(False))))
     best = F.array_min(F.transform(matched, lambda r: F.struct(
         r["priority"].alias("priority"), r["action"].alias("action"))))
-    return requests.select("*", best["priority"].alias("rule_priority"), best["action"].alias("rule_action"))
+    return asked.select(*requests.columns, best["priority"].alias("rule_priority"), best["action"].alias("rule_action"))
 
 
 def resolve_network(instances: DataFrame, subnets: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions.text import timestamp_key
-from skyledger.operators.scan import running, seq_bucket
+from skyledger.operators.scan import running
 from skyledger.sources import literals
 
 LIFECYCLE_SCHEMA = T.StructType([T.StructField("rule", T.ArrayType(T.StructType([
@@ -48,40 +48,40 @@ def lifecycle_delete(objects: DataFrame, created: str, today: str,
         "action", F.when(hit, F.lit("Delete")).otherwise(F.lit("Keep")))
 
 
-def list_versions(objects: DataFrame, name: str = "name", generation: str = "generation",
-                  bucket_width: int = 1 << 16) -> DataFrame:
+def list_versions(objects: DataFrame, name: str = "name", generation: str = "generation") -> DataFrame:
     """All generations of each object, oldest first, numbered 1..n.
 
-    The version number is a running count per object, computed by the
-    bucketed scan so that an object with very many versions is split.
+    The version number is a running count per object, computed by a scan
+    that splits an object with very many versions.
     """
-    return running(objects, [name], [generation], seq_bucket(generation, bucket_width),
-                   {"version_no": ("sum", F.lit(1))})
+    return running(objects, [name], [generation], {"version_no": ("sum", F.lit(1))})
 
 
 def oldest_vs_current(objects: DataFrame, name: str = "name", generation: str = "generation",
                       size: str = "size_bytes") -> DataFrame:
     """Oldest (recoverable) and live generation of each object, with their sizes."""
+    # fixed-width buffers only, so this is a hash aggregate with a map-side combine
     g = objects.groupBy(name).agg(
         F.count(F.lit(1)).alias("versions"),
-        F.min_by(F.struct(F.col(generation).alias("g"), F.col(size).alias("s")), F.col(generation)).alias("o"),
-        F.max_by(F.struct(F.col(generation).alias("g"), F.col(size).alias("s")), F.col(generation)).alias("c"))
-    return g.select(name, "versions",
-                    F.col("o.g").alias("oldest_generation"), F.col("o.s").alias("oldest_size"),
-                    F.col("c.g").alias("current_generation"), F.col("c.s").alias("current_size"),
-                    (F.col("c.s") - F.col("o.s")).alias("size_change"))
+        F.min(generation).alias("oldest_generation"), F.min_by(size, generation).alias("oldest_size"),
+        F.max(generation).alias("current_generation"), F.max_by(size, generation).alias("current_size"))
+    return g.withColumn("size_change", F.col("current_size") - F.col("oldest_size"))
 
 
-def sync_plan(src: DataFrame, dst: DataFrame, key: str = "name", size: str = "size_bytes") -> DataFrame:
+def sync_plan(src: DataFrame, dst: DataFrame, key: str = "name", size: str = "size_bytes",
+              also: tuple[str, ...] = ()) -> DataFrame:
     """One-way sync plan: new / changed / same for source keys; destination-only
-    keys are kept (the sync never deletes)."""
-    s = src.select(F.col(key), F.col(size).alias("src_size"))
-    d = dst.select(F.col(key), F.col(size).alias("dst_size"))
-    j = s.join(d, on=key, how="full_outer")
-    status = (F.when(F.col("dst_size").isNull(), "new")
-              .when(F.col("src_size").isNull(), "kept")
-              .when(F.col("src_size") != F.col("dst_size"), "changed")
-              .otherwise("same"))
+    keys are kept (the sync never deletes). A key is changed if its size or any
+    column of ``also`` (a checksum, say) differs; two unknown sizes are equal."""
+    def side(df, name):
+        values = F.struct(F.col(size), *[F.col(c) for c in also]).alias(f"__{name}_values")
+        return df.select(F.col(key), F.col(size).alias(f"{name}_size"), values, F.lit(True).alias(f"__in_{name}"))
+
+    j = side(src, "src").join(side(dst, "dst"), on=key, how="full_outer")
+    status = (F.when(F.col("__in_dst").isNull(), "new")
+              .when(F.col("__in_src").isNull(), "kept")
+              .when(F.col("__src_values").eqNullSafe(F.col("__dst_values")), "same")
+              .otherwise("changed"))
     return j.select(key, "src_size", "dst_size", status.alias("status"))
 
 

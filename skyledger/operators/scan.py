@@ -1,22 +1,21 @@
 """Keyed running aggregates that survive hot keys.
 
-A plain ``Window.partitionBy(key).orderBy(seq)`` sends every row of a key
-to one task; if one key holds a third of the data, one task does a third
-of the work. ``running`` splits each key's sequence into ordered buckets:
-
-1. within (key, bucket) a normal running window (bounded work per task);
-2. per (key, bucket) a partial/final aggregate of the whole bucket
-   (map-side combined, so the hot key ships one row per bucket);
-3. an exclusive prefix of those bucket summaries per key (a window over
-   buckets only — a hot key has as many rows here as it has buckets);
-4. an equi-join of the carry back on (key, bucket). The large side is
-   already hash-partitioned on exactly those columns by step 1, so only the
-   small carry table moves (AQE broadcasts it when it is small).
-
-Supported kinds are associative: ``sum``, ``max``, ``min`` and ``last``
-(last non-null value in order). ``bucket`` must be monotone in ``order``
-(e.g. ``seq div width`` or a time bucket). Key columns may be null: they are
-carried as one struct key, which is never null itself.
+A plain ``Window.partitionBy(key).orderBy(seq)`` is one shuffle and is right for
+ordinary keys, but it sends a key with a third of the data to one task. ``running``
+counts the rows of every key first (a partial aggregate over the key columns only).
+Keys with at least ``hot_rows`` rows are cut into buckets along their order, at
+approximate quantiles of the first order column, so a bucket has about
+``hot_rows / 2`` rows whether the sequence is dense or sparse:
+
+1. one window within (key, bucket) gives local results; an ordinary key is one bucket;
+2. hot keys only: one summary row per bucket (map-side combined), whose exclusive
+   prefix per key is the carry: as many rows as there are buckets;
+3. the carry joins back on (key, bucket), on which the large side is partitioned.
+
+Without hot keys, step 1 is all. Supported kinds are associative: ``sum``, ``max``,
+``min`` and ``last`` (last non-null value in order). Key columns may be null: they are
+carried as one struct key, which is never null itself. Rows that tie in the first order
+column stay in one bucket.
 """
 
 from __future__ import annotations
@@ -24,81 +23,93 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.operators.sizing import bounded_broadcast
+from skyledger.session import stage_table
+
 KINDS = ("sum", "max", "min", "last")
+HOT_ROWS = 8192
+MAX_BUCKETS = 1024  # of one key; a bucket of a larger key holds a 1024th of its rows
+CUTS_BROADCAST_BYTES = 64 << 20
 _B = "__bucket"
 _K = "__key"
+_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def running(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
-            aggs: dict[str, tuple[str, Column]], exclusive: bool = False) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], order: list[str], hot_rows: int | None = None) -> DataFrame | None:
+    """(key, cuts) of keys with at least ``hot_rows`` rows, or None if there are none: ``cuts`` are
+    the values of the first order column at which the key's buckets begin. Runs a job."""
+    hot_rows = hot_rows or HOT_ROWS
+    key = F.struct(*[F.col(k) for k in keys]).alias(_K)
+    many = stage_table(df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") >= hot_rows), "hot-keys")
+    if many.isEmpty():
+        return None
+    rows = df.select(key, F.col(order[0]).alias("v")).join(
+        bounded_broadcast(many, CUTS_BROADCAST_BYTES), on=_K)
+    shares = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
+    parts = F.least(F.lit(MAX_BUCKETS), F.ceil(2 * F.col("n") / F.lit(hot_rows)).cast("int"))
+    cuts = rows.groupBy(_K, "n").agg(F.percentile_approx("v", shares, 4 * MAX_BUCKETS).alias("all")).select(
+        _K, F.array_distinct(F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.element_at(
+            "all", F.floor(i * MAX_BUCKETS / parts).cast("int")))).alias("__cuts"))
+    return stage_table(cuts, "hot-cuts")
+
+
+def _bucket_of(value: Column, cuts: Column) -> Column:
+    """How many of the sorted cuts are at most ``value``, by binary search."""
+    steps = F.transform(F.sequence(F.lit(MAX_BUCKETS.bit_length() - 1), F.lit(0)), lambda b: F.pow(F.lit(2), b).cast("int"))
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= F.size(cuts)) & (F.try_element_at(cuts, at + step) <= value), at + step).otherwise(at))
+
+
+def running(df: DataFrame, keys: list[str], order: list[str], aggs: dict[str, tuple[str, Column]],
+            exclusive: bool = False, hot_rows: int | None = None, hot: DataFrame | None | bool = False) -> DataFrame:
     """Add one column per entry of ``aggs`` = {out: (kind, value expression)}.
 
-    ``exclusive=True`` aggregates the rows strictly before each row (lag-like).
+    ``exclusive=True`` aggregates the rows strictly before each row (lag-like). ``hot`` takes
+    the result of ``hot_keys`` for scans that share keys and order (False: found here).
     """
     for out, (kind, _) in aggs.items():
         if kind not in KINDS:
             raise ValueError(f"{out}: unsupported kind {kind}")
+    if hot is False:
+        hot = hot_keys(df, keys, order, hot_rows)
     v = {out: f"__v_{out}" for out in aggs}
-    # one struct key: never null itself, so rows whose key fields are null still
-    # meet their carry in the join below
-    d = df.select("*", F.struct(*[F.col(k) for k in keys]).alias(_K), bucket.alias(_B),
+    d = df.select("*", F.struct(*[F.col(k) for k in keys]).alias(_K),
                   *[expr.alias(v[out]) for out, (_, expr) in aggs.items()])
+    if hot is None:
+        d = d.withColumn(_B, F.lit(0))
+        local = Window.partitionBy(_K)
+    else:
+        d = d.join(bounded_broadcast(hot, CUTS_BROADCAST_BYTES), on=_K, how="left")
+        d = d.withColumn(_B, F.when(F.col("__cuts").isNotNull(), F.coalesce(
+            _bucket_of(F.col(order[0]), F.col("__cuts")), F.lit(0)))).drop("__cuts")
+        local = Window.partitionBy(_K, _B)
+    local = local.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
+
+    def over(kind, c, window):
+        return F.last(c, ignorenulls=True).over(window) if kind == "last" else _AGG[kind](c).over(window)
+
+    results = d.select("*", *[over(kind, F.col(v[out]), local).alias(f"__l_{out}") for out, (kind, _) in aggs.items()])
+    internal = {_K, _B, *v.values(), *[f"__l_{o}" for o in aggs]}
+    keep = [c for c in df.columns if c not in aggs]
+    if hot is None:
+        return results.select(*keep, *[F.col(f"__l_{o}").alias(o) for o in aggs])
 
-    end = -1 if exclusive else Window.currentRow
-    w_local = Window.partitionBy(_K, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     ordkey = F.struct(*[F.col(c) for c in order])
-
-    summaries, local = [], {}
-    for out, (kind, _) in aggs.items():
-        c = F.col(v[out])
-        if kind == "last":
-            local[out] = F.last(c, ignorenulls=True).over(w_local)
-            summaries.append(F.max_by(c, F.when(c.isNotNull(), ordkey)).alias(f"__s_{out}"))
-        else:
-            fn = _AGG[kind]
-            local[out] = fn(c).over(w_local)
-            summaries.append(fn(c).alias(f"__s_{out}"))
-
-    summary = d.groupBy(_K, _B).agg(*summaries)
-    w_carry = Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry_cols = []
-    for out, (kind, _) in aggs.items():
-        s = F.col(f"__s_{out}")
-        agg = F.last(s, ignorenulls=True) if kind == "last" else _AGG[kind](s)
-        carry_cols.append(agg.over(w_carry).alias(f"__c_{out}"))
-    carry = summary.select(_K, _B, *carry_cols)
-
-    d = d.select("*", *[local[out].alias(f"__l_{out}") for out in aggs])
-    j = d.join(carry, on=[_K, _B], how="left")
-    results = []
+    summary = d.filter(F.col(_B).isNotNull()).groupBy(_K, _B).agg(*[
+        (F.max_by(F.col(v[out]), F.when(F.col(v[out]).isNotNull(), ordkey)) if kind == "last"
+         else _AGG[kind](F.col(v[out]))).alias(f"__s_{out}") for out, (kind, _) in aggs.items()])
+    before = Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(_K, _B, *[over(kind, F.col(f"__s_{out}"), before).alias(f"__c_{out}")
+                                     for out, (kind, _) in aggs.items()])
+    joined = results.join(bounded_broadcast(carry, CUTS_BROADCAST_BYTES), on=[_K, _B], how="left")
+    out_cols = []
     for out, (kind, _) in aggs.items():
         lv, cv = F.col(f"__l_{out}"), F.col(f"__c_{out}")
         if kind == "sum":
-            res = F.when(lv.isNull() & cv.isNull(), F.lit(None)).otherwise(
+            value = F.when(lv.isNull() & cv.isNull(), F.lit(None)).otherwise(
                 F.coalesce(lv, F.lit(0)) + F.coalesce(cv, F.lit(0)))
-        elif kind == "max":
-            res = F.greatest(lv, cv)
-        elif kind == "min":
-            res = F.least(lv, cv)
         else:
-            res = F.coalesce(lv, cv)
-        results.append(res.alias(out))
-    internal = {_K, _B, *v.values(), *[f"__l_{o}" for o in aggs], *[f"__c_{o}" for o in aggs]}
-    keep = [c for c in j.columns if c not in internal and c not in aggs]
-    return j.select(*keep, *results)
-
-
-_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
-
-
-def seq_bucket(seq: str, width: int) -> Column:
-    """Bucket of a dense integer sequence: at most ``width`` rows per (key, bucket).
-    Exact integer division, monotone in ``seq``."""
-    return F.expr(f"`{seq}` div {int(width)}")
-
-
-def time_bucket(ts: str, width_s: float) -> Column:
-    """Epoch-aligned bucket number of a timestamp, ``width_s`` seconds wide
-    (sub-second widths allowed)."""
-    width_us = max(1, int(round(width_s * 1_000_000)))
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(width_us).cast("bigint"))
+            value = {"max": F.greatest, "min": F.least, "last": F.coalesce}[kind](lv, cv)
+        out_cols.append(value.alias(out))
+    assert not internal & set(keep)
+    return joined.select(*keep, *out_cols)

@@ -13,7 +13,7 @@ def plan_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a plan (exact for scans and local data).
 
     Where the estimate is not reachable (e.g. a Spark Connect client) the size
-    counts as unknown, so nothing is broadcast or spread on its account.
+    counts as unknown, so nothing is broadcast on its account.
     """
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators.scan import running, time_bucket
+from skyledger.operators.scan import running
 from skyledger.sources import literals
 
 
@@ -52,16 +52,14 @@ def rate_limit_breaches(requests: DataFrame, key: str = "ip", ts: str = "ts",
 def rate_limit_verdicts(requests: DataFrame, key: str = "ip", ts: str = "ts", id_col: str = "request_id",
                         limit: int = literals.RATE_LIMIT["count"],
                         interval_s: int = literals.RATE_LIMIT["interval_s"],
-                        exceed_action: str = "deny(403)", slice_s: float | None = None) -> DataFrame:
+                        exceed_action: str = literals.RATE_LIMIT["exceed_action"]) -> DataFrame:
     """Conforming requests are allowed; the ones past the limit in their
     (key, window) get the exceed action. The position of a request in its
-    window is a running count, split into time slices (1/1000 of the window
-    by default) so that one very busy key does not land in a single task."""
-    slice_s = slice_s or interval_s / 1000
+    window is a running count, by a scan that splits a very busy key along
+    time (no time zone is involved)."""
     w = F.window(F.col(ts), _interval(interval_s))
     d = requests.withColumn("window_start", w.start)
-    d = running(d, [key, "window_start"], [ts, id_col], time_bucket(ts, slice_s),
-                {"position": ("sum", F.lit(1))})
+    d = running(d, [key, "window_start"], [ts, id_col], {"position": ("sum", F.lit(1))})
     return d.withColumn("verdict", F.when(F.col("position") <= limit, F.lit("allow"))
                         .otherwise(F.lit(exceed_action)))
 

@@ -75,7 +75,7 @@ SELECT event_id AS seq, user_id AS member, 'bucket-' || CAST(user_id % 10 AS VAR
        {_case('event_type', [(_q(k), _q(v)) for k, v in fx.ROLE_BY_TYPE.items()])} AS role,
        CASE WHEN event_type = 'error' AND value > 250 THEN 'reset'
             WHEN value > 20 THEN 'add' ELSE 'remove' END AS action
-FROM events WHERE event_id % 5 <> 0""", ())
+FROM events""", ())
 
 FIXTURES["attempts"] = (f"""
 SELECT event_id AS seq, user_id AS member, 'bucket-' || CAST(user_id % 10 AS VARCHAR) AS resource,
@@ -116,7 +116,7 @@ SELECT 'job-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS job_id,
        'proj-' || CAST(o_custkey AS VARCHAR) AS project_id,
        {_case('o_orderstatus', [(_q(k), _q(v)) for k, v in fx.JOB_STATE.items()], "'ERROR'")} AS state,
        o_orderdate AS state_start_time,
-       'gs://staging/driveroutput/job-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || '/driveroutput'
+       'staging/driveroutput/job-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || '/driveroutput'
            AS driver_output_uri,
        'cluster-' || CAST(o_custkey % 5 AS VARCHAR) AS cluster_name
 FROM orders""", ())

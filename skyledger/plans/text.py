@@ -99,8 +99,7 @@ def byte_size(spark, sf):
 @register("last_n_lines", """
 SELECT doc_id, line_no, line FROM doc_lines WHERE line_no > n_lines - 50""", ("doc_lines",))
 def last_n_lines(spark, sf):
-    lines = fx.doc_lines(spark, sf)
-    return lines.where(F.col("line_no") > F.col("n_lines") - 50).select("doc_id", "line_no", "line")
+    return X.last_line_rows(fx.read_table(spark, sf, "documents"), "text", 50, "doc_id")
 
 
 @register("first_line", """

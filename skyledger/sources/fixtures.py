@@ -20,43 +20,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.functions.net import ip_literal_to_long, long_to_ip
-from skyledger.operators.sizing import UNKNOWN_SIZE, bounded_broadcast, literal_table, plan_bytes, sql_literal
+from skyledger.operators.sizing import bounded_broadcast, literal_table, sql_literal
 from skyledger.sources import literals
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
-MIN_SPLIT_BYTES = 1 << 20
 DIMENSION_BROADCAST_BYTES = 64 << 20  # nation: 25 rows by specification, checked anyway
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
-
-
-def spread(df: DataFrame, min_split_bytes: int = MIN_SPLIT_BYTES) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has cores.
-
-    A parquet file with one row group is one split however large it is, and
-    broadcast joins keep that single partition, so one core would do all the
-    work. When the input has fewer files than ``defaultParallelism`` and is
-    large enough (``min_split_bytes`` per split, at least four splits), it is
-    spread round-robin. Large inputs already scan in many splits, and there
-    this is a no-op. Only the file list and plan statistics are consulted.
-    """
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext on this client: leave the scan as it is
-        return df
-    n_files = len(df.inputFiles())
-    if n_files >= par:
-        return df
-    size = plan_bytes(df)
-    if size >= UNKNOWN_SIZE:
-        return df
-    want = min(par, size // min_split_bytes)
-    return df.repartition(want) if want >= max(4, 2 * n_files) else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ------------------------------------------------------------------ billing
@@ -190,8 +165,8 @@ PERMISSION_BY_TYPE = {"view": "storage.objects.get", "click": "storage.objects.l
 
 
 def grants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grant log: add / remove of (member, resource, role); 'reset' = ACL set private."""
-    ev = read_table(spark, sf_dir, "events").where(F.col("event_id") % 5 != 0)
+    """Grant log, one entry per event: add / remove of (member, resource, role); 'reset' = ACL set private."""
+    ev = read_table(spark, sf_dir, "events")
     action = (F.when((ev.event_type == "error") & (ev.value > 250), "reset")
               .when(ev.value > 20, "add").otherwise("remove"))
     return ev.select(ev.event_id.alias("seq"), ev.user_id.alias("member"),
@@ -272,7 +247,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.concat(F.lit("proj-"), o.o_custkey.cast("string")).alias("projectId")).alias("reference"),
         F.struct(_case("o_orderstatus", list(JOB_STATE.items()), "string", "ERROR").alias("state"),
                  o.o_orderdate.alias("stateStartTime")).alias("status"),
-        F.concat(F.lit("gs://staging/driveroutput/"), jid, F.lit("/driveroutput")).alias(
+        F.concat(F.lit("staging/driveroutput/"), jid, F.lit("/driveroutput")).alias(
             "driverOutputResourceUri"),
         F.concat(F.lit("cluster-"), (o.o_custkey % 5).cast("string")).alias("clusterName"),
     )

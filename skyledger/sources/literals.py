@@ -112,12 +112,24 @@ METADATA_ZONE_KEY = "google-compute-default-zone"
 METADATA_REGION_KEY = "google-compute-default-region"
 
 # Derived resource names: backup bucket suffix, service account name and domain.
-BACKUP_BUCKET_SUFFIX = "-minecraft-backup"
-SERVICE_ACCOUNT_NAME = "read-bucket-objects"
-SERVICE_ACCOUNT_DOMAIN = ".iam.gserviceaccount.com"
+BACKUP_BUCKET_SUFFIX = "-backup"
+SERVICE_ACCOUNT_NAME = "bucket-reader"
+SERVICE_ACCOUNT_DOMAIN = ".iam.example.com"
 
-# Dataset defaults and rate limit.
+# Dataset default.
 DATASET_DEFAULT_TTL_S = 86400
-RATE_LIMIT = {"count": 500, "interval_s": 60}
 SNAPSHOT_EVERY = "4 hours"
 # ------------------------------------------------------------ END FIXED VALUES
+
+
+def throttle(policy_json: str = SECURITY_POLICY_JSON) -> dict:
+    """The throttle rule of a request policy: count, interval, exceed action, and its priority."""
+    rule = min((r for r in json.loads(policy_json)["rules"] if r.get("rateLimitOptions")),
+               key=lambda r: r["priority"])
+    options = rule["rateLimitOptions"]
+    return {"count": options["rateLimitThreshold"]["count"],
+            "interval_s": options["rateLimitThreshold"]["intervalSec"],
+            "exceed_action": options["exceedAction"], "priority": rule["priority"]}
+
+
+RATE_LIMIT = throttle()

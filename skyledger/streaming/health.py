@@ -1,12 +1,16 @@
 """Health state over a probe stream with keyed state (applyInPandasWithState).
 
-State per instance: first probe time (for the initial delay), outcome and
-length of the current run, and the current state. Each micro-batch hands a
-key's new probes to the function, which sorts them by (ts, probe_id) and
-advances the state machine; state lives in the checkpointed state store, so
-the query survives restarts. Probes are assumed to arrive in time order
-across micro-batches (a probe older than the key's last processed probe is
-applied in arrival order).
+Probes may arrive out of order. The state of an instance is its decided past (first probe
+time, open run, state) and the probes it has seen since, sorted by (ts, probe_id); each
+micro-batch merges its probes into these and returns the states of all of them again,
+numbered by ``version``. The states of a probe are read from its highest version, so a
+late probe corrects the probes after it, and the result equals the batch operator.
+
+With ``lateness_s`` set, probes older than the newest one of the instance by more than
+that are decided for good and leave the state, which bounds it; a probe that comes later
+still cannot be placed any more and is returned with state LATE, never dropped. Without it
+(the default) every order of arrival gives the batch result, and an instance's probes stay
+in the state store. An instance that stays silent for ``expire_after`` leaves the store.
 """
 
 from __future__ import annotations
@@ -20,73 +24,112 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from skyledger.session import scratch_path
+from skyledger.session import scratch_path, ship_package
 from skyledger.sources import literals
 from skyledger.sources.fixtures import probes_from_events
-from skyledger.streaming.rate_limit import event_stream, wall_clock
+from skyledger.streaming.rate_limit import event_stream
 
 HC = literals.HEALTH_CHECK
 
-OUTPUT_SCHEMA = ("probe_id long, instance long, ts timestamp, success boolean, counted boolean, "
-                 "state string")
-STATE_SCHEMA = "first_us long, run_ok boolean, run_len long, state string"
+OUTPUT_SCHEMA = ("probe_id long, instance long, ts timestamp_ntz, success boolean, counted boolean, "
+                 "state string, version long")
+STATE_SCHEMA = ("first_us long, run_ok boolean, run_len long, state string, decided_us long, version long, "
+                "ids array<long>, times array<long>, successes array<boolean>")
 
 
-def advance(key, batches: Iterator[pd.DataFrame], state: GroupState,
-            timeout_s: float = HC["timeout_s"], initial_delay_s: int = HC["initial_delay_s"],
-            up: int = HC["healthy_threshold"], down: int = HC["unhealthy_threshold"]) -> Iterator[pd.DataFrame]:
-    """Advance one instance's state machine over its new probes (vectorised).
-
-    Runs of equal outcomes are numbered with a cumulative sum of changes;
-    the run that was open at the end of the previous micro-batch continues
-    when the first new outcome matches it. A probe is decisive when its run
-    reaches the threshold; the state is the last decisive outcome so far.
-    """
-    pdf = pd.concat(list(batches), ignore_index=True)
-    if pdf.empty:
-        return
-    pdf = pdf.sort_values(["ts", "probe_id"], kind="mergesort").reset_index(drop=True)
-    ts_us = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()
-    if state.exists:
-        first_us, run_ok, run_len, cur = state.get
-    else:
-        first_us, run_ok, run_len, cur = int(ts_us[0]), None, 0, "UNKNOWN"
-    success = (pdf["ok"].astype(bool) & (pdf["latency_s"] <= float(timeout_s))).to_numpy()
+def decide(ts_us, success, first_us, run_ok, run_len, cur, initial_delay_s, up, down):
+    """States of sorted probes after a decided past: (counted, states, run lengths). A probe is
+    decisive when its run of equal outcomes reaches the threshold."""
     counted = ts_us >= first_us + int(initial_delay_s) * 1_000_000
-    states = np.full(len(pdf), "UNKNOWN", dtype=object)
-
+    states = np.full(len(ts_us), "UNKNOWN", dtype=object)
+    lengths = np.zeros(len(ts_us), dtype=np.int64)
     ok = success[counted]
     if len(ok):
         change = np.empty(len(ok), dtype=bool)
         change[0] = run_ok is None or bool(ok[0]) != run_ok
         change[1:] = ok[1:] != ok[:-1]
-        grp = np.cumsum(change)
-        lens = pd.Series(1, index=range(len(ok))).groupby(grp).cumsum().to_numpy()
-        if not change[0]:
-            lens[grp == grp[0]] += run_len
+        start = np.maximum.accumulate(np.where(change, np.arange(len(ok)), -1 if not change[0] else 0))
+        lens = np.where(start >= 0, np.arange(len(ok)) - start + 1, np.arange(len(ok)) + 1 + run_len)
         mark = np.where(ok & (lens >= up), "HEALTHY", np.where(~ok & (lens >= down), "UNHEALTHY", None))
-        st = pd.Series(mark, dtype=object).ffill().fillna(cur).to_numpy()
-        states[counted] = st
-        run_ok, run_len, cur = bool(ok[-1]), int(lens[-1]), str(st[-1])
-    state.update((int(first_us), run_ok, int(run_len), cur))
-    yield pd.DataFrame({"probe_id": pdf["probe_id"], "instance": pdf["instance"], "ts": pdf["ts"],
-                        "success": success, "counted": counted, "state": states})
+        states[counted] = pd.Series(mark, dtype=object).ffill().fillna(cur).to_numpy()
+        lengths[counted] = lens
+    return counted, states, lengths
+
+
+def advance(key, batches: Iterator[pd.DataFrame], state: GroupState,
+            timeout_s: float = HC["timeout_s"], initial_delay_s: int = HC["initial_delay_s"],
+            up: int = HC["healthy_threshold"], down: int = HC["unhealthy_threshold"],
+            lateness_s: float | None = None, expire_ms: int | None = None) -> Iterator[pd.DataFrame]:
+    """Merge one instance's new probes into its state and return the states they change."""
+    if state.hasTimedOut:
+        state.remove()
+        return
+    new = pd.concat(list(batches), ignore_index=True)
+    if new.empty:
+        return
+    us = new["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+    success = (new["ok"].astype(bool) & (new["latency_s"] <= float(timeout_s))).to_numpy()
+    ids = new["probe_id"].to_numpy()
+    if state.exists:
+        first, run_ok, run_len, cur, decided, version, old_ids, old_us, old_ok = state.get
+    else:
+        first, run_ok, run_len, cur, decided, version, old_ids, old_us, old_ok = None, None, 0, "UNKNOWN", None, 0, [], [], []
+    late = us <= decided if decided is not None else np.zeros(len(us), dtype=bool)
+    all_ids = np.concatenate([np.array(old_ids, dtype=np.int64), ids[~late]])
+    all_us = np.concatenate([np.array(old_us, dtype=np.int64), us[~late]])
+    all_ok = np.concatenate([np.array(old_ok, dtype=bool), success[~late]])
+    order = np.lexsort((all_ids, all_us))
+    all_ids, all_us, all_ok = all_ids[order], all_us[order], all_ok[order]
+    if decided is None and len(all_us):
+        first = int(all_us[0])
+    version += 1
+    parts = []
+    if len(all_us):
+        counted, states, lengths = decide(all_us, all_ok, first, run_ok, run_len, cur, initial_delay_s, up, down)
+        parts.append((all_ids, all_us, all_ok, counted, states))
+        if lateness_s is not None:
+            cut = int(np.searchsorted(all_us, all_us[-1] - int(lateness_s * 1_000_000), side="right"))
+            if cut:
+                decided = int(all_us[cut - 1])
+                done = np.nonzero(counted[:cut])[0]
+                if len(done):
+                    run_ok, run_len, cur = bool(all_ok[done[-1]]), int(lengths[done[-1]]), str(states[done[-1]])
+                all_ids, all_us, all_ok = all_ids[cut:], all_us[cut:], all_ok[cut:]
+    if late.any():
+        n = int(late.sum())
+        parts.append((ids[late], us[late], success[late], np.zeros(n, dtype=bool), np.full(n, "LATE", dtype=object)))
+    state.update((first, run_ok, int(run_len), cur, decided, version, all_ids.tolist(), all_us.tolist(), all_ok.tolist()))
+    if expire_ms:
+        state.setTimeoutDuration(expire_ms)
+    for p in parts:
+        yield pd.DataFrame({"probe_id": p[0], "instance": np.full(len(p[0]), key[0]), "ts": p[1].astype("datetime64[us]"),
+                            "success": p[2], "counted": p[3], "state": p[4], "version": version})
 
 
 def start_health_stream(probes: DataFrame, sink: str, checkpoint: str, available_now: bool = True,
                         timeout_s: float = HC["timeout_s"], initial_delay_s: int = HC["initial_delay_s"],
                         healthy_threshold: int = HC["healthy_threshold"],
-                        unhealthy_threshold: int = HC["unhealthy_threshold"]):
+                        unhealthy_threshold: int = HC["unhealthy_threshold"],
+                        lateness_s: float | None = None, expire_after_s: float | None = None):
+    ship_package(probes.sparkSession)
     step = functools.partial(advance, timeout_s=timeout_s, initial_delay_s=initial_delay_s,
-                             up=healthy_threshold, down=unhealthy_threshold)
-    out = probes.groupBy("instance").applyInPandasWithState(
-        step, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+                             up=healthy_threshold, down=unhealthy_threshold, lateness_s=lateness_s,
+                             expire_ms=int(expire_after_s * 1000) if expire_after_s else None)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if expire_after_s else GroupStateTimeout.NoTimeout
+    out = probes.groupBy("instance").applyInPandasWithState(step, OUTPUT_SCHEMA, STATE_SCHEMA, "append", timeout)
     w = out.writeStream.outputMode("append").format("parquet").option("path", sink) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def latest_states(log: DataFrame) -> DataFrame:
+    """The states of every probe as its highest version has them."""
+    kept = ["instance", "ts", "success", "counted", "state"]
+    return (log.groupBy("probe_id", "instance").agg(F.max_by(F.struct(*kept[1:]), "version").alias("row"))
+            .select("probe_id", "instance", "row.*"))
+
+
 def health_stream(spark: SparkSession, events_dir: str, glob: str = "events*.parquet",
                   max_files_per_trigger: int | None = None, **settings) -> DataFrame:
     """Run the probe stream over the available input and return the per-probe states.
@@ -98,4 +141,4 @@ def health_stream(spark: SparkSession, events_dir: str, glob: str = "events*.par
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.read.parquet(sink).withColumn("ts", wall_clock(F.col("ts"), spark))
+    return latest_states(spark.read.parquet(sink))

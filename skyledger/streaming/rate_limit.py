@@ -1,75 +1,76 @@
 """Per-key rate-limit breaches over a request stream.
 
-Event time is the request timestamp: the stored TIMESTAMP_NTZ wall clock
-read as a UTC instant (a watermark needs TIMESTAMP), so windows align as in
-batch in any session time zone. Windows are tumbling and
-epoch-aligned like the batch operator. Output mode is ``update``: every
-micro-batch emits the windows whose count changed, and state older than
-the watermark is dropped, so state stays bounded on an endless stream.
-``foreachBatch`` appends the updates, tagged with the batch id, to a
-parquet table in the shared storage root; the current count of a window is
-its latest update. The checkpoint makes the query restartable after a
-lost driver or executor.
+Every micro-batch is counted per (key, tumbling epoch-aligned window), exactly as the
+batch operator counts, and its counts are written as one folder of the sink, named by
+the batch number: a batch that is retried after a failure replaces its own folder. A
+window's count is the sum over the batches, so files may arrive in any order and late
+requests are counted like any other; nothing is dropped behind a watermark and no state
+is kept between batches. What grows is the sink, by one row per key and window of a
+batch; ``compact`` rewrites it as one row per key and window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skyledger.session import scratch_path
+from skyledger.session import remove_path, scratch_path
 from skyledger.sources import literals
 from skyledger.sources.fixtures import EVENT_SCHEMA, requests_from_events
 
-
-def event_time(ntz: Column, spark: SparkSession) -> Column:
-    """TIMESTAMP_NTZ wall clock -> the TIMESTAMP instant with that wall clock in UTC
-    (watermarks need TIMESTAMP; windows then align as in batch, whatever the
-    session time zone)."""
-    tz = spark.conf.get("spark.sql.session.timeZone")
-    return F.from_utc_timestamp(ntz.cast("timestamp"), tz)
-
-
-def wall_clock(ts: Column, spark: SparkSession) -> Column:
-    """Inverse of ``event_time``: the instant's UTC wall clock as TIMESTAMP_NTZ."""
-    tz = spark.conf.get("spark.sql.session.timeZone")
-    return F.to_utc_timestamp(ts, tz).cast("timestamp_ntz")
+MAX_FILES_PER_TRIGGER = 1000
 
 
 def event_stream(spark: SparkSession, directory: str, glob: str = "events*.parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Event files arriving in ``directory`` as a stream (explicit schema); ts as event time."""
-    r = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", glob)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(directory).withColumn("ts", event_time(F.col("ts"), spark))
+    """Event files below ``directory/glob`` as a stream (explicit schema). The pattern may name
+    files or folders of part files; a trigger takes a bounded number of files."""
+    if not any(c in glob for c in "*?[{"):
+        glob = f"{glob[:-1]}[{glob[-1]}]"  # as a pattern it may match one file or a folder alike
+    return (spark.readStream.schema(EVENT_SCHEMA)
+            .option("maxFilesPerTrigger", str(max_files_per_trigger or MAX_FILES_PER_TRIGGER))
+            .parquet(f"{directory.rstrip('/')}/{glob}"))
+
+
+def window_counts(requests: DataFrame, key: str, interval_s: int) -> DataFrame:
+    return (requests.groupBy(F.col(key), F.window("ts", f"{int(interval_s)} seconds").alias("w"))
+            .agg(F.count(F.lit(1)).alias("requests"))
+            .select(key, F.col("w.start").alias("window_start"), "requests"))
 
 
 def start_rate_limit_stream(requests: DataFrame, sink: str, checkpoint: str, key: str = "ip",
-                            limit: int = literals.RATE_LIMIT["count"],
                             interval_s: int = literals.RATE_LIMIT["interval_s"],
-                            watermark: str = "1 hour", available_now: bool = True) -> StreamingQuery:
-    counts = (requests.withWatermark("ts", watermark)
-              .groupBy(F.col(key), F.window("ts", f"{int(interval_s)} seconds").alias("w"))
-              .agg(F.count(F.lit(1)).alias("requests"))
-              .select(key, F.col("w.start").alias("window_start"), "requests"))
-
+                            available_now: bool = True) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink)
+        window_counts(batch, key, interval_s).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-    w = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def _sums(counts: DataFrame, key: str) -> DataFrame:
+    return counts.groupBy(key, "window_start").agg(F.sum("requests").alias("requests"))
+
+
 def current_breaches(spark: SparkSession, sink: str, key: str = "ip",
                      limit: int = literals.RATE_LIMIT["count"]) -> DataFrame:
-    """Latest count per (key, window) from the update log, over the limit."""
-    log = spark.read.parquet(sink)
-    cur = log.groupBy(key, "window_start").agg(F.max_by("requests", "batch_id").alias("requests"))
-    return cur.where(F.col("requests") > limit).select(
-        key, wall_clock(F.col("window_start"), spark).alias("window_start"), "requests")
+    """(key, window) over the limit, from all counts written so far."""
+    return _sums(spark.read.parquet(sink), key).where(F.col("requests") > limit).select(
+        key, "window_start", "requests")
+
+
+def compact(spark: SparkSession, sink: str, through_batch: int, key: str = "ip") -> str:
+    """Rewrite the counts of batches up to ``through_batch`` (none of them running) as one row per
+    key and window, in a new sink that is returned; later batches are copied as they are."""
+    old = spark.read.parquet(sink)
+    path = scratch_path(spark, "streams", "compacted")
+    _sums(old.where(F.col("batch") <= through_batch), key).write.parquet(f"{path}/batch={through_batch}")
+    later = old.where(F.col("batch") > through_batch)
+    later.write.mode("append").partitionBy("batch").parquet(path)
+    remove_path(spark, sink)
+    return path
 
 
 def rate_limit_stream(spark: SparkSession, events_dir: str, limit: int, interval_s: int,
@@ -78,7 +79,7 @@ def rate_limit_stream(spark: SparkSession, events_dir: str, limit: int, interval
     root = scratch_path(spark, "streams", "rate_limit")
     sink, ckpt = f"{root}/sink", f"{root}/checkpoint"
     q = start_rate_limit_stream(requests_from_events(event_stream(spark, events_dir, glob, max_files_per_trigger)),
-                                sink, ckpt, "ip", limit, interval_s)
+                                sink, ckpt, "ip", interval_s)
     q.awaitTermination()
     if q.exception():
         raise q.exception()

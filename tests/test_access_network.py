@@ -51,7 +51,10 @@ def test_cidr_bounds_and_wildcard(spark):
 def test_rule_spec_all_and_icmp(spark):
     df = spark.createDataFrame([("icmp,tcp:22,tcp:3389",), ("all",)], "s string")
     specs = [[tuple(x) for x in r.p] for r in df.select(parse_rule_spec(F.col("s")).alias("p")).collect()]
-    assert specs == [[("icmp", None), ("tcp", 22), ("tcp", 3389)], [("all", None)]]
+    assert specs == [[("icmp", None, None), ("tcp", 22, 22), ("tcp", 3389, 3389)], [("all", None, None)]]
+    wide = spark.createDataFrame([("tcp:8000-9000",), ("tcp:x",)], "s string")
+    specs = [[tuple(x) for x in r.p] for r in wide.select(parse_rule_spec(F.col("s")).alias("p")).collect()]
+    assert specs == [[("tcp", 8000, 9000)], [("tcp", 1, 0)]]
 
 
 CONN = "request_id long, network string, ip_num long, protocol string, port int, target_tags array<string>"
@@ -74,14 +77,35 @@ def test_firewall_priority_tags_and_default_deny(spark):
                    3: ("ALLOW", "mynetwork-allow-custom"), 4: ("DENY", None),
                    5: ("ALLOW", "allow-http"), 6: ("ALLOW", "privatenet-allow-icmp-ssh-rdp"),
                    7: ("DENY", None)}
-    # the join path (large rule sets) gives the same answer
-    old = NW.MAX_EMBEDDED_RULES
-    NW.MAX_EMBEDDED_RULES = 0  # forces the join path
-    try:
-        got2 = {r.request_id: (r.decision, r.rule_name) for r in NW.firewall_decide(conns, rules).collect()}
-    finally:
-        NW.MAX_EMBEDDED_RULES = old
-    assert got2 == got
+
+
+def test_firewall_rows_need_no_identity(spark):
+    """Repeated and null ids, null networks on either side, and more than a thousand rules."""
+    ip = 8 * 16777216
+    conns = spark.createDataFrame([(1, "default", ip, "tcp", 80, ["http-server"]), (1, "default", ip, "tcp", 81, []),
+                                   (None, "default", ip, "tcp", 80, ["http-server"]), (2, None, ip, "tcp", 80, []),
+                                   (3, "big", ip, "tcp", 8500, []), (4, "big", ip, "tcp", 9001, [])], CONN)
+    extra = spark.createDataFrame(
+        [(f"r{i:04}", "big", "INGRESS", 5000 - i, "ALLOW", f"tcp:{8000 + i}-{8000 + i}", ["0.0.0.0/0"], []) for i in range(1200)]
+        + [("none", None, "INGRESS", 1, "ALLOW", "all", ["0.0.0.0/0"], []), ("bad", "big", "INGRESS", 1, "DENY", "tcp:x", ["::/0"], []),
+           ("wide", "big", "INGRESS", 6000, "DENY", "tcp:8000-8999", ["0.0.0.0/0"], None)], NW.RULE_SCHEMA)
+    rows = NW.firewall_decide(conns, NW.firewall_rules(spark).unionByName(extra)).collect()
+    got = sorted(((r.request_id, r.port, r.decision, r.rule_name) for r in rows), key=str)
+    assert got == sorted([(1, 80, "ALLOW", "allow-http"), (1, 81, "DENY", None), (None, 80, "ALLOW", "allow-http"),
+                          (2, 80, "DENY", None), (3, 8500, "ALLOW", "r0500"), (4, 9001, "ALLOW", "r1001")], key=str)
+
+
+def test_addresses_that_are_not_ipv4(spark):
+    df = spark.createDataFrame([("10.0.0.1",), ("2001:db8::1",), ("1.2.3",), ("1.2.3.400",), (None,), ("10.0.0.0/40",)], "c string")
+    got = [tuple(r.b) if r.b else None for r in df.select(cidr_bounds(F.col("c")).alias("b")).collect()]
+    assert got[0] == (167772161, 167772161, 1)
+    assert all(g is None or g[0] is None for g in got[1:])
+    import json
+    doc = json.dumps({"rules": [
+        {"action": "deny(403)", "priority": 1, "match": {"config": {"srcIpRanges": ["10.0.0.0/8", "2001:db8::/32"]}}},
+        {"action": "allow", "priority": 9, "match": {"config": {"srcIpRanges": ["*"]}}}]})
+    got = {r.c: r.rule_action for r in NW.policy_first_match(df, "c", doc).collect()}
+    assert got["10.0.0.1"] == "deny(403)" and got["2001:db8::1"] == "allow" and got[None] == "allow"
 
 
 def test_policy_first_match_prefers_throttle(spark):

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from skyledger.operators import access as A
 from skyledger.operators import health as H
-from skyledger.operators.scan import running, seq_bucket
+from skyledger.operators import scan
+from skyledger.operators.scan import running
 from skyledger.sources import literals
 
 ROLES = ["roles/viewer", "roles/storage.objectViewer", "roles/storage.objectCreator"]
@@ -34,7 +35,8 @@ def brute_access(log, attempts):
     return out
 
 
-def test_access_matches_brute_force(spark):
+def test_access_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(scan, "HOT_ROWS", 8)  # most keys are split
     for seed in range(4):
         rnd = random.Random(seed)
         log = [(rnd.randint(0, 80), rnd.randint(1, 2), f"b{rnd.randint(0, 1)}", rnd.choice(ROLES),
@@ -45,7 +47,7 @@ def test_access_matches_brute_force(spark):
         lg = spark.createDataFrame(log, "seq long, member long, resource string, role string, action string")
         at = spark.createDataFrame(attempts, "seq long, member long, resource string, permission string")
         rp = spark.createDataFrame(literals.ROLE_PERMISSIONS, "role string, permission string")
-        got = {r.attempt_seq: r.allowed for r in A.check_access(at, lg, rp, bucket_width=8).collect()}
+        got = {r.attempt_seq: r.allowed for r in A.check_access(at, lg, rp).collect()}
         assert got == brute_access(log, attempts), seed
 
 
@@ -71,7 +73,8 @@ def brute_health(rows, up, down, delay):
     return out
 
 
-def test_health_matches_brute_force(spark):
+def test_health_matches_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(scan, "HOT_ROWS", 16)  # instances are split
     import datetime as dt
     t0 = dt.datetime(2024, 1, 1)
     for seed, (up, down) in enumerate([(2, 2), (3, 1), (1, 3)]):
@@ -81,7 +84,7 @@ def test_health_matches_brute_force(spark):
         df = spark.createDataFrame(
             [(p, i, t0 + dt.timedelta(seconds=s), ok, lat) for p, i, s, ok, lat in rows],
             "probe_id long, instance long, ts timestamp_ntz, ok boolean, latency_s double")
-        out = H.health_state(H.probe_outcomes(df), up, down, bucket_s=600)
+        out = H.health_state(H.probe_outcomes(df), up, down)
         got = {r.probe_id: r.state for r in out.collect()}
         assert got == brute_health(rows, up, down, 60), seed
 
@@ -92,7 +95,7 @@ def test_scan_widths(spark):
     df = spark.createDataFrame(rows, "k int, seq long, v int")
     w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     want = {(r.k, r.seq): r.s for r in df.select("k", "seq", F.sum("v").over(w).alias("s")).collect()}
-    for width in (1, 7, 64, 1000):
-        got = {(r.k, r.seq): r.s for r in running(df, ["k"], ["seq"], seq_bucket("seq", width),
-                                                  {"s": ("sum", F.col("v"))}).collect()}
-        assert got == want, width
+    for hot_rows in (2, 7, 64, 1000):
+        got = {(r.k, r.seq): r.s for r in running(df, ["k"], ["seq"], {"s": ("sum", F.col("v"))},
+                                                  hot_rows=hot_rows).collect()}
+        assert got == want, hot_rows

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from skyledger.operators.scan import running, seq_bucket
+from skyledger.operators.scan import hot_keys, running
 
 
 def test_running_equals_window(spark):
@@ -14,11 +14,10 @@ def test_running_equals_window(spark):
     rows = [(0 if rnd.random() < 0.5 else (None if rnd.random() < 0.2 else rnd.randint(1, 5)), i,
              None if rnd.random() < 0.3 else rnd.randint(-50, 50)) for i in range(600)]
     df = spark.createDataFrame(rows, "k int, seq long, v int")
-    got = running(df, ["k"], ["seq"], seq_bucket("seq", 16), {
+    got = running(df, ["k"], ["seq"], hot_rows=16, aggs={
         "s": ("sum", F.col("v")), "mx": ("max", F.col("v")), "mn": ("min", F.col("v")),
         "last": ("last", F.col("v"))})
-    got_ex = running(df, ["k"], ["seq"], seq_bucket("seq", 16), {"prev": ("last", F.col("v"))},
-                     exclusive=True)
+    got_ex = running(df, ["k"], ["seq"], {"prev": ("last", F.col("v"))}, exclusive=True, hot_rows=16)
     w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     we = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     want = df.select("k", "seq", F.sum("v").over(w).alias("s"), F.max("v").over(w).alias("mx"),
@@ -32,17 +31,24 @@ def test_running_equals_window(spark):
     assert len(a) == 600
 
 
-def test_hot_key_is_split_into_buckets(spark):
-    df = spark.range(0, 5000).select(F.lit(1).alias("k"), F.col("id").alias("seq"))
-    out = running(df, ["k"], ["seq"], seq_bucket("seq", 100), {"n": ("sum", F.lit(1))})
-    assert out.agg(F.max("n")).first()[0] == 5000
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "__bucket" in plan
+def test_hot_key_is_cut_at_quantiles(spark):
+    """Dense, sparse and bunched sequences are cut into buckets of like size; ordinary keys are not."""
+    for step in ("id", "id * 1000003", "id * id * id", "cast(id / 10 as bigint)"):
+        df = spark.range(0, 5000).selectExpr("1 AS k", f"{step} AS seq", "id").union(
+            spark.range(0, 50).selectExpr("2 AS k", "id AS seq", "id"))
+        cuts = hot_keys(df, ["k"], ["seq"], 400).collect()
+        assert [r["__key"].k for r in cuts] == [1] and 20 <= len(cuts[0]["__cuts"]) <= 25
+        edges = [float("-inf"), *cuts[0]["__cuts"], float("inf")]
+        values = [r.seq for r in df.filter("k = 1").collect()]
+        sizes = [sum(a <= v < b for v in values) for a, b in zip(edges, edges[1:])]
+        assert sum(sizes) == 5000 and max(sizes) <= 2 * 5000 / 25
+        out = running(df, ["k"], ["seq", "id"], {"n": ("sum", F.lit(1))}, hot_rows=400)
+        assert sorted(r.n for r in out.filter("k = 1").collect()) == list(range(1, 5001))
+    assert hot_keys(df, ["k"], ["seq"], 6000) is None
 
 
-def test_size_checks_and_spread(spark):
+def test_size_checks(spark):
     from skyledger.operators.sizing import bounded_broadcast, literal_table, plan_bytes
-    from skyledger.sources import fixtures as fx
     from skyledger.sources import literals
 
     lit = literal_table(spark, literals.SUBNETS, "subnet string, network string, region string, range string")
@@ -53,6 +59,3 @@ def test_size_checks_and_spread(spark):
     joined = spark.range(10).withColumn("subnet", F.lit("privatesubnet-us")) \
         .join(bounded_broadcast(lit, 1 << 20), on="subnet")
     assert "Broadcast" in joined._jdf.queryExecution().executedPlan().toString()
-    # tiny files are never spread (the sf0.001 tables are far below the threshold)
-    ev = fx.read_table(spark, "/root/testdata/sf0.001", "events")
-    assert "Repartition" not in ev._jdf.queryExecution().optimizedPlan().toString()

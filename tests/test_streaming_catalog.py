@@ -25,6 +25,18 @@ def split_events(tmp_path_factory):
     return str(d)
 
 
+@pytest.fixture(scope="module")
+def mixed_events(tmp_path_factory):
+    """The events dealt over three files, so every file is late for the one before it; the folder
+    has the name of a single-file table."""
+    d = tmp_path_factory.mktemp("mixed") / "events.parquet"
+    d.mkdir()
+    t = pq.read_table(f"{SF_SMALL}/events.parquet").sort_by("ts")
+    for i in range(3):
+        pq.write_table(t.take(list(range(i, t.num_rows, 3))), f"{d}/part-{i}.parquet")
+    return str(d.parent)
+
+
 def _rows(df, cols):
     return sorted(tuple(r[c] for c in cols) for r in df.collect())
 
@@ -42,6 +54,40 @@ def test_health_stream_equals_batch(spark, split_events):
     assert _rows(s, cols) == _rows(b, cols)
 
 
+def test_streams_equal_batch_on_files_out_of_order(spark, mixed_events):
+    s = rate_limit_stream(spark, mixed_events, 1, 86400, glob="events.parquet", max_files_per_trigger=1)
+    b = TR.rate_limit_breaches(fx.requests(spark, SF_SMALL), "ip", "ts", 1, 86400)
+    assert _rows(s, ["ip", "window_start", "requests"]) == _rows(b, ["ip", "window_start", "requests"])
+    s = health_stream(spark, mixed_events, glob="events.parquet", max_files_per_trigger=1)
+    b = H.health_state(H.probe_outcomes(fx.probes(spark, SF_SMALL)))
+    cols = ["probe_id", "instance", "ts", "success", "counted", "state"]
+    assert _rows(s, cols) == _rows(b, cols)
+
+
+def test_late_probes_are_reported(spark, mixed_events):
+    n = fx.probes(spark, SF_SMALL).count()
+    s = health_stream(spark, mixed_events, glob="events.parquet", max_files_per_trigger=1, lateness_s=3600).collect()
+    assert len(s) == n and any(r.state == "LATE" for r in s)
+
+
+def test_registered_streams_read_folders_of_part_files(spark, mixed_events):
+    from skyledger.plans import QUERIES
+    for name in ("rate_limit_stream", "health_stream"):
+        whole, parts = (sorted(QUERIES[name](spark, d).collect()) for d in (SF_SMALL, mixed_events))
+        assert whole == parts and whole
+
+
+def test_compacted_counts(spark, split_events, tmpdir_path):
+    from skyledger.streaming import rate_limit as RL
+    sink = f"{tmpdir_path}/sink"
+    requests = fx.requests_from_events(RL.event_stream(spark, split_events, max_files_per_trigger=1))
+    RL.start_rate_limit_stream(requests, sink, f"{tmpdir_path}/ckpt", "ip", 86400).awaitTermination()
+    want = sorted(RL.current_breaches(spark, sink, "ip", 1).collect())
+    inside = f"{RL.scratch_path(spark, 'streams')}"
+    spark.read.parquet(sink).write.partitionBy("batch").parquet(inside)
+    assert sorted(RL.current_breaches(spark, RL.compact(spark, inside, 1), "ip", 1).collect()) == want
+
+
 def test_dataset_load_describe_stats(spark):
     info = {r[0]: r[1] for r in C.create_dataset(spark, "t_ds", "Billing dataset for lab").collect()}
     assert "default_table_ttl_s" in str(info) and "Billing dataset for lab" in str(info)
