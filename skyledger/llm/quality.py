@@ -11,7 +11,9 @@ where p_f and q_f count the documents of label 1 and 0 that have it; scaled text
 length one. A linear hinge-loss model is fitted by dual coordinate descent, and its
 margins become scores by a logistic curve fitted on rows that the model did not see.
 
-The counts cover every labelled training row and are summed by Spark per feature. The
+The counts cover every labelled training row and are summed by Spark per feature; labels
+meet their texts by a broadcast while their counted rows stay under a bound, by a shuffle
+beyond it. The
 model itself is fitted on a sample of at most about ``SAMPLE`` labelled rows, chosen by a
 hash of doc_id: this bound is a parameter (``sample``), and keeps the driver's share
 constant.
@@ -45,6 +47,7 @@ CALIBRATION = 4  # one row in so many is kept for the logistic curve
 THRESHOLD = 0.3
 SEED = 23
 MEMORY_ENTRIES = 150_000
+BROADCAST_LABELS = 1_000_000  # counted rows of (doc_id, label); beyond it the texts are shuffled to them
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 _LOWER, _TITLE, _UPPER, _DIGIT, _MARK, _END, _AGAIN = 1, 2, 3, 4, 5, 6, 7
@@ -168,6 +171,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     by_label = {r.label: r.n for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
     share = min(1.0, sample / max(1, sum(by_label.values())))
     chosen = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
+    if sum(by_label.values()) <= BROADCAST_LABELS:
+        marked = F.broadcast(marked)
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(~held_out(F.col("doc_id")))
             .join(marked, "doc_id").select("label", chosen.alias("chosen"), "doc_id", "text"))
 
