@@ -26,9 +26,19 @@ def schema_fields(spark, sf):
     return C.schema_frame(spark, spark.table(_loaded(spark, sf)))
 
 
-@register("table_stats", "SELECT COUNT(*) AS num_rows FROM billing", ("billing",))
+_TEXTS = ("billing_account_id", "project_id", "project_name", "service_description", "sku_description", "country",
+          "currency", "usage_unit", "pricing_unit")
+_NUMBERS = ("currency_conversion_rate", "usage_amount", "usage_end_time", "order_key", "line_number", "part_key",
+            "supp_key")
+_BYTES = " + ".join([*(f"COALESCE(strlen({c}) + 2, 0)" for c in _TEXTS),
+                     *(f"CASE WHEN {c} IS NULL THEN 0 ELSE 8 END" for c in _NUMBERS),
+                     "CASE WHEN cost IS NULL THEN 0 ELSE 16 END"])
+
+
+@register("table_stats", f"""
+SELECT COUNT(*) AS num_rows, CAST(COALESCE(SUM({_BYTES}), 0) AS BIGINT) AS num_bytes FROM billing""", ("billing",))
 def table_stats(spark, sf):
-    return C.table_stats(spark, _loaded(spark, sf)).select("num_rows")
+    return C.table_stats(spark, _loaded(spark, sf)).select("num_rows", "num_bytes")
 
 
 @register("csv_roundtrip", f"SELECT {_Q1}, usage_end_time FROM billing", ("billing",))

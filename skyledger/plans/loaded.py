@@ -1,10 +1,11 @@
-"""Tables loaded once per session from the given data (like the lab's load step).
-
-The billing export is derived once (a five-way join) and stored as a table
-under the shared storage root; the billing queries then scan that table, so
-their filters reach the parquet reader (``PushedFilters: GreaterThan(cost, …)``)
-and only the struct fields they use are read. The table carries its source
-as a property and is reloaded when the source differs.
+"""The billing table, loaded from an export file as the lab's load step does.
+
+The billing export is derived (a five-way join), written as an export file in
+parquet, and loaded from that file into a table whose schema comes from the file; the
+billing queries then scan the table, so their filters reach the parquet reader
+(``PushedFilters: GreaterThan(cost, …)``) and only the struct fields they use are read.
+The table carries a stamp of the files it was derived from (names, lengths, modification
+times) and is loaded again when any of them has changed.
 """
 
 from __future__ import annotations
@@ -13,27 +14,40 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.session import remove_path, scratch_path
 from skyledger.sources import catalog as C
 from skyledger.sources.fixtures import billing
 
 DATASET, TABLE = "billing_lab", "billing_export"
+SOURCES = ("lineitem", "orders", "part", "supplier", "customer", "nation")
 _LOCK = threading.Lock()
 
 
+def _stamp(spark: SparkSession, sf: str) -> str:
+    root = sf.rstrip("/")
+    return f"billing:{root}:" + C.source_stamp(spark, [f"{root}/{t}.parquet" for t in SOURCES])
+
+
+def _load(spark: SparkSession, sf: str, stamp: str) -> str:
+    export = scratch_path(spark, "exports", "billing")
+    billing(spark, sf).write.mode("errorifexists").parquet(export)
+    name = C.load_table(spark, export, DATASET, TABLE, fmt="parquet", mode="overwrite", source_tag=stamp)
+    remove_path(spark, export)
+    return name
+
+
 def load_billing(spark: SparkSession, sf: str) -> str:
+    """Load the table from ``sf`` now, whatever it holds."""
     with _LOCK:
-        return C.load_table(spark, billing(spark, sf), DATASET, TABLE, mode="overwrite",
-                            source_tag=f"billing:{sf}")
+        return _load(spark, sf, _stamp(spark, sf))
 
 
 def billing_table_name(spark: SparkSession, sf: str) -> str:
-    """The billing table loaded from ``sf``; loaded now if it is missing or stale."""
+    """The billing table of ``sf`` as its files are now; loaded if it is missing or stale."""
     name = f"{DATASET}.{TABLE}"
     with _LOCK:
-        if C.loaded_from(spark, name) == f"billing:{sf}":
-            return name
-        return C.load_table(spark, billing(spark, sf), DATASET, TABLE, mode="overwrite",
-                            source_tag=f"billing:{sf}")
+        stamp = _stamp(spark, sf)
+        return name if C.loaded_from(spark, name) == stamp else _load(spark, sf, stamp)
 
 
 def billing_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -79,14 +79,17 @@ def log_sample(spark, sf):
 
 @register("rekey_roundtrip", """
 SELECT doc_id, doc_id % 2 = 0 AS rewritten, doc_id % 2 = 0 AS readable,
-       CASE WHEN doc_id % 2 = 0 THEN text END AS recovered
+       CASE WHEN doc_id % 2 = 0 THEN text END AS recovered,
+       CASE WHEN doc_id % 2 = 0 THEN NULL ELSE text END AS recovered_old
 FROM documents""")
 def rekey_roundtrip(spark, sf):
     docs = fx.read_table(spark, sf, "documents").select("doc_id", "text")
     old, new = R.key_bytes("csek-old"), R.key_bytes("csek-new")
     enc = R.encrypt(docs, "text", old).drop("text")
     rot = R.rewrite(enc, "payload", old, new, F.col("doc_id") % 2 == 0)
-    return R.read_with(rot, "payload", new).select("doc_id", "rewritten", "readable", "recovered")
+    # what the rotation left under the old key is read with that
+    rot = R.read_with(rot, "payload", old, out="recovered_old").drop("readable")
+    return R.read_with(rot, "payload", new).select("doc_id", "rewritten", "readable", "recovered", "recovered_old")
 
 
 _OUTCOMES = """

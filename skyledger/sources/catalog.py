@@ -9,10 +9,11 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.session import scratch_path, storage_root
+from skyledger.session import remove_path, scratch_path, storage_root
 from skyledger.sources import literals
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
@@ -71,14 +72,54 @@ def load_table(spark: SparkSession, source: DataFrame | str, dataset: str, table
     if mode == "append" and spark.catalog.tableExists(name):
         df.write.mode("append").saveAsTable(name)
     else:
+        old = location(spark, name)
         path = scratch_path(spark, "warehouse", dataset, table)
         df.write.mode(mode).format("parquet").option("path", path).saveAsTable(name)
+        if old and old.startswith(storage_root(spark).rstrip("/") + "/"):
+            remove_path(spark, old)  # the files that the replaced table held
     tag = source_tag if source_tag is not None else (source if isinstance(source, str) else None)
     if tag is not None:
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{SOURCE_PROPERTY}' = '{_quote(tag)}')")
     return name
 
 
+def location(spark: SparkSession, name: str) -> str | None:
+    """Where a table's files are, or None when the table is absent."""
+    if not spark.catalog.tableExists(name):
+        return None
+    row = describe_table(spark, name).where("col_name = 'Location'").first()
+    return row.data_type if row else None
+
+
+def source_stamp(spark: SparkSession, paths: list[str]) -> str:
+    """What the files below ``paths`` are now: a digest of their names, lengths and modification
+    times, computed by one job over the listing (contents are not read). It changes when a file is
+    added, removed or rewritten."""
+    stamps = []
+    for path in paths:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        one = F.xxhash64("path", "length", "modificationTime").cast("decimal(20,0)")
+        stamps.append(files.agg(F.count("*"), F.sum("length"), F.sum(one)).first())
+    return ";".join(":".join(map(str, s)) for s in stamps)
+
+
+def expired_tables(spark: SparkSession, dataset: str, now: str) -> DataFrame:
+    """Tables of a dataset with their creation time, when its default TTL ends, and whether that has
+    passed at ``now``. A catalogue listing: one row per table."""
+    ttl = next((int(m[1]) for r in describe_dataset(spark, dataset).collect()
+                for m in [re.search(r"default_table_ttl_s,\s*([0-9]+)", str(r[1]))] if m), None)
+    rows = []
+    for t in spark.catalog.listTables(_ident(dataset)):
+        detail = describe_table(spark, f"{dataset}.{t.name}").where("col_name = 'Created Time'").first()
+        rows.append((t.name, detail.data_type if detail else None))
+    created = F.try_to_timestamp(F.regexp_replace("created", r"^[A-Za-z]+ | [A-Z]+(?= [0-9]{4}$)", ""),
+                                 F.lit("MMM dd HH:mm:ss yyyy")).cast("timestamp_ntz")
+    expires = F.col("created_at") + F.make_interval(secs=F.lit(ttl)) if ttl else F.lit(None).cast("timestamp_ntz")
+    return (spark.createDataFrame(rows, "name string, created string").select("name", created.alias("created_at"))
+            .withColumn("expires_at", expires.cast("timestamp_ntz"))
+            .withColumn("expired", F.coalesce(F.col("expires_at") <= F.lit(now).cast("timestamp_ntz"), F.lit(False))))
+
+
 def _quote(s: str) -> str:
     return s.replace("\\", "\\\\").replace("'", "\\'")
 
@@ -125,12 +166,36 @@ def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 def table_stats(spark: SparkSession, name: str) -> DataFrame:
-    """numRows / numBytes from catalog statistics (ANALYZE TABLE ... COMPUTE STATISTICS)."""
+    """num_rows and stored bytes from catalog statistics (ANALYZE TABLE ... COMPUTE STATISTICS), and
+    num_bytes, the logical size of the rows (see ``logical_bytes``), which does not depend on how
+    the table is stored."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
     stats = describe_table(spark, name).where("col_name = 'Statistics'").select("data_type")
     return stats.selectExpr(
         "CAST(regexp_extract(data_type, '([0-9]+) rows', 1) AS BIGINT) AS num_rows",
-        "CAST(regexp_extract(data_type, '([0-9]+) bytes', 1) AS BIGINT) AS num_bytes")
+        "CAST(regexp_extract(data_type, '([0-9]+) bytes', 1) AS BIGINT) AS stored_bytes").crossJoin(  # one row each
+        table_bytes(spark.table(name)))
+
+
+def logical_bytes(dt: T.DataType, value: Column) -> Column:
+    """Logical size of a value: numbers, dates and times 8 bytes (decimals 16, booleans 1), text 2 bytes
+    and its UTF-8 bytes, structs and arrays the sum of their parts, null 0."""
+    if isinstance(dt, T.StructType):
+        parts = [logical_bytes(f.dataType, value[f.name]) for f in dt.fields]
+        size = sum(parts[1:], parts[0]) if parts else F.lit(0).cast("bigint")
+    elif isinstance(dt, T.ArrayType):
+        size = F.aggregate(value, F.lit(0).cast("bigint"), lambda a, x: a + logical_bytes(dt.elementType, x))
+    elif isinstance(dt, T.StringType | T.BinaryType):
+        size = (F.octet_length(value) + 2).cast("bigint")
+    else:
+        size = F.lit(16 if isinstance(dt, T.DecimalType) else 1 if isinstance(dt, T.BooleanType) else 8).cast("bigint")
+    return F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(size)
+
+
+def table_bytes(df: DataFrame) -> DataFrame:
+    """num_bytes of a frame: the sum of its rows' logical sizes."""
+    size = [logical_bytes(f.dataType, F.col(f"`{f.name}`")) for f in df.schema.fields]
+    return df.agg(F.coalesce(F.sum(sum(size[1:], size[0])), F.lit(0)).cast("bigint").alias("num_bytes"))
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> str:

@@ -175,3 +175,46 @@ def test_snapshot_backfill_one_folder_per_window(spark, tmpdir_path):
     got = {(r.user_id, r.snapshot_key): r.last_value for r in back.collect()}
     assert got == {(1, "20240101-040000-world"): 2.0, (1, "20240101-080000-world"): 3.0,
                    (2, "20240101-120000-world"): 4.0}
+
+
+def test_sync_plan_with_unknown_sizes(spark):
+    cols = "name string, size_bytes long"
+    src = spark.createDataFrame([("a", None), ("b", 5), ("c", None), ("d", 4), ("e", 1)], cols)
+    dst = spark.createDataFrame([("a", 3), ("b", None), ("c", None), ("d", 4), ("z", None)], cols)
+    got = {r.name: r.status for r in O.sync_plan(src, dst).collect()}
+    assert got == {"a": "changed", "b": "changed", "c": "same", "d": "same", "e": "new", "z": "kept"}
+    src, dst = (df.withColumn("md5", F.lit(v)) for df, v in ((src, "x"), (dst, "y")))
+    assert {r.name: r.status for r in O.sync_plan(src, dst, also=("md5",)).collect()}["d"] == "changed"
+
+
+def test_verdicts_over_a_clock_change(spark):
+    rows = [(1, "k", "2024-03-10 02:30:00"), (2, "k", "2024-03-10 03:05:00"), (3, "k", "2024-03-10 01:59:00")]
+    df = spark.createDataFrame(rows, "request_id int, ip string, t string").select(
+        "request_id", "ip", F.col("t").cast("timestamp_ntz").alias("ts"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            from skyledger.operators import scan
+            for hot in (2, 8192):
+                scan.HOT_ROWS, keep = hot, scan.HOT_ROWS
+                got = {r.request_id: r.position for r in TR.rate_limit_verdicts(df, limit=1, interval_s=86400).collect()}
+                scan.HOT_ROWS = keep
+                assert got == {3: 1, 1: 2, 2: 3}, (zone, hot)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_edits_keep_carriage_returns(spark):
+    from skyledger.functions import text as X
+    df = spark.createDataFrame([("License.\r",), ("License.",), ('token = "a"\rb',)], "line string")
+    got = [tuple(r) for r in df.select(X.replace_at_end(F.col("line"), ".", "!"),
+                                       X.replace_rest(F.col("line"), "token = ", "X")).collect()]
+    assert got == [("License.\r", "License.\r"), ("License!", "License."), ('token = "a"\rb', "X")]
+
+
+def test_repeated_metadata_key(spark):
+    from skyledger.operators import nested as N
+    df = spark.createDataFrame([([("a", "1"), ("a", "2"), ("b", None)],), ([],)], "items array<struct<key:string,value:string>>")
+    got = [tuple(r) for r in df.select(*[N.lookup(F.col("items"), k) for k in ("a", "b", "c")]).collect()]
+    assert got == [("1", None, None), (None, None, None)]

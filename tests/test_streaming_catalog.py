@@ -94,7 +94,8 @@ def test_dataset_load_describe_stats(spark):
     df = spark.createDataFrame([(1, ("a", 2.0))], "id int, s struct<x:string,y:double>")
     name = C.load_table(spark, df, "t_ds", "t1")
     assert spark.table(name).count() == 1
-    assert C.table_stats(spark, name).first().num_rows == 1
+    stats = C.table_stats(spark, name).first()
+    assert (stats.num_rows, stats.num_bytes) == (1, 8 + 3 + 8) and stats.stored_bytes > 0
     assert ("s.x", "string", True) in C.schema_fields(spark.table(name).schema)
     import json
     doc = json.loads(C.schema_json(spark.table(name)))
@@ -154,3 +155,48 @@ def test_read_lines_tail_head(spark, tmpdir_path):
     last = tail(lines, 50).where(F.col("path").endswith("000000000")).orderBy("line_no").collect()
     assert len(last) == 50 and last[0].line == "line 71" and last[-1].line == "line 120"
     assert [r.line for r in head(lines, 1).orderBy("path").collect()] == ["line 1", "Pi is roughly 3.14"]
+
+
+def test_lines_of_a_file_in_many_splits(spark, tmpdir_path):
+    from skyledger.sources.files import read_lines
+    text = [f"line {i} " + "x" * (i % 40) for i in range(1, 4001)]
+    with open(f"{tmpdir_path}/big.log", "w") as f:
+        f.write("\n".join(text) + "\n")
+    with open(f"{tmpdir_path}/crlf.log", "w", newline="") as f:
+        f.write("a\r\n\r\nb")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        rows = read_lines(spark, tmpdir_path).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    got = {(r.path[-7:], r.line_no): (r.line, r.n_lines) for r in rows}
+    assert got == {**{("big.log", i + 1): (t, 4000) for i, t in enumerate(text)},
+                   **{("rlf.log", i + 1): (t, 3) for i, t in enumerate(["a\r", "\r", "b"])}}
+
+
+def test_billing_sees_changed_files(spark, tmpdir_path):
+    import shutil
+    from skyledger.plans import QUERIES
+    sf = f"{tmpdir_path}/sf"
+    shutil.copytree(SF_SMALL, sf)
+    n = QUERIES["billing_total_rows"](spark, sf).first().total_rows
+    first = C.location(spark, "billing_lab.billing_export")
+    assert QUERIES["billing_total_rows"](spark, sf).first().total_rows == n
+    assert C.location(spark, "billing_lab.billing_export") == first  # unchanged files: not loaded again
+    t = pq.read_table(f"{sf}/lineitem.parquet")
+    import pyarrow as pa
+    pq.write_table(pa.concat_tables([t, t]), f"{sf}/lineitem.parquet")
+    assert QUERIES["billing_total_rows"](spark, sf).first().total_rows == 2 * n
+    assert QUERIES["table_stats"](spark, sf).first().num_rows == 2 * n
+    import os
+    assert not os.path.exists(first.replace("file:", ""))  # the replaced table's files are gone
+
+
+def test_dataset_tables_expire(spark):
+    C.create_dataset(spark, "t_ttl", default_ttl_s=3600)
+    C.load_table(spark, spark.createDataFrame([(1,)], "id int"), "t_ttl", "t1", mode="overwrite")
+    assert [r.expired for r in C.expired_tables(spark, "t_ttl", "2000-01-01 00:00:00").collect()] == [False]
+    assert [r.expired for r in C.expired_tables(spark, "t_ttl", "2999-01-01 00:00:00").collect()] == [True]
