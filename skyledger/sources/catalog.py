@@ -170,11 +170,10 @@ def table_stats(spark: SparkSession, name: str) -> DataFrame:
     num_bytes, the logical size of the rows (see ``logical_bytes``), which does not depend on how
     the table is stored."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
-    stats = describe_table(spark, name).where("col_name = 'Statistics'").select("data_type")
-    return stats.selectExpr(
-        "CAST(regexp_extract(data_type, '([0-9]+) rows', 1) AS BIGINT) AS num_rows",
-        "CAST(regexp_extract(data_type, '([0-9]+) bytes', 1) AS BIGINT) AS stored_bytes").crossJoin(  # one row each
-        table_bytes(spark.table(name)))
+    text = describe_table(spark, name).where("col_name = 'Statistics'").first().data_type
+    rows, stored = (int(re.search(rf"([0-9]+) {what}", text)[1]) for what in ("rows", "bytes"))
+    return table_bytes(spark.table(name)).select(
+        F.lit(rows).cast("bigint").alias("num_rows"), "num_bytes", F.lit(stored).cast("bigint").alias("stored_bytes"))
 
 
 def logical_bytes(dt: T.DataType, value: Column) -> Column:
