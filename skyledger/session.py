@@ -10,6 +10,9 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ARROW_KEY, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+ARROW_BATCH = "8m"
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "skyledger") -> SparkSession:
@@ -85,9 +88,13 @@ def ship_package(spark: SparkSession) -> None:
 
     Functions that run in workers are pickled by reference, so the workers must
     be able to import the package. It is zipped once per session and handed to
-    ``addPyFile``; Spark serves it to the executors.
+    ``addPyFile``; Spark serves it to the executors. Arrow batches of texts are kept at
+    ``ARROW_BATCH`` unless the session sets a size: a batch is held by the JVM and by
+    the worker at once.
     """
     sc = spark.sparkContext
+    if spark.conf.get(_ARROW_KEY, None) == _ARROW_DEFAULT:
+        spark.conf.set(_ARROW_KEY, ARROW_BATCH)
     if getattr(sc, "_skyledger_shipped", False):
         return
     here = os.path.dirname(os.path.abspath(__file__))
