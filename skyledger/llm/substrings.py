@@ -12,9 +12,11 @@ on. This drops nothing that could match.
 
 Matching. Regions are routed by anchor. Equal regions are made one (with their smallest
 doc_id) in every part before the shuffle and again after it. The different regions of an
-anchor, with the anchor itself as one symbol, are laid into a text whose suffix array is
-built by linear grouping (``grouping.suffix_array``); neighbours in it whose first
-symbols span a window are equal windows, and a run of them shares its smallest doc_id.
+anchor are cut to what each shares with another one around the anchor (a longer match is
+impossible, and one shorter than a window is none). They are laid, with the anchor itself
+as one symbol, into a text whose suffix array is built by linear grouping
+(``grouping.suffix_array``); neighbours in it whose first symbols span a window are equal
+windows, and a run of them shares its smallest doc_id.
 
 Work is laid out in parts of about ``PART_BYTES``, stored as a table bucketed by part, so
 three passes over the texts need no further shuffle of them; what travels is packed
@@ -53,6 +55,7 @@ BLOCK = 1 << 17
 BUCKET_ANCHORS = 1 << 19
 HOT = 4096
 MANY = 64  # occurrences in one part that are told with the anchor
+RANGE_REGIONS = 1 << 14  # of a bucket, searched at a time; equal keys stay together
 TEXT_SYMBOLS = 1 << 15  # of one suffix array; an anchor's regions stay together
 NOBODY = np.iinfo(np.int64).max
 
@@ -295,65 +298,99 @@ def smallest_docs(group: list[tuple[bytes, int, int]]) -> list[np.ndarray]:
     return [out[a:a + n] for a, n in spans]
 
 
+def _longest_shared(texts: list[bytes]) -> list[int]:
+    """Length of the longest prefix that each text shares with any other of the list."""
+    order = sorted(range(len(texts)), key=texts.__getitem__)
+    out = [0] * len(texts)
+    for i, j in zip(order, order[1:]):
+        a, b = texts[i], texts[j]
+        n = min(len(a), len(b))
+        if a[:n] != b[:n]:
+            n = next(x for x in range(n) if a[x] != b[x])
+        out[i], out[j] = max(out[i], n), n
+    return out
+
+
+def trimmed(members: list[tuple[bytes, int]]) -> list[tuple[int, bytes, int] | None]:
+    """For the different regions (bytes, place of the anchor) of one anchor: each one cut to what
+    it shares with some other on the left and on the right of the anchor, as (bytes cut off in
+    front, bytes, place); None if that holds no window. Longer matches there are not."""
+    left = _longest_shared([raw[:place][::-1] for raw, place in members])
+    right = _longest_shared([raw[place + GRAM:] for raw, place in members])
+    return [(place - x, raw[place - x:place + GRAM + y], x) if x + y >= REST else None
+            for (raw, place), x, y in zip(members, left, right, strict=True)]
+
+
 def answer_regions(bucket: pa.Table) -> pa.Table:
     """For every part: runs of windows of its regions that a document smaller than the region's
-    smallest in that part has too."""
+    smallest in that part has too. The bucket's keys are searched in ranges, one after another."""
     bucket = bucket.sort_by("part")
-    keys, places, more, least = (_unpack(bucket.column(c), t) for c, t in
-                                 (("a", np.uint64), ("b", np.uint8), ("c", np.uint8), ("d", np.int64)))
+    blobs = list(zip(*(_unpack(bucket.column(c), t) for c, t in
+                       (("a", np.uint64), ("b", np.uint8), ("c", np.uint8), ("d", np.int64))),
+                     [r.as_py() for r in bucket.column("e")], strict=True))
+    size = sum(len(blob[0]) for blob in blobs)
+    every = np.sort(np.concatenate([blob[0] for blob in blobs]))
+    edges = np.unique(every[RANGE_REGIONS::RANGE_REGIONS]) if size > RANGE_REGIONS else every[:0]
+    cuts = [np.concatenate([[0], np.searchsorted(blob[0], edges), [len(blob[0])]]) for blob in blobs]
+    starts = [np.concatenate([[0], np.cumsum(blob[2].astype(np.int64) + WINDOW)]) for blob in blobs]
+    out: list[list] = [[] for _ in blobs]
+    for k in range(len(edges) + 1):
+        _answer_range([(blob, start, int(cut[k]), int(cut[k + 1])) for blob, start, cut in
+                       zip(blobs, starts, cuts, strict=True)], out)
+    return _message([
+        (part, number, ANSWERS, *(np.array([f[i] for f in found], t).tobytes() for i, t in
+                                  enumerate((np.int32, np.uint8, np.uint8, np.int64))),
+         np.int64(len(blob[0])).tobytes())
+        for part, number, blob, found in zip(bucket.column("part").to_pylist(), bucket.column("bucket").to_pylist(),
+                                             blobs, out, strict=True)])
+
+
+def _answer_range(blobs, out) -> None:
+    """Answers (entry, first window, last window, doc_id) of the entries from ``a`` to ``b`` of each blob."""
     merged: dict[int, dict[tuple, int]] = {}
-    refs = []
-    for k, p, m, n, raw in zip(keys, places, more, least, bucket.column("e"), strict=True):
-        raw, at, mine = raw.as_py(), 0, []
-        for key, place, extra, doc in zip(k.tolist(), p.tolist(), m.tolist(), n.tolist(), strict=True):
-            region = (raw[at:at + WINDOW + extra], place)
-            at += WINDOW + extra
+    for (keys, places, _, least, raw), start, a, b in blobs:
+        for key, place, doc, x, y in zip(keys[a:b].tolist(), places[a:b].tolist(), least[a:b].tolist(),
+                                         start[a:b].tolist(), start[a + 1:b + 1].tolist(), strict=True):
             group = merged.setdefault(key, {})
+            region = (raw[x:y], place)
             group[region] = min(doc, group.get(region, NOBODY))
-            mine.append((key, region))
-        refs.append(mine)
     answer: dict[tuple, np.ndarray] = {}
     batch, size = [], 0
 
     def solve():
-        flat = [(key, region) for key, members in batch for region in members]
-        found = smallest_docs([[(raw, place, doc) for (raw, place), doc in members.items()] for _, members in batch])
-        answer.update(zip(flat, found, strict=True))
-
-    for key, members in merged.items():
-        if len(members) > 1:  # equal windows of one region's copies need no further search
-            batch.append((key, members))
-            size += sum(len(raw) for raw, _ in members)
-            if size > TEXT_SYMBOLS:
-                solve()
-                batch, size = [], 0
+        found = smallest_docs([[(raw, place, doc) for _, _, raw, place, doc in members] for _, members in batch])
+        for (key, region, front, doc), least in zip(
+                [(key, region, front, doc) for key, members in batch for region, front, _, _, doc in members],
+                found, strict=True):
+            whole = np.full(len(region[0]) - WINDOW + 1, doc)
+            whole[front:front + len(least)] = least
+            answer[key, region] = whole
+
+    for key, group in merged.items():
+        if len(group) > 1:
+            cut = trimmed(list(group))
+            members = [(region, *c, doc) for (region, doc), c in zip(group.items(), cut, strict=True) if c]
+            if members:
+                batch.append((key, members))
+                size += sum(len(m[2]) for m in members)
+                if size > TEXT_SYMBOLS:
+                    solve()
+                    batch, size = [], 0
     if batch:
         solve()
-    rows = []
-    for part, number, mine, n in zip(bucket.column("part").to_pylist(), bucket.column("bucket").to_pylist(), refs,
-                                     least, strict=True):
-        entry, low, high, doc = [], [], [], []
-        for e, ((key, region), own) in enumerate(zip(mine, n.tolist(), strict=True)):
-            found = answer.get((key, region))
-            if found is None:
-                whole = merged[key][region]
-                if whole < own:
-                    entry.append(e)
-                    low.append(0)
-                    high.append(len(region[0]) - WINDOW)
-                    doc.append(whole)
-            elif found.min() < own:
-                edge = np.nonzero(np.concatenate([[True], found[1:] != found[:-1]]))[0].tolist()
-                for a, b in zip(edge, [*edge[1:], len(found)], strict=True):
-                    if found[a] < own:
-                        entry.append(e)
-                        low.append(a)
-                        high.append(b - 1)
-                        doc.append(int(found[a]))
-        rows.append((part, number, ANSWERS, np.array(entry, np.int32).tobytes(), np.array(low, np.uint8).tobytes(),
-                     np.array(high, np.uint8).tobytes(), np.array(doc, np.int64).tobytes(),
-                     np.int64(len(mine)).tobytes()))
-    return _message(rows)
+    for ((keys, places, _, least, raw), start, a, b), found in zip(blobs, out, strict=True):
+        for e, key, place, own, x, y in zip(range(a, b), keys[a:b].tolist(), places[a:b].tolist(),
+                                            least[a:b].tolist(), start[a:b].tolist(), start[a + 1:b + 1].tolist(),
+                                            strict=True):
+            region = (raw[x:y], place)
+            docs = answer.get((key, region))
+            if docs is None:
+                doc = merged[key][region]
+                if doc < own:
+                    found.append((e, 0, y - x - WINDOW, doc))
+            elif docs.min() < own:
+                edge = [0, *(np.nonzero(docs[1:] != docs[:-1])[0] + 1).tolist(), len(docs)]
+                found += [(e, i, j - 1, int(docs[i])) for i, j in zip(edge, edge[1:]) if docs[i] < own]
 
 
 # ------------------------------------------------------- pass 3: removal
