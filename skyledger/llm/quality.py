@@ -33,9 +33,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm.langid import held_out
 from skyledger.llm.registry import register, table
 from skyledger.session import ship_package, stage_table
 
@@ -159,10 +160,6 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.curve[0] * self.margin(indicators(text)) + self.curve[1], -30, 30))))
 
 
-def held_out(doc_id: Column) -> Column:
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
-
-
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Model from ``labels`` (doc_id, quality) of ``docs`` (doc_id, text) outside the held-out fifth."""
     ship_package(docs.sparkSession)
