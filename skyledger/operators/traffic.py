@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.operators.network import policy_first_match
 from skyledger.operators.scan import running
 from skyledger.sources import literals
 
@@ -64,6 +65,21 @@ def rate_limit_verdicts(requests: DataFrame, key: str = "ip", ts: str = "ts", id
                         .otherwise(F.lit(exceed_action)))
 
 
+def policy_verdicts(requests: DataFrame, policy_json: str = literals.SECURITY_POLICY_JSON, key: str = "ip",
+                    ts: str = "ts", id_col: str = "request_id") -> DataFrame:
+    """Verdicts of a whole request policy: a request gets the action of its first matching rule;
+    only those that the throttle rule matches are counted against that rule's limit. Adds
+    rule_priority, rule_action and verdict (no rule: NULL)."""
+    rule = literals.throttle(policy_json)
+    matched = policy_first_match(requests, key, policy_json)
+    throttled = F.col("rule_priority").eqNullSafe(F.lit(rule["priority"])) & (F.col("rule_action") == "throttle")
+    limited = rate_limit_verdicts(matched.where(throttled), key, ts, id_col, rule["count"], rule["interval_s"],
+                                  rule["exceed_action"])
+    others = matched.where(~F.coalesce(throttled, F.lit(False))).withColumn("verdict", F.col("rule_action"))
+    columns = [*matched.columns, "verdict"]
+    return limited.select(columns).unionByName(others.select(columns))
+
+
 def replica_recommendation(load: DataFrame, group: str, ts: str, interval_s: int = 60,
                            max_rate_per_instance: float = BACKEND["max_rate_per_instance"],
                            target_utilization: float = literals.AUTOSCALER["target_utilization"],

@@ -218,3 +218,18 @@ def test_repeated_metadata_key(spark):
     df = spark.createDataFrame([([("a", "1"), ("a", "2"), ("b", None)],), ([],)], "items array<struct<key:string,value:string>>")
     got = [tuple(r) for r in df.select(*[N.lookup(F.col("items"), k) for k in ("a", "b", "c")]).collect()]
     assert got == [("1", None, None), (None, None, None)]
+
+
+def test_policy_verdicts_limit_only_throttled_requests(spark):
+    import json
+    rule = lambda action, priority, ranges, **more: {
+        "action": action, "priority": priority, "match": {"config": {"srcIpRanges": ranges}}, **more}
+    doc = json.dumps({"rules": [
+        rule("allow", 1, ["10.0.0.0/8"]), rule("deny(404)", 2, ["11.0.0.0/8"]),
+        rule("throttle", 3, ["*"], rateLimitOptions={"exceedAction": "deny(429)", "conformAction": "allow",
+             "enforceOnKey": "IP", "rateLimitThreshold": {"count": 1, "intervalSec": 60}})]})
+    rows = [(i, ip, "2024-01-01 00:00:0%d" % i) for i, ip in enumerate(["10.0.0.1", "10.0.0.1", "11.0.0.1", "9.9.9.9", "9.9.9.9"])]
+    df = spark.createDataFrame(rows, "request_id int, ip string, t string").select(
+        "request_id", "ip", F.col("t").cast("timestamp_ntz").alias("ts"))
+    got = {r.request_id: r.verdict for r in TR.policy_verdicts(df, doc).collect()}
+    assert got == {0: "allow", 1: "allow", 2: "deny(404)", 3: "allow", 4: "deny(429)"}
