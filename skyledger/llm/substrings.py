@@ -147,7 +147,9 @@ def regions(texts):
         owner = np.searchsorted(begin, window[first], side="right") - 1
         last = window[np.append(np.nonzero(first)[0][1:], len(at)) - 1]
         move = shift[owner]
-        out.append([text[owner], window[first] + move, last + move, at[first] + move, hashes[at[first]]])
+        # anchors have small hashes by their nature; scrambled once more, they spread over all buckets
+        out.append([text[owner], window[first] + move, last + move, at[first] + move,
+                    _scramble(hashes[at[first]] * np.uint64(_MULTIPLY))])
     return [np.concatenate(c) for c in zip(*out, strict=True)]
 
 
