@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 from helpers import edge_docs, edge_rows, empty_docs
 
@@ -61,6 +62,22 @@ def test_shared_passages(spark, hot):
     assert rows_of(S.dedup_substrings(df, part_bytes=2000, hot_above=hot)) == plain(rows)
 
 
+def test_anchor_keys_fill_all_buckets():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(5000)).encode() for _ in range(20)]
+    key = S.regions(texts)[4]
+    size = np.bincount((key >> np.uint64(60)).astype(np.int64), minlength=16)
+    assert len(key) > 5000 and size.max() < 1.5 * size.mean() and size.min() > 0.5 * size.mean()
+
+
+def test_hot_repeated_bytes():
+    """A run of one byte has one anchor, over and over; its regions still agree with a plain search."""
+    texts = [b"x" * 500, b"y" + b"x" * 120, b"x" * 49, b"x" * 50]
+    text, low, high, at, key = S.regions(texts)
+    assert sorted(set(text.tolist())) == [0, 1, 3]
+    assert sum((high - low + 1)[text == 0]) == 451 and sum((high - low + 1)[text == 3]) == 1
+
+
 def test_long_text_in_segments(spark):
     rng = random.Random(5)
     base = "".join(rng.choice("abcdefgh ") for _ in range(300_000))
