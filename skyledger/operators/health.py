@@ -27,9 +27,9 @@ HC = literals.HEALTH_CHECK
 
 def probe_outcomes(probes: DataFrame, timeout_s: float = HC["timeout_s"],
                    initial_delay_s: int = HC["initial_delay_s"]) -> DataFrame:
-    """success = answered within the timeout; counted = after the initial delay."""
-    first = probes.groupBy("instance").agg(F.min("ts").alias("first_ts"))
-    d = probes.join(first, on="instance")
+    """success = answered within the timeout; counted = after the initial delay. An instance's
+    first probe time is a running minimum in time order, so a very busy instance is split."""
+    d = running(probes, ["instance"], ["ts", "probe_id"], {"first_ts": ("min", F.col("ts"))})
     return d.select(
         "probe_id", "instance", "ts",
         (F.col("ok") & (F.col("latency_s") <= F.lit(float(timeout_s)))).alias("success"),
