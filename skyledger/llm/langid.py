@@ -37,6 +37,7 @@ BLOCK_CHARS, BLOCK_TEXTS = 1 << 20, 256
 CELLS = 1 << 22  # of one count matrix
 TRIGRAMS = 4096  # bound at a time
 UNDETERMINED = "und"
+JUDGED_CHARS = 200  # texts of so many characters are held against chance
 
 
 @lru_cache(maxsize=1)
@@ -204,13 +205,15 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataF
 
 
 def keep_identified(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataFrame:
-    """Rows of ``docs`` written in a learned language. A text is rejected if it has no letter or
-    if its best cosine is one that a random vector reaches (three standard deviations)."""
+    """Rows of ``docs`` written in a learned language. A text is rejected if it has no letter, or if
+    it has ``JUDGED_CHARS`` characters and its best cosine is one that a random vector reaches
+    (three standard deviations); a shorter text shows too little to be judged and stays."""
     chance = 3 / prototypes.shape[1] ** 0.5
     found = predictor(names, prototypes)(F.col("text"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    spoken = (F.col("found.score") > chance) | (F.length("row.text") < JUDGED_CHARS)
     return (docs.select(row.alias("row"), found.alias("found"))
-            .filter((F.col("found.lang") != UNDETERMINED) & (F.col("found.score") > chance)).select("row.*"))
+            .filter((F.col("found.lang") != UNDETERMINED) & spoken).select("row.*"))
 
 
 def train_split(docs: DataFrame) -> DataFrame:

@@ -63,3 +63,11 @@ def test_edges(spark):
     names, unit = L.train(L.train_split(empty_docs(spark)))
     assert names == [] and L.identify(edge_docs(spark), names, unit).filter("lang_pred <> 'und'").count() == 0
     assert L.identify(empty_docs(spark), names, unit).count() == 0
+
+
+def test_only_texts_that_can_be_judged_are_rejected(spark):
+    names, unit = L.train(spark.createDataFrame([("the cat and the hat sat there with them " * 20, "en")],
+                                                "text string, lang string"))
+    rows = [(1, "Avec."), (2, "the cat"), (3, "zqx wvk " * 40), (4, "漢字仮名 " * 60), (5, "漢字"), (6, "the hat and " * 30), (7, "1 2 3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in L.keep_identified(docs, names, unit).collect()} == {1, 2, 5, 6}
