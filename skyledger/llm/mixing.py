@@ -18,7 +18,9 @@ most once, and no block is taken more than ``MAX_REPEATS`` times. Blocks and doc
 meet by an equi-join on (source, block index).
 
 Skew: a hot source is laid out by prefix sums over hash buckets of a bounded number of
-documents, not by one window; joins use (source, block), which no source dominates.
+documents, not by one window; joins use (source, block), which no source dominates. They
+are merge joins by hint: slots are made from a small table of draws, whose size says
+nothing about theirs, so the planner would broadcast them.
 Repeated rows (same source, doc_id and text) are counted before the shuffle and share
 one stretch of the source; they are interchangeable.
 
@@ -215,7 +217,7 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
     documents = plan.documents()
     times = plan.slots().groupBy("source_no", "block").agg(F.count("*").alias("times"))
     row = ["doc_id", "size", "source_size", "target"]
-    taken = (plan.overlaps(documents).join(times, ["source_no", "block"], "left")
+    taken = (plan.overlaps(documents).join(times.hint("merge"), ["source_no", "block"], "left")
              .groupBy("source_no", "start", *row)
              .agg(F.sum((F.col("to") - F.col("from")) * F.coalesce("times", F.lit(0))).cast("long").alias("taken")))
     empty = documents.filter("size = 0").select(*row, F.lit(0).cast("long").alias("taken"))
@@ -227,7 +229,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     one row with the words taken (runs of words as they stand in the text, joined by a line end)
     and its n_chars. A document that is taken whole keeps its text as it is."""
     plan = Mix(docs, **settings)
-    ranges = (plan.overlaps(plan.documents()).join(plan.slots(), ["source_no", "block"])
+    ranges = (plan.overlaps(plan.documents()).join(plan.slots().hint("merge"), ["source_no", "block"])
               .groupBy("source_no", "start", "pass", "doc_id", "text_hash", "size")
               .agg(F.array_sort(F.collect_list(F.struct("from", "to"))).alias("ranges")))
     names = plan.sources().select("source_no", F.col("name").alias("source"))
@@ -244,7 +246,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
         return pa.array([cut_words(t.as_py(), n.as_py(), r.as_py()) for t, n, r in
                          zip(texts, sizes, ranges, strict=True)], pa.string())
 
-    taken = wanted.join(whole, "key").select("row", cut(F.col("row.text"), F.col("size"), F.col("ranges")).alias("cut"))
+    taken = wanted.hint("merge").join(whole, "key").select("row", cut(F.col("row.text"), F.col("size"), F.col("ranges")).alias("cut"))
     new = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
     return taken.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 

@@ -228,7 +228,10 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     chunk = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
         F.least(F.col("chunk"), j).alias("lo"), F.greatest(F.col("chunk"), j).alias("hi")))
-    members = (keys.join(bounded_broadcast(shared, SHARED_BROADCAST_BYTES), "key").withColumn("chunk", chunk)
+    side = bounded_broadcast(shared, SHARED_BROADCAST_BYTES)
+    if side is shared:  # keys come from a smaller table, so the planner would think them small
+        side = shared.hint("merge")
+    members = (keys.join(side, "key").withColumn("chunk", chunk)
                .select("key", "fp", F.inline(cells)).select("key", "lo", "hi", "fp"))
     return (members.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
             .mapInArrow(lambda batches: _search(batches, max_bits), "u long, v long").distinct())
