@@ -68,6 +68,7 @@ def test_every_pair_within_four_bits_shares_a_key():
 
 def test_links_with_chunks(spark, monkeypatch):
     monkeypatch.setattr(S, "CHUNK", 5)  # every crowded key is cut
+    monkeypatch.setattr(S, "SHARED_BROADCAST_BYTES", 0)  # and keys are joined by a shuffle
     rng = np.random.default_rng(3)
     prints = set()
     for _ in range(12):
