@@ -39,9 +39,27 @@ def suffix_array(text: list[int]) -> list[int]:
     high = n
     while high:
         low = start[order[high - 1]]
+        if high - low == 1:  # most groups end as one suffix
+            i = order[low]
+            p = i - 1
+            while p >= 0 and start[p] >= low:
+                p = previous[p]
+            previous[i] = p
+            if p >= 0:
+                end[p] = end[i]
+                group = start[p]
+                last = stop[group] - 1
+                if last > group:
+                    stop[group] = last
+                    other, here = order[last], place[p]
+                    order[here], order[last] = other, p
+                    place[other], place[p] = here, last
+                    start[p] = last
+                    stop[last] = last + 1
+            high = low
+            continue
         members = order[low:high]
-        if high - low > 1:
-            members.sort()
+        members.sort()
         count: dict[int, int] = {}
         for i in members:
             p = i - 1

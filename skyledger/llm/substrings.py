@@ -243,25 +243,34 @@ class PartRegions:
             occurrence = [np.concatenate(p) for p in zip(occurrence, [t, s, s, gram, own], strict=True)]
         self.text, self.low, self.high, place, key = occurrence
         self.doc = ids[self.text] if len(self.text) else np.zeros(0, np.int64)
-        known: dict[tuple, int] = {}
-        which = np.zeros(len(key), dtype=np.int64)
-        first = []
-        for j, (t, a, b, p, k) in enumerate(zip(*(c.tolist() for c in (self.text, self.low, self.high, place, key)),
-                                                strict=True)):
-            e = which[j] = known.setdefault((k, p, texts[t][a:b + WINDOW]), len(known))
-            if e == len(first):
-                first.append(j)
-        first = np.array(first, dtype=np.int64)
-        order = np.argsort(key[first], kind="stable")
-        rank = np.empty(len(order), dtype=np.int64)
-        rank[order] = np.arange(len(order))
-        self.owner, first = rank[which], first[order]
-        self.key, self.place = key[first], place[first]
-        self.more = (self.high - self.low)[first]
-        self.least = np.full(len(first), NOBODY)
+        more = self.high - self.low
+        order = np.lexsort((more, place, key))
+        # regions can be equal only if key, place and length are; then the bytes decide
+        k, p, m = key[order], place[order], more[order]
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (k[1:] != k[:-1]) | (p[1:] != p[:-1]) | (m[1:] != m[:-1])
+        group = np.cumsum(new) - 1
+        kind = np.zeros(len(order), dtype=np.int64)
+        here, known = -1, {}
+        for j in np.nonzero(np.bincount(group)[group] > 1)[0].tolist() if len(group) else []:
+            if group[j] != here:
+                here, known = group[j], {}
+            i = order[j]
+            kind[j] = known.setdefault(texts[self.text[i]][self.low[i]:self.high[i] + WINDOW], len(known))
+        _, first, entry = np.unique(group * (kind.max(initial=0) + 1) + kind, return_index=True, return_inverse=True)
+        self.first = order[first]
+        self.owner = np.empty(len(order), dtype=np.int64)
+        self.owner[order] = entry
+        self.key, self.place, self.more = key[self.first], place[self.first], more[self.first]
+        self.least = np.full(len(self.first), NOBODY)
         np.minimum.at(self.least, self.owner, self.doc)
-        self.bytes = [texts[t][a:b + WINDOW] for t, a, b in
-                      zip(self.text[first].tolist(), self.low[first].tolist(), self.high[first].tolist())]
+        self.texts = texts
+
+    def bytes(self, a: int, b: int) -> bytes:
+        """The regions of the entries from ``a`` to ``b``, end to end."""
+        some = self.first[a:b]
+        return b"".join([self.texts[t][x:y + WINDOW] for t, x, y in zip(
+            self.text[some].tolist(), self.low[some].tolist(), self.high[some].tolist(), strict=True)])
 
 
 def send_regions(part: pa.Table, masks: pa.Table, bits: int) -> pa.Table:
@@ -270,7 +279,7 @@ def send_regions(part: pa.Table, masks: pa.Table, bits: int) -> pa.Table:
     r = PartRegions(*_texts(part), masks)
     number = part.column("part")[0].as_py()
     return _message([(number, bucket, 0, r.key[a:b].tobytes(), r.place[a:b].astype(np.uint8).tobytes(),
-                      r.more[a:b].astype(np.uint8).tobytes(), r.least[a:b].tobytes(), b"".join(r.bytes[a:b]))
+                      r.more[a:b].astype(np.uint8).tobytes(), r.least[a:b].tobytes(), r.bytes(a, b))
                      for bucket, a, b in _by_bucket(r.key, bits)])
 
 
@@ -350,46 +359,52 @@ def answer_regions(bucket: pa.Table) -> pa.Table:
 def _answer_range(blobs, out) -> None:
     """Answers (entry, first window, last window, doc_id) of the entries from ``a`` to ``b`` of each blob."""
     merged: dict[int, dict[tuple, int]] = {}
+    entries = []
     for (keys, places, _, least, raw), start, a, b in blobs:
+        mine = []
         for key, place, doc, x, y in zip(keys[a:b].tolist(), places[a:b].tolist(), least[a:b].tolist(),
                                          start[a:b].tolist(), start[a + 1:b + 1].tolist(), strict=True):
-            group = merged.setdefault(key, {})
+            group = merged.get(key)
+            if group is None:
+                group = merged[key] = {}
             region = (raw[x:y], place)
-            group[region] = min(doc, group.get(region, NOBODY))
-    answer: dict[tuple, np.ndarray] = {}
+            known = group.get(region)
+            if known is None or doc < known:
+                group[region] = doc
+            mine.append((group, region, doc))
+        entries.append(mine)
+    answer: dict[int, dict[tuple, np.ndarray]] = {}  # by identity of the group
     batch, size = [], 0
 
     def solve():
-        found = smallest_docs([[(raw, place, doc) for _, _, raw, place, doc in members] for _, members in batch])
-        for (key, region, front, doc), least in zip(
-                [(key, region, front, doc) for key, members in batch for region, front, _, _, doc in members],
-                found, strict=True):
-            whole = np.full(len(region[0]) - WINDOW + 1, doc)
-            whole[front:front + len(least)] = least
-            answer[key, region] = whole
-
-    for key, group in merged.items():
+        found = iter(smallest_docs([[(raw, place, doc) for _, _, raw, place, doc in members] for _, members in batch]))
+        for group, members in batch:
+            mine = answer[id(group)] = {}
+            for region, front, _, _, doc in members:
+                least = next(found)
+                whole = mine[region] = np.full(len(region[0]) - WINDOW + 1, doc)
+                whole[front:front + len(least)] = least
+
+    for group in merged.values():
         if len(group) > 1:
             cut = trimmed(list(group))
             members = [(region, *c, doc) for (region, doc), c in zip(group.items(), cut, strict=True) if c]
             if members:
-                batch.append((key, members))
+                batch.append((group, members))
                 size += sum(len(m[2]) for m in members)
                 if size > TEXT_SYMBOLS:
                     solve()
                     batch, size = [], 0
     if batch:
         solve()
-    for ((keys, places, _, least, raw), start, a, b), found in zip(blobs, out, strict=True):
-        for e, key, place, own, x, y in zip(range(a, b), keys[a:b].tolist(), places[a:b].tolist(),
-                                            least[a:b].tolist(), start[a:b].tolist(), start[a + 1:b + 1].tolist(),
-                                            strict=True):
-            region = (raw[x:y], place)
-            docs = answer.get((key, region))
+    for (_, _, a, _), mine, found in zip(blobs, entries, out, strict=True):
+        for e, (group, region, own) in enumerate(mine, a):
+            docs = answer.get(id(group), group)
+            docs = docs.get(region) if docs is not group else None
             if docs is None:
-                doc = merged[key][region]
+                doc = group[region]
                 if doc < own:
-                    found.append((e, 0, y - x - WINDOW, doc))
+                    found.append((e, 0, len(region[0]) - WINDOW, doc))
             elif docs.min() < own:
                 edge = [0, *(np.nonzero(docs[1:] != docs[:-1])[0] + 1).tolist(), len(docs)]
                 found += [(e, i, j - 1, int(docs[i])) for i, j in zip(edge, edge[1:]) if docs[i] < own]
