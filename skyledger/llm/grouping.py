@@ -69,7 +69,7 @@ def suffix_array(text: list[int]) -> list[int]:
             if p >= 0:
                 count[p] = count.get(p, 0) + 1
                 end[p] = end[i]
-        if len(count) == 1:
+        if not count or max(count.values()) == 1:
             levels = [list(count)]
         else:
             by_count: dict[int, list[int]] = {}
@@ -77,24 +77,21 @@ def suffix_array(text: list[int]) -> list[int]:
                 by_count.setdefault(c, []).append(p)
             levels = [by_count[c] for c in sorted(by_count, reverse=True)]
         for parents in levels:  # most continuations first: they go to the very end
-            touched = set()
+            top: dict[int, int] = {}
             for p in parents:
                 group = start[p]
-                last = stop[group] - 1
+                last = stop[group]
+                if group not in top:
+                    top[group] = last
+                last -= 1
                 stop[group] = last
-                other = order[last]
-                here = place[p]
+                other, here = order[last], place[p]
                 order[here], order[last] = other, p
                 place[other], place[p] = here, last
-                touched.add(group)
-            ends = {group: stop[group] for group in touched}
-            moved: dict[int, int] = {}
             for p in parents:
-                new = ends[start[p]]
-                moved[new] = moved.get(new, 0) + 1
-                start[p] = new
-            for new, size in moved.items():
-                stop[new] = new + size
+                start[p] = stop[start[p]]
+            for group, after in top.items():
+                stop[stop[group]] = after
         high = low
 
     following: list[int] = [-1] * (n + 1)  # suffixes whose Lyndon prefix ends at a place, as chains
