@@ -8,7 +8,7 @@ state (UNKNOWN before the first decision).
 
 Batch plan: three running scans over one keying and order, so ordinary instances take
 one shuffle and a very busy one is split (see ``scan``):
-1. position of each counted probe;
+1. position of each counted probe (probes that do not count have no part in what follows);
 2. position of the last success and of the last failure so far: the current run is what
    lies behind the last probe of the other outcome;
 3. a decisive mark where the run reaches its threshold, and the state as the last mark.
@@ -41,16 +41,15 @@ def health_state(outcomes: DataFrame, healthy_threshold: int = HC["healthy_thres
     """State after each probe (probe_id, instance, ts, success, counted, state)."""
     columns = ["probe_id", "instance", "ts", "success", "counted"]
     order = ["ts", "probe_id"]
-    c = outcomes.where("counted").select(*columns)
+    c = outcomes.select(*columns)
     scan = {"keys": ["instance"], "order": order, "hot": hot_keys(c, ["instance"], order)}
-    c = running(c, aggs={"pos": ("sum", F.lit(1).cast("bigint"))}, **scan)
-    c = running(c, aggs={"last_ok": ("max", F.when(F.col("success"), F.col("pos"))),
-                         "last_fail": ("max", F.when(~F.col("success"), F.col("pos")))}, **scan)
-    run_len = F.col("pos") - F.coalesce(F.when(F.col("success"), F.col("last_fail")).otherwise(F.col("last_ok")),
-                                        F.lit(0))
-    mark = (F.when(F.col("success") & (run_len >= healthy_threshold), F.lit("HEALTHY"))
-            .when(~F.col("success") & (run_len >= unhealthy_threshold), F.lit("UNHEALTHY")))
+    counted, ok = F.col("counted"), F.col("success")
+    c = running(c, aggs={"pos": ("sum", F.when(counted, F.lit(1).cast("bigint")))}, **scan)
+    c = running(c, aggs={"last_ok": ("max", F.when(counted & ok, F.col("pos"))),
+                         "last_fail": ("max", F.when(counted & ~ok, F.col("pos")))}, **scan)
+    run_len = F.col("pos") - F.coalesce(F.when(ok, F.col("last_fail")).otherwise(F.col("last_ok")), F.lit(0))
+    mark = (F.when(counted & ok & (run_len >= healthy_threshold), F.lit("HEALTHY"))
+            .when(counted & ~ok & (run_len >= unhealthy_threshold), F.lit("UNHEALTHY")))
     c = running(c.withColumn("mark", mark), aggs={"state": ("last", F.col("mark"))}, **scan)
-    counted = c.select(*columns, F.coalesce(F.col("state"), F.lit("UNKNOWN")).alias("state"))
-    skipped = outcomes.where(~F.col("counted")).select(*columns, F.lit("UNKNOWN").alias("state"))
-    return counted.unionByName(skipped)
+    return c.select(*columns, F.when(counted, F.coalesce(F.col("state"), F.lit("UNKNOWN")))
+                    .otherwise(F.lit("UNKNOWN")).alias("state"))
