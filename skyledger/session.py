@@ -11,7 +11,7 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _ARROW_KEY, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
-ARROW_BATCH = "8m"
+ARROW_BATCH = "2m"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
