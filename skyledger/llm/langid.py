@@ -33,9 +33,9 @@ from skyledger.session import ship_package
 DIMENSIONS = 1024
 SEED = 7
 MAX_LANGUAGES = 1000
-BLOCK_CHARS, BLOCK_TEXTS = 1 << 20, 256
-CELLS = 1 << 22  # of one count matrix
-TRIGRAMS = 4096  # bound at a time
+BLOCK_CHARS, BLOCK_TEXTS = 1 << 19, 128
+CELLS = 1 << 21  # of one count matrix
+TRIGRAMS = 2048  # bound at a time
 UNDETERMINED = "und"
 JUDGED_CHARS = 200  # texts of so many characters are held against chance
 

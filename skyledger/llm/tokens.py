@@ -24,7 +24,7 @@ _PLAIN = re.compile(r"[!-~À-ÖØ-öø-įı-ɏ]+")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^0-9a-zß-öø-ɏ]+")
 _SPACE = re.compile(rb"[ \t-\r]")
 
-MEMORY_ENTRIES = 150_000  # per memory; beyond it, ids are computed and not kept
+MEMORY_ENTRIES = 60_000  # per memory; beyond it, ids are computed and not kept
 KEEP_BYTES = 40
 SLICE_BYTES = 4 << 20
 
