@@ -8,7 +8,7 @@ read again as the next stage's ``docs``. All but the last return the columns of
 
 from __future__ import annotations
 
-from skyledger.llm.langid import keep_identified, train, train_split
+from skyledger.llm.langid import floors, keep_identified, learn, train_split, unit_rows
 from skyledger.llm.mixing import mixed_documents
 from skyledger.llm.packing import pack, tokenizer_file
 from skyledger.llm.secret_scan import redact
@@ -20,7 +20,9 @@ ORACLE_SQL = None  # random vectors, permutations and tokenizer ids are not SQL
 
 def language_id(spark, docs, sf_dir):
     """Keeps documents written in a language learned from the training split of ``docs``."""
-    return keep_identified(docs, *train(train_split(docs)))
+    split = train_split(docs)
+    names, sums = learn(split)
+    return keep_identified(docs, names, unit_rows(sums), floors(split, names, sums))
 
 
 def near_duplicates(spark, docs, sf_dir):

@@ -12,6 +12,11 @@ one vector per language and task and then adds them per component; only the prot
 (languages x dimensions) reach the driver. ``max_languages`` bounds them; more names than
 that are an error, not a cut.
 
+``keep_identified`` judges a text of ``JUDGED_CHARS`` characters by the mean cosine of its
+trigrams with a prototype, which does not depend on how many trigrams it has. ``floors``
+has the lowest such mean of a language's training texts, each against the bundle of the
+others; a language of many letters spreads its trigrams, so genuine texts lie low.
+
 Defined results: ``und`` with score 0 for a null text, a text without a letter, or when
 nothing was learned; a null doc_id counts as an empty text in the split, so it is held
 out; rows with a null lang or text teach nothing; repeated rows teach repeatedly; whole
@@ -126,9 +131,9 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def train(labelled: DataFrame, dimensions: int = DIMENSIONS,
+def learn(labelled: DataFrame, dimensions: int = DIMENSIONS,
           max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
-    """Language names in order and their prototypes (unit rows) from rows (text, lang)."""
+    """Language names in order and the bundles of their training texts from rows (text, lang)."""
     ship_package(labelled.sparkSession)
 
     def rows(sums):
@@ -159,29 +164,71 @@ def train(labelled: DataFrame, dimensions: int = DIMENSIONS,
     if len(learned) > max_languages:
         raise ValueError(f"more than {max_languages} languages; raise max_languages if this is meant")
     learned = [(name, bundle) for name, bundle in learned if any(bundle)]
-    if not learned:
-        return [], np.zeros((0, dimensions))
-    unit = np.array([b for _, b in learned], dtype=np.float64)
-    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-    return [name for name, _ in learned], unit
+    return [name for name, _ in learned], np.array([b for _, b in learned], np.float64).reshape(-1, dimensions)
+
+
+def unit_rows(sums: np.ndarray) -> np.ndarray:
+    return sums / np.linalg.norm(sums, axis=1, keepdims=True)
+
+
+def train(labelled: DataFrame, dimensions: int = DIMENSIONS,
+          max_languages: int = MAX_LANGUAGES) -> tuple[list[str], np.ndarray]:
+    """Language names in order and their prototypes (unit rows) from rows (text, lang)."""
+    names, sums = learn(labelled, dimensions, max_languages)
+    return names, unit_rows(sums)
+
+
+def floors(labelled: DataFrame, names: list[str], sums: np.ndarray) -> np.ndarray:
+    """For each learned language the lowest mean trigram cosine of a training text of
+    ``JUDGED_CHARS`` characters with the bundle of the language's other texts; NaN with fewer than
+    two such texts."""
+    ship_package(labelled.sparkSession)
+    place, dimensions = {n: i for i, n in enumerate(names)}, sums.shape[1]
+
+    def run(batches):
+        count, least = np.zeros(len(names), dtype=np.int64), np.full(len(names), np.inf)
+        for batch in batches:
+            for first in range(0, len(batch), BLOCK_TEXTS):
+                texts = [t.as_py() for t in batch.column(0).slice(first, BLOCK_TEXTS)]
+                langs = np.array([place[n] for n in batch.column(1).slice(first, BLOCK_TEXTS).to_pylist()])
+                vectors = bundles(texts, range(len(texts)), len(texts), dimensions)
+                rest = sums[langs] - vectors
+                size = np.linalg.norm(rest, axis=1) * np.array([letters(t) for t in texts]) * dimensions ** 0.5
+                some = size > 0
+                mean = (vectors * rest).sum(axis=1)[some] / size[some]
+                np.add.at(count, langs[some], 1)
+                np.minimum.at(least, langs[some], mean)
+        for i in np.nonzero(count)[0].tolist():
+            yield pa.RecordBatch.from_pydict({"lang": [names[i]], "n": [int(count[i])], "least": [float(least[i])]})
+
+    parts = (labelled.select("text", "lang").filter(F.col("lang").isin(names) & (F.length("text") >= JUDGED_CHARS))
+             .mapInArrow(run, "lang string, n long, least double"))
+    out = np.full(len(names), np.nan)
+    for r in parts.groupBy("lang").agg(F.sum("n").alias("n"), F.min("least").alias("least")).collect():
+        if r.n > 1:
+            out[place[r.lang]] = r.least
+    return out
+
+
+def _cosines(texts: pa.Array, prototypes: np.ndarray):
+    """Blocks of texts: the texts, the lengths of their vectors, and their cosines with the prototypes."""
+    for first in range(0, len(texts), BLOCK_TEXTS):
+        some = [t.as_py() for t in texts.slice(first, BLOCK_TEXTS)]
+        vectors = bundles(some, range(len(some)), len(some), prototypes.shape[1])
+        size = np.linalg.norm(vectors, axis=1)
+        yield some, size, vectors @ prototypes.T / np.maximum(size, 1e-12)[:, None]
 
 
 def predictor(names: list[str], prototypes: np.ndarray):
     """A function from a text column to struct(lang, score)."""
-    dimensions = prototypes.shape[1]
-
     @F.arrow_udf("struct<lang:string,score:double>")
     def identify(texts: pa.Array) -> pa.Array:
         lang, score = [], []
-        for first in range(0, len(texts), BLOCK_TEXTS):
-            some = [t.as_py() for t in texts.slice(first, BLOCK_TEXTS)]
-            vectors = bundles(some, range(len(some)), len(some), dimensions)
-            size = np.linalg.norm(vectors, axis=1)
+        for some, size, cosine in _cosines(texts, prototypes):
             if not names:
                 lang += [UNDETERMINED] * len(some)
                 score += [0.0] * len(some)
                 continue
-            cosine = vectors @ prototypes.T / np.maximum(size, 1e-12)[:, None]
             best = cosine.argmax(axis=1)
             lang += [names[b] if n or has_letter(t) else UNDETERMINED
                      for b, n, t in zip(best.tolist(), size.tolist(), some, strict=True)]
@@ -196,6 +243,12 @@ def has_letter(text: str | None) -> bool:
     return any(c.isalpha() for c in text or "")
 
 
+def letters(text: str) -> int:
+    """Number of letters, which is the number of trigrams."""
+    return sum(int(np.count_nonzero(letter_table()[np.frombuffer(text[at:at + BLOCK_CHARS].encode("utf-32-le"), np.uint32)]))
+               for at in range(0, len(text), BLOCK_CHARS))
+
+
 def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row."""
     found = predictor(names, prototypes)(F.col("text"))
@@ -204,16 +257,34 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataF
                     F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")))
 
 
-def keep_identified(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataFrame:
+def keep_identified(docs: DataFrame, names: list[str], prototypes: np.ndarray,
+                    lowest: np.ndarray | None = None) -> DataFrame:
     """Rows of ``docs`` written in a learned language. A text is rejected if it has no letter, or if
-    it has ``JUDGED_CHARS`` characters and its best cosine is one that a random vector reaches
-    (three standard deviations); a shorter text shows too little to be judged and stays."""
-    chance = 3 / prototypes.shape[1] ** 0.5
-    found = predictor(names, prototypes)(F.col("text"))
+    it has ``JUDGED_CHARS`` characters, its best cosine is one that a random vector reaches (three
+    standard deviations) and no language in ``lowest`` (``floors``) has training texts as low: its
+    cosine lies by three standard deviations below that of the lowest one, at the trigram count of
+    this text, for every language. A shorter text shows too little to be judged and stays."""
+    dimensions = prototypes.shape[1]
+    chance = 3 / dimensions ** 0.5
+    lowest = np.full(len(names), np.nan) if lowest is None else lowest
+
+    @F.arrow_udf("boolean")
+    def spoken(texts: pa.Array) -> pa.Array:
+        out = []
+        for some, size, cosine in _cosines(texts, prototypes):
+            for t, n, row in zip(some, size.tolist(), cosine, strict=True):
+                if not len(row) or not (n or has_letter(t)):
+                    out.append(False)
+                elif len(t) < JUDGED_CHARS or row.max() > chance:
+                    out.append(True)
+                else:
+                    usual = lowest * (letters(t) * dimensions ** 0.5 / max(n, 1e-12))
+                    out.append(bool((row > usual - chance).any()))  # never by NaN
+        return pa.array(out, pa.bool_())
+
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    spoken = (F.col("found.score") > chance) | (F.length("row.text") < JUDGED_CHARS)
-    return (docs.select(row.alias("row"), found.alias("found"))
-            .filter((F.col("found.lang") != UNDETERMINED) & spoken).select("row.*"))
+    return (docs.select(row.alias("row"), spoken(F.col("text")).alias("spoken"))
+            .filter("spoken").select("row.*"))
 
 
 def train_split(docs: DataFrame) -> DataFrame:

@@ -1,7 +1,10 @@
+import random
+
 import numpy as np
 from helpers import COLUMNS, edge_docs, edge_rows, empty_docs
 
 import __spark_entry__ as contract
+import corpus_pipeline as pipeline
 from skyledger.llm import langid as L
 
 
@@ -71,3 +74,30 @@ def test_only_texts_that_can_be_judged_are_rejected(spark):
     rows = [(1, "Avec."), (2, "the cat"), (3, "zqx wvk " * 40), (4, "漢字仮名 " * 60), (5, "漢字"), (6, "the hat and " * 30), (7, "1 2 3")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in L.keep_identified(docs, names, unit).collect()} == {1, 2, 5, 6}
+
+
+def spread_text(seed, n, first=0x4E00):
+    """Two-letter words of a language of 2,000 letters, frequent ones more often."""
+    rng, fixed = random.Random(seed), random.Random(first)
+    vocabulary = ["".join(chr(first + fixed.randrange(2000)) for _ in range(2)) for _ in range(4000)]
+    return "".join(vocabulary[int(4000 * rng.random() ** 2)] for _ in range(n // 2))
+
+
+def test_learned_texts_of_a_language_of_many_letters_stay(spark):
+    english = "the cat and the hat sat there with them "
+    rows = [(i, spread_text(i, 210 + i), "zh") for i in range(150)]
+    rows += [(i, english * (6 + i % 5), "en") for i in range(150, 200)] + [(200, None, "zh"), (201, "1 2 " * 80, "zh")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, unit = L.train(L.train_split(docs))
+    low = [r for r in L.identify(docs, names, unit).filter("held_out").collect() if r.score <= 3 / 32 and r.doc_id < 200]
+    assert len(low) > 5  # rejected by a bound for random vectors
+    kept = pipeline.language_id(spark, docs, "").collect()
+    assert {r.doc_id for r in kept} == set(range(200)) and len(kept) == 200
+
+
+def test_fitted_bounds_still_reject(spark):
+    english = "the cat and the hat sat there with them "
+    rows = [(i, english * (6 + i % 5), "en") for i in range(50)]
+    rows += [(50, "zqx wvk " * 40, None), (51, spread_text(1, 300), None), (52, "zqx", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in pipeline.language_id(spark, docs, "").collect()} == {*range(50), 52}
