@@ -13,7 +13,11 @@ not reported:
                the second to a JSON object
 
 An armoured block (BEGIN ... KEY / END) counts as one candidate, its body joined over
-line ends. Offsets are code points, end exclusive; spans are ordered by start, then
+line ends, real or escaped (``\\n`` and ``\\r\\n`` in a JSON or env string). Other candidates are
+runs of base64 or hex, joined over line ends in the same way. A structure may begin anywhere
+in a run, at one of the few prefixes its first bytes can have; its own lengths say where it
+ends, and that must be the end of a line or of the run. A structure inside a confirmed one
+is not reported again. Offsets are code points, end exclusive; spans are ordered by start, then
 kind in the order of ``KINDS``.
 
 Defined results: null and empty texts have no spans; whole texts are scanned whatever
@@ -27,6 +31,8 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left, bisect_right
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -46,10 +52,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs: a shorter run is no match
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)KEY-----([A-Za-z0-9+/=\s]+)-----END \1KEY-----")
-RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-HEX_ANY = re.compile(r"[0-9A-Fa-f]{24,}")
-SIGNED = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]{10,})")
+ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)KEY-----((?:[A-Za-z0-9+/=\s]++|\\++[rn])++)-----END \1KEY-----")
+LINE_END = r"[ \t]*+(?:\r?\n|\r|(?:\\++r)?\\++n)[ \t]*+"
+ESCAPED = re.compile(r"\\+[rn]|\s")
+PADDING = re.compile("={0,2}")
+MIN_RUN = 24
+SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{10,}+)\.([A-Za-z0-9_-]{4,}+)\.([A-Za-z0-9_-]{10,}+))")
 
 KEY_ALGORITHMS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256",
                   b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
@@ -153,7 +161,7 @@ def structure(data: bytes | None) -> str | None:
 
 def _json_object(part: str) -> dict | None:
     data = unbase64(part)
-    if not data or data[:1] != b"{":
+    if not data or data.lstrip()[:1] != b"{":
         return None
     try:
         value = json.loads(data)
@@ -162,6 +170,148 @@ def _json_object(part: str) -> dict | None:
     return value if isinstance(value, dict) else None
 
 
+# ------------------------------------------------------------------- runs
+class Code:
+    """Base64 or hex: its letters, the bytes they stand for, and the prefixes of key structures."""
+
+    def __init__(self, letters: str, bits: int, der: str, encode, decode):
+        self.bits, self.decode = bits, decode
+        heads = [len(a).to_bytes(4, "big") + a for a in KEY_ALGORITHMS]
+        fixed = [re.escape(encode(h)[:len(h) * 8 // bits]) for h in (*heads, OPENSSH_MAGIC)]
+        self.prefix = re.compile("|".join([der, *fixed]), re.I if bits == 4 else 0)
+        self.run = re.compile(f"[{letters}]++(?:{LINE_END}[{letters}]++)*+")
+
+    def size(self, n: int) -> int:
+        """Letters of ``n`` bytes."""
+        return -(-n * 8 // self.bits)
+
+    def bytes(self, letters: str, begin: int, at: int, n: int) -> bytes:
+        """Up to ``n`` bytes from byte ``at`` of what starts at letter ``begin``."""
+        group = at // 3
+        some = letters[begin + group * 24 // self.bits:begin + self.size(-(-(at + n) // 3) * 3)]
+        if self.bits == 6 and len(some) % 4 == 1 or self.bits == 4 and len(some) % 2:
+            some = some[:-1]
+        return (self.decode(some) or b"")[at - 3 * group:][:n]
+
+
+@lru_cache(maxsize=1)
+def codes() -> tuple[Code, Code]:
+    # 0x30 and a length: below 0x80, or 0x81 to 0x84 and so many bytes
+    return (Code("A-Za-z0-9+/_-", 6, "M(?:[A-H]|I[E-T])", lambda b: base64.b64encode(b).decode(), unbase64),
+            Code("0-9A-Fa-f", 4, "30(?:[0-7]|8[1-4])", bytes.hex, bytes.fromhex))
+
+
+class Run:
+    """A run of letters, joined over line ends. ``ends`` has the joined place after every piece."""
+
+    def __init__(self, code: Code, match: re.Match):
+        self.code, self.starts, self.ends, parts, at = code, [], [], [], 0
+        begin = match.start()
+        for k, piece in enumerate(re.split(f"({LINE_END})", match[0])):
+            if k % 2 == 0:  # between line ends
+                at += len(piece)
+                parts.append(piece)
+                self.starts.append(begin)
+                self.ends.append(at)
+            begin += len(piece)
+        self.letters = "".join(parts)
+
+    def place(self, at: int) -> int:
+        """Where in the text the joined letter ``at`` is."""
+        k = bisect_right(self.ends, at)
+        return self.starts[k] + at - (self.ends[k - 1] if k else 0)
+
+    def closes(self, begin: int, end: int) -> bool:
+        """Whether a structure can end here: at the end of a piece, or, in the alphabet with + and /,
+        before a hyphen or underscore."""
+        if end > len(self.letters):
+            return False
+        k = bisect_left(self.ends, end)
+        if self.ends[k] == end:
+            return True
+        return self.letters[end] in "-_" and not any(c in self.letters[begin:end] for c in "-_")
+
+    def key_at(self, begin: int) -> tuple[str, int] | None:
+        """Kind and end (joined) of the key that starts at joined letter ``begin``."""
+        head = self.code.bytes(self.letters, begin, 0, 6)
+        if head[:1] == b"\x30":
+            return self._der(begin, head)
+        if head[:3] == b"\0\0\0":
+            return self._fields(begin)
+        if self.code.bytes(self.letters, begin, 0, len(OPENSSH_MAGIC)) == OPENSSH_MAGIC:
+            return self._container(begin)
+        return None
+
+    def _der(self, begin, head):
+        if len(head) < 6:
+            return None
+        width = head[1] & 0x7F if head[1] & 0x80 else 0
+        if width > 4 or head[1] == 0x80:
+            return None
+        n = 2 + width + (int.from_bytes(head[2:2 + width], "big") if width else head[1])
+        end = begin + self.code.size(n)
+        if end - begin < MIN_RUN or not self.closes(begin, end):
+            return None
+        data = self.code.decode(self.letters[begin:end])
+        return ("der", end) if data and is_der_key(data) else None
+
+    def _fields(self, begin):
+        at, n_fields, found, most = 0, 0, None, (len(self.letters) - begin) * self.code.bits // 8
+        while at + 4 <= most:
+            at += 4 + int.from_bytes(self.code.bytes(self.letters, begin, at, 4), "big")
+            if at > most:
+                break
+            n_fields += 1
+            end = begin + self.code.size(at)
+            if n_fields >= 2 and end - begin >= MIN_RUN and self.closes(begin, end):
+                found = end
+        if found is None or not is_ssh_key(self.code.decode(self.letters[begin:found]) or b""):
+            return None
+        return "ssh", found
+
+    def _container(self, begin):
+        """Up to the end of the piece in which the container's lengths end; if they do not end in
+        the run, up to the end of the first piece."""
+        most, at = (len(self.letters) - begin) * self.code.bits // 8, len(OPENSSH_MAGIC)
+
+        def number():
+            return int.from_bytes(self.code.bytes(self.letters, begin, at, 4), "big")
+
+        for _ in range(3):  # cipher, kdf, kdf options
+            if at + 4 > most:
+                return None
+            at += 4 + number()
+        if at + 4 > most or not 1 <= number() <= 16:
+            return None
+        more, at = number() + 1, at + 4  # public keys, private part
+        last = begin
+        while more and at + 4 <= most:
+            at, more = at + 4 + number(), more - 1
+        if not more and at <= most:
+            last = begin + self.code.size(at) - 1
+        return "ssh", self.ends[bisect_right(self.ends, last)]
+
+
+def run_spans(text: str, code: Code) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the keys in runs of a code; base64 with its padding."""
+    out = []
+    if not code.prefix.search(text):
+        return out
+    for m in code.run.finditer(text):
+        if m.end() - m.start() < MIN_RUN:
+            continue
+        run, at = Run(code, m), 0
+        while hit := code.prefix.search(run.letters, at):
+            found = run.key_at(hit.start()) if len(run.letters) - hit.start() >= MIN_RUN else None
+            at = hit.start() + 1
+            if found:
+                kind, at = found
+                end = run.place(at - 1) + 1
+                pad = PADDING.match(text, end) if code.bits == 6 else None
+                out.append((run.place(hit.start()), pad.end() if pad else end, kind))
+    return out
+
+
 # ------------------------------------------------------------------ spans
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the base kinds."""
@@ -177,7 +327,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     out, armoured = [], []
     if "-----BEGIN " in text:
         for m in ARMOUR.finditer(text):
-            kind = structure(unbase64("".join(m[2].split())))
+            kind = structure(unbase64(ESCAPED.sub("", m[2])))
             if kind:
                 out.append((m.start(), KINDS.index(kind), m.end()))
                 armoured.append((m.start(), m.end()))
@@ -185,25 +335,13 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     def inside(start):
         return any(a <= start < b for a, b in armoured)
 
-    for m in RUN.finditer(text):
-        run = m[0]
-        if inside(m.start()):
-            continue
-        found = structure(unbase64(run)) if run[0] in "MA" else None  # 0x30 and 0x00 begin so
-        found = found or (structure(unbase64(run)) if run.startswith("b3BlbnNzaC1rZXktdjE") else None)
-        if found:
-            out.append((m.start(), KINDS.index(found), m.end()))
-    for m in HEX_ANY.finditer(text):
-        run = m[0]
-        if len(run) % 2 == 0 and run[:2] in ("30", "00", "6f", "6F") and not inside(m.start()):
-            found = structure(bytes.fromhex(run))
-            if found:
-                out.append((m.start(), KINDS.index(found), m.end()))
-    if "." in text and "eyJ" in text:
+    for code in codes():
+        out += [(a, KINDS.index(kind), b) for a, b, kind in run_spans(text, code) if not inside(a)]
+    if "." in text:
         for m in SIGNED.finditer(text):
             head = _json_object(m[1])
             if head is not None and isinstance(head.get("alg"), str) and _json_object(m[2]) is not None:
-                out.append((m.start(), KINDS.index("jwt"), m.end()))
+                out.append((m.start(), KINDS.index("jwt"), m.end(3)))
     return out
 
 

@@ -89,3 +89,52 @@ def test_edges(spark):
     got = {r.doc_id: (r.text, r.n_chars) for r in S.redact(frame).collect()}
     assert got == {1: ("a [SECRET] b", 12), 2: (None, None), 3: ("clean", 7)}
     assert S.redact(edge_docs(spark).select(COLUMNS)).columns == COLUMNS
+
+
+def wrapped(data, width, end="\n"):
+    body = b64(data)
+    return end.join(body[i:i + width] for i in range(0, len(body), width))
+
+
+OPENSSH = S.OPENSSH_MAGIC + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + b"\0\0\0\1" + b"".join(
+    len(x).to_bytes(4, "big") + x for x in (SSH, b"p" * 130))
+
+
+def test_escaped_line_ends():
+    for end in ("\\n", "\\r\\n", "\\\\n", "\r\n", "\n  "):
+        for data, kind in ((RSA, "der"), (PKCS8, "der"), (OPENSSH, "ssh")):
+            block = f"-----BEGIN PRIVATE KEY-----{end}{wrapped(data, 64, end)}{end}-----END PRIVATE KEY-----"
+            assert kinds(f'{{"private_key": "{block}{end}", "n": 1}}') == [(kind, block)], end
+            body = wrapped(data, 64, end)
+            assert kinds(f'KEY="{end}{body}{end}"') == [(kind, body)], end  # no armour
+            assert kinds(f"{end}{body}{end}-----END PRIVATE KEY-----") == [(kind, body)], end
+
+
+def test_wrapped_without_a_begin_line():
+    for data, kind in ((RSA, "der"), (PKCS8, "der"), (SSH + b"\0\0\0\x40" + b"c" * 64, "ssh"), (OPENSSH, "ssh")):
+        for width in (64, 76):
+            body = wrapped(data, width)
+            assert kinds(f"see\n{body}\nand more text") == [(kind, body)]
+            assert kinds(f"{body}\n{body}\n") == [(kind, body)] * 2
+    assert kinds("\n".join(PKCS8.hex()[i:i + 60] for i in range(0, len(PKCS8.hex()), 60)))[0][0] == "der"
+    assert kinds(wrapped(RSA[:-3], 64)) == kinds(wrapped(RSA + b"zz", 64)) == []
+
+
+def test_keys_inside_a_run():
+    for data, kind in ((RSA, "der"), (PKCS8, "der"), (SSH, "ssh"), (OPENSSH, "ssh")):
+        for before in ("n", "key/", "MIIE", "AAAA", "Zm9v"):
+            assert kinds(f"x {before}{b64(data)} y") == [(kind, b64(data))], before
+        assert (kind, data.hex()) in kinds(f"x f{data.hex()} y") and (kind, data.hex().upper()) in kinds(data.hex().upper())
+    assert kinds(f"{b64(RSA).rstrip('=')}-----END KEY-----") == [("der", b64(RSA).rstrip("="))]
+
+
+def test_signed_tokens_of_any_json_header():
+    for head in ('{ "alg": "HS256"}', '{\n "alg": "HS256"}', ' {"alg":"HS256"}'):
+        token = f"{b64(head.encode(), True).rstrip('=')}.{b64(b'{ }', True)}.{'s' * 20}"
+        assert kinds(f"a {token} b") == [("jwt", token)]
+        assert kinds(f"a authorization.bearer.{token} b") == [("jwt", token)]
+
+
+def test_many_prefixes_take_linear_time():
+    for text in ("MIIE" * 100_000, "AAAAB3NzaC1yc2" * 30_000, "b3BlbnNzaC1rZXktdjEA" * 20_000, "3082" * 100_000, "MA\n" * 100_000):
+        assert kinds(text) == [] or text[0] == "b"
