@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -124,10 +124,12 @@ def start_health_stream(probes: DataFrame, sink: str, checkpoint: str, available
 
 
 def latest_states(log: DataFrame) -> DataFrame:
-    """The states of every probe as its highest version has them."""
-    kept = ["instance", "ts", "success", "counted", "state"]
-    return (log.groupBy("probe_id", "instance").agg(F.max_by(F.struct(*kept[1:]), "version").alias("row"))
-            .select("probe_id", "instance", "row.*"))
+    """The states of every probe as its highest version has them. Rows that repeat a probe share
+    its versions and all stay; every LATE row stays, as each is written once."""
+    late = F.when(F.col("state") == "LATE", F.col("version"))
+    order = Window.partitionBy("probe_id", "instance", "ts", late).orderBy(F.col("version").desc())
+    return (log.withColumn("newest", F.rank().over(order)).filter("newest = 1")
+            .select("probe_id", "instance", "ts", "success", "counted", "state"))
 
 
 def health_stream(spark: SparkSession, events_dir: str, glob: str = "events*.parquet",

@@ -1,5 +1,6 @@
 """Batch = stream over several arriving files; catalog and format round trips."""
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 import pytest
@@ -70,6 +71,21 @@ def test_late_probes_are_reported(spark, mixed_events):
     assert len(s) == n and any(r.state == "LATE" for r in s)
 
 
+def test_repeated_probes_all_come_back(spark, tmp_path):
+    t = pq.read_table(f"{SF_SMALL}/events.parquet").sort_by("ts")
+    d = tmp_path / "events.parquet"
+    d.mkdir()
+    half, again = t.num_rows // 2, t.take([5, 5, 900])
+    for i, part in enumerate((pa.concat_tables([t.slice(0, half), again]), pa.concat_tables([t.slice(half), again]))):
+        pq.write_table(part, f"{d}/part-{i}.parquet")
+    cols = ["probe_id", "success", "counted", "state"]
+    s = health_stream(spark, str(tmp_path), glob="events.parquet", max_files_per_trigger=1)
+    b = H.health_state(H.probe_outcomes(fx.probes(spark, str(tmp_path))))
+    assert _rows(s, cols) == _rows(b, cols) and s.count() == t.num_rows + 6
+    late = health_stream(spark, str(tmp_path), glob="events.parquet", max_files_per_trigger=1, lateness_s=0)
+    assert late.count() == t.num_rows + 6 and late.filter("state = 'LATE'").count() >= 2
+
+
 def test_registered_streams_read_folders_of_part_files(spark, mixed_events):
     from skyledger.plans import QUERIES
     for name in ("rate_limit_stream", "health_stream"):
