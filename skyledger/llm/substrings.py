@@ -20,8 +20,8 @@ windows, and a run of them shares its smallest doc_id.
 
 Work is laid out in parts of about ``PART_BYTES``, stored as a table bucketed by part, so
 three passes over the texts need no further shuffle of them; what travels is packed
-arrays of anchors, regions and answers. A part sends an anchor once, however often it
-has it. An anchor with more than ``HOT`` occurrences is cut: its regions become single
+arrays of anchors, regions and answers. A part sends an anchor once, with its count if it
+has it more than once. An anchor with more than ``HOT`` occurrences is cut: its regions become single
 windows, which are routed by their own hash instead, so a very common passage is spread
 and still exact.
 
@@ -54,7 +54,6 @@ PART_BYTES = 8 << 20
 BLOCK = 1 << 17
 BUCKET_ANCHORS = 1 << 19
 HOT = 4096
-MANY = 64  # occurrences in one part that are told with the anchor
 RANGE_REGIONS = 1 << 14  # of a bucket, searched at a time; equal keys stay together
 TEXT_SYMBOLS = 1 << 15  # of one suffix array; an anchor's regions stay together
 NOBODY = np.iinfo(np.int64).max
@@ -178,14 +177,14 @@ def _by_bucket(keys: np.ndarray, bits: int):
 
 # ------------------------------------------------- pass 1: shared anchors
 def send_anchors(part: pa.Table, bits: int) -> pa.Table:
-    """A part's distinct anchors in order, and the counts of those it has many times."""
+    """A part's distinct anchors in order, and the counts of those it has more than once."""
     number = part.column("part")[0].as_py()
     keys, count = np.unique(regions(_texts(part)[1])[4], return_counts=True)
     rows = []
     for bucket, a, b in _by_bucket(keys, bits):
-        many = np.nonzero(count[a:b] >= MANY)[0]
-        rows.append((number, bucket, 0, keys[a:b].tobytes(), many.astype(np.int64).tobytes(),
-                     count[a:b][many].astype(np.int64).tobytes(), None, None))
+        many = np.nonzero(count[a:b] > 1)[0]
+        rows.append((number, bucket, 0, keys[a:b].tobytes(), many.astype(np.int32).tobytes(),
+                     count[a:b][many].astype(np.int32).tobytes(), None, None))
     return _message(rows)
 
 
@@ -193,7 +192,7 @@ def answer_anchors(bucket: pa.Table, hot_above: int) -> pa.Table:
     """For every part of a bucket: which of its anchors other parts have too, and which are hot."""
     keys = _unpack(bucket.column("a"), np.uint64)
     weight = [np.ones(len(k), dtype=np.int64) for k in keys]
-    for w, at, n in zip(weight, _unpack(bucket.column("b"), np.int64), _unpack(bucket.column("c"), np.int64),
+    for w, at, n in zip(weight, _unpack(bucket.column("b"), np.int32), _unpack(bucket.column("c"), np.int32),
                         strict=True):
         w[at] = n
     _, inverse, parts = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)

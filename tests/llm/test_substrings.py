@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import edge_docs, edge_rows, empty_docs
 
@@ -102,3 +103,17 @@ def test_edges(spark):
     assert rows_of(S.dedup_substrings(edge_docs(spark))) == plain([r[:2] for r in edge_rows()])
     assert S.dedup_substrings(empty_docs(spark)).count() == 0
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("llm_parts_")]
+
+
+def test_an_anchor_is_hot_by_all_its_occurrences():
+    """63 occurrences in each of three parts are 189, not three."""
+    rng = random.Random(8)
+    phrase = bytes(rng.choice(b"abcdefgh ") for _ in range(60))
+    messages = []
+    for part in range(3):
+        raw = b"".join(phrase + bytes(rng.choice(b"abcdefgh ") for _ in range(40)) for _ in range(63))
+        messages.append(S.send_anchors(pa.table({"part": [part], "doc_id": [part], "raw": [raw]}), 0))
+    bucket = pa.concat_tables(messages)
+    for above, some in ((188, True), (189, False)):
+        hot = S.answer_anchors(bucket, above).column("b")
+        assert all((np.frombuffer(h.as_py(), np.uint8) > 0).any() == some for h in hot)
