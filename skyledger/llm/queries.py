@@ -1,6 +1,20 @@
 """Importing this module registers every query of the subpackage."""
 
-from skyledger.llm import ann, fixity, langid, mixing, packing, quality, secret_scan, simhash, substrings, topk  # noqa: F401
+from skyledger.llm import (  # noqa: F401
+    align,
+    ann,
+    fixity,
+    langid,
+    linededup,
+    mixing,
+    negatives,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    substrings,
+    topk,
+)
 from skyledger.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
