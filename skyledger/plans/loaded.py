@@ -4,12 +4,14 @@ The billing export is derived (a five-way join), written as an export file in
 parquet, and loaded from that file into a table whose schema comes from the file; the
 billing queries then scan the table, so their filters reach the parquet reader
 (``PushedFilters: GreaterThan(cost, …)``) and only the struct fields they use are read.
-The table carries a stamp of the files it was derived from (names, lengths, modification
-times) and is loaded again when any of them has changed.
+Every source folder has a table of its own. It carries a stamp of the files it was derived
+from (names, lengths, modification times) and is loaded again when any of them has changed,
+as a new version: results of the version before stay readable.
 """
 
 from __future__ import annotations
 
+import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +30,15 @@ def _stamp(spark: SparkSession, sf: str) -> str:
     return f"billing:{root}:" + C.source_stamp(spark, [f"{root}/{t}.parquet" for t in SOURCES])
 
 
+def billing_name(sf: str) -> str:
+    """The table of one source folder."""
+    return f"{TABLE}_{hashlib.md5(sf.rstrip('/').encode()).hexdigest()[:12]}"
+
+
 def _load(spark: SparkSession, sf: str, stamp: str) -> str:
     export = scratch_path(spark, "exports", "billing")
     billing(spark, sf).write.mode("errorifexists").parquet(export)
-    name = C.load_table(spark, export, DATASET, TABLE, fmt="parquet", mode="overwrite", source_tag=stamp)
+    name = C.load_table(spark, export, DATASET, billing_name(sf), fmt="parquet", mode="overwrite", source_tag=stamp)
     remove_path(spark, export)
     return name
 
@@ -44,7 +51,7 @@ def load_billing(spark: SparkSession, sf: str) -> str:
 
 def billing_table_name(spark: SparkSession, sf: str) -> str:
     """The billing table of ``sf`` as its files are now; loaded if it is missing or stale."""
-    name = f"{DATASET}.{TABLE}"
+    name = f"{DATASET}.{billing_name(sf)}"
     with _LOCK:
         stamp = _stamp(spark, sf)
         return name if C.loaded_from(spark, name) == stamp else _load(spark, sf, stamp)

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.session import remove_path, scratch_path, storage_root
+from skyledger.session import storage_root
 from skyledger.sources import literals
+from skyledger.sources import versions as V
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -58,26 +59,27 @@ SOURCE_PROPERTY = "skyledger.source"
 
 
 def load_table(spark: SparkSession, source: DataFrame | str, dataset: str, table: str,
-               fmt: str = "parquet", mode: str = "append", source_tag: str | None = None) -> str:
+               fmt: str = "parquet", mode: str = "append", source_tag: str | None = None,
+               keep_s: float = literals.DATASET_DEFAULT_TTL_S) -> str:
     """Load a DataFrame (or a file in ``fmt``) into dataset.table; schema from the source.
 
     ``mode="append"`` (the default) adds rows to an existing table and creates
-    it otherwise; ``"overwrite"`` replaces it. ``source_tag`` is stored as a
-    table property so later steps can tell which input the table holds
-    (see ``loaded_from``).
+    it otherwise; ``"overwrite"`` replaces it by a new version (see ``versions``): results of
+    the one before can still be read for ``keep_s`` seconds after it was replaced.
+    ``source_tag`` is stored as a table property so later steps can tell which input the
+    table holds (see ``loaded_from``).
     """
     df = read_source(spark, source, fmt) if isinstance(source, str) else source
     create_dataset(spark, dataset)
     name = f"{_ident(dataset)}.{_ident(table)}"
+    tag = source_tag if source_tag is not None else (source if isinstance(source, str) else None)
     if mode == "append" and spark.catalog.tableExists(name):
         df.write.mode("append").saveAsTable(name)
     else:
-        old = location(spark, name)
-        path = scratch_path(spark, "warehouse", dataset, table)
+        version, path = V.new_version(spark, dataset, table)
         df.write.mode(mode).format("parquet").option("path", path).saveAsTable(name)
-        if old and old.startswith(storage_root(spark).rstrip("/") + "/"):
-            remove_path(spark, old)  # the files that the replaced table held
-    tag = source_tag if source_tag is not None else (source if isinstance(source, str) else None)
+        V.publish(spark, dataset, table, version, path, tag)
+        V.remove_old(spark, dataset, table, keep_s)
     if tag is not None:
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{SOURCE_PROPERTY}' = '{_quote(tag)}')")
     return name
@@ -163,14 +165,14 @@ def schema_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 def table_stats(spark: SparkSession, name: str) -> DataFrame:
-    """num_rows and stored bytes from catalog statistics (ANALYZE TABLE ... COMPUTE STATISTICS), and
-    num_bytes, the logical size of the rows (see ``logical_bytes``), which does not depend on how
-    the table is stored."""
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+    """num_rows and num_bytes of a table in one pass, and its stored bytes from the catalog
+    (ANALYZE TABLE ... NOSCAN). num_bytes is the logical size of the rows (see ``logical_bytes``),
+    which does not depend on how the table is stored."""
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS NOSCAN")
     text = describe_table(spark, name).where("col_name = 'Statistics'").first().data_type
-    rows, stored = (int(re.search(rf"([0-9]+) {what}", text)[1]) for what in ("rows", "bytes"))
+    stored = int(re.search(r"([0-9]+) bytes", text)[1])
     return table_bytes(spark.table(name)).select(
-        F.lit(rows).cast("bigint").alias("num_rows"), "num_bytes", F.lit(stored).cast("bigint").alias("stored_bytes"))
+        "num_rows", "num_bytes", F.lit(stored).cast("bigint").alias("stored_bytes"))
 
 
 def logical_bytes(dt: T.DataType, value: Column) -> Column:
@@ -189,9 +191,10 @@ def logical_bytes(dt: T.DataType, value: Column) -> Column:
 
 
 def table_bytes(df: DataFrame) -> DataFrame:
-    """num_bytes of a frame: the sum of its rows' logical sizes."""
+    """num_rows and num_bytes of a frame: the sum of its rows' logical sizes."""
     size = [logical_bytes(f.dataType, F.col(f"`{f.name}`")) for f in df.schema.fields]
-    return df.agg(F.coalesce(F.sum(sum(size[1:], size[0])), F.lit(0)).cast("bigint").alias("num_bytes"))
+    return df.agg(F.count(F.lit(1)).alias("num_rows"),
+                  F.coalesce(F.sum(sum(size[1:], size[0])), F.lit(0)).cast("bigint").alias("num_bytes"))
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> str:

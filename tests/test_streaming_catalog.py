@@ -196,19 +196,59 @@ def test_lines_of_a_file_in_many_splits(spark, tmpdir_path):
 def test_billing_sees_changed_files(spark, tmpdir_path):
     import shutil
     from skyledger.plans import QUERIES
+    from skyledger.plans.loaded import billing_table_name
     sf = f"{tmpdir_path}/sf"
     shutil.copytree(SF_SMALL, sf, copy_function=shutil.copyfile)
     n = QUERIES["billing_total_rows"](spark, sf).first().total_rows
-    first = C.location(spark, "billing_lab.billing_export")
+    name = billing_table_name(spark, sf)
+    first = C.location(spark, name)
     assert QUERIES["billing_total_rows"](spark, sf).first().total_rows == n
-    assert C.location(spark, "billing_lab.billing_export") == first  # unchanged files: not loaded again
+    assert C.location(spark, name) == first  # unchanged files: not loaded again
     t = pq.read_table(f"{sf}/lineitem.parquet")
     import pyarrow as pa
     pq.write_table(pa.concat_tables([t, t]), f"{sf}/lineitem.parquet")
     assert QUERIES["billing_total_rows"](spark, sf).first().total_rows == 2 * n
     assert QUERIES["table_stats"](spark, sf).first().num_rows == 2 * n
+    assert C.location(spark, name) != first and billing_table_name(spark, SF_SMALL) != name
+
+
+def test_results_outlive_a_reload(spark, tmpdir_path):
+    import shutil
+    from skyledger.plans import QUERIES
+    from skyledger.plans.loaded import load_billing
+    held = QUERIES["cost_by_service"](spark, SF_SMALL)
+    load_billing(spark, SF_SMALL)
+    want = held.collect()
+    shutil.copytree(SF_SMALL, f"{tmpdir_path}/sf", copy_function=shutil.copyfile)
+    QUERIES["billing_total_rows"](spark, f"{tmpdir_path}/sf").collect()  # another folder
+    assert held.collect() == want == QUERIES["cost_by_service"](spark, SF_SMALL).collect()
+
+
+def test_versions_are_pinned_and_removed_by_age(spark):
+    import datetime as dt
     import os
-    assert not os.path.exists(first.replace("file:", ""))  # the replaced table's files are gone
+    from skyledger.sources import versions as V
+    table = "t_versions"
+    for i in range(3):
+        df = spark.range(i + 1)
+        C.load_table(spark, df, "t_ds", table, mode="overwrite", source_tag=f"file-{i}")
+        if not i:
+            held = spark.table(f"t_ds.{table}")
+    listed = V.versions(spark, "t_ds", table).orderBy("version").collect()
+    assert [(r.source_tag, r.num_rows, r.replaced_at is None) for r in listed] == [
+        ("file-0", 1, False), ("file-1", 2, False), ("file-2", 3, True)]
+    assert held.count() == 1 and V.read_version(spark, "t_ds", table).count() == 3
+    old = V.read_version(spark, "t_ds", table, listed[1].version)
+    assert old.count() == 2 and V.remove_old(spark, "t_ds", table, 3600) == []
+    late = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(hours=2)
+    assert V.remove_old(spark, "t_ds", table, 3600, late) == [r.version for r in listed[:2]]
+    assert not os.path.exists(listed[0].path.replace("file:", ""))
+    assert [r.version for r in V.versions(spark, "t_ds", table).collect()] == [listed[2].version]
+    assert spark.table(f"t_ds.{table}").count() == 3
+    with pytest.raises(ValueError):
+        V.read_version(spark, "t_ds", table, listed[0].version)
+    with pytest.raises(ValueError):
+        V.read_version(spark, "t_ds", "never_loaded")
 
 
 def test_dataset_tables_expire(spark):
