@@ -12,14 +12,13 @@ def ip_literal_to_long(ip: str) -> int:
     return (a << 24) | (b << 16) | (c << 8) | d
 
 
+_OCTET = "(25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+
+
 def ip_to_long(ip: Column) -> Column:
     """Dotted IPv4 string column -> bigint; NULL for anything else (an IPv6 address, say)."""
-    parts = F.split(ip, r"\.")
-    octet = [F.try_element_at(parts, F.lit(i)).try_cast("bigint") for i in (1, 2, 3, 4)]
-    valid = ip.rlike(r"\A[0-9]{1,3}(\.[0-9]{1,3}){3}\z")
-    for o in octet:
-        valid = valid & (o <= 255)
-    return F.when(valid, octet[0] * 16777216 + octet[1] * 65536 + octet[2] * 256 + octet[3])
+    value = F.aggregate(F.split(ip, r"\."), F.lit(0).cast("bigint"), lambda n, o: n * 256 + o.cast("bigint"))
+    return F.when(ip.rlike(rf"\A{_OCTET}(\.{_OCTET}){{3}}\z"), value)
 
 
 def long_to_ip(n: Column) -> Column:
@@ -33,19 +32,21 @@ def cidr_bounds(cidr: Column) -> Column:
 
     The start is the network address (host bits cleared), the end the
     broadcast address; '*' covers the whole IPv4 space. Any other text, IPv6
-    ranges included, gives NULL fields, which no address lies between.
+    ranges included, gives NULL fields, which no address lies between. The number and
+    the prefix are parsed once, as the one item of an array that is then transformed.
     """
-    is_any = cidr == F.lit("*")
-    addr = ip_to_long(F.substring_index(cidr, "/", 1))
-    prefix = F.when(cidr.contains("/"), F.substring_index(cidr, "/", -1).try_cast("int")).otherwise(32)
-    prefix = F.when(prefix.between(0, 32), prefix)
-    size = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.lit(32) - prefix)
-    start = addr - F.pmod(addr, size)
-    return F.when(is_any, F.struct(F.lit(0).cast("bigint").alias("start"),
-                                   F.lit(4294967295).cast("bigint").alias("end"),
-                                   F.lit(4294967296).cast("bigint").alias("size"))) \
-        .otherwise(F.struct(start.alias("start"), (start + size - 1).alias("end"),
-                            size.alias("size")))
+    text = F.when(cidr == "*", F.lit("0.0.0.0/0")).otherwise(cidr)
+    parts = F.split(text, "/", 2)
+    prefix = F.when(F.size(parts) == 1, F.lit(32)).otherwise(F.get(parts, 1).try_cast("int"))
+    parsed = F.array(F.struct(ip_to_long(F.get(parts, 0)).alias("number"),
+                              F.when(prefix.between(0, 32), F.call_function(
+                                  "shiftleft", F.lit(1).cast("bigint"), F.lit(32) - prefix)).alias("size")))
+
+    def bounds(p):
+        start = p["number"].bitwiseAND(-p["size"])
+        return F.struct(start.alias("start"), (start + p["size"] - 1).alias("end"), p["size"].alias("size"))
+
+    return F.get(F.transform(parsed, bounds), 0)
 
 
 def parse_rule_spec(spec: Column) -> Column:
