@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.registry import register, table
+from skyledger.llm.simhash import smallest_row
 from skyledger.session import ship_package, stage_table
 
 #: Fixed values of the mix.
@@ -236,10 +237,15 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     key = F.struct("source", "doc_id", "text_hash").alias("key")
     wanted = ranges.join(names, "source_no").select(key, "size", "ranges")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    whole = (docs.select(F.struct(F.col("source").cast("string").alias("source"),
-                                  F.col("doc_id").cast("long").alias("doc_id"),
-                                  F.xxhash64("text").alias("text_hash")).alias("key"), row.alias("row"))
-             .groupBy("key").agg(F.min("row").alias("row")))
+    whole = docs.select(F.struct(F.col("source").cast("string").alias("source"),
+                                 F.col("doc_id").cast("long").alias("doc_id"),
+                                 F.xxhash64("text").alias("text_hash")).alias("key"), row.alias("row"))
+    repeated = stage_table(plan.units.groupBy(F.struct("source", "doc_id", "text_hash").alias("key"))
+                           .agg(F.sum("copies").alias("n")).filter("n > 1").select("key"), "mix_repeated")
+    if not repeated.isEmpty():  # only rows that repeat a key need an aggregate
+        one = (whole.join(repeated, "key", "left_semi").groupBy("key")
+               .agg(smallest_row(docs, "row").alias("row")))
+        whole = whole.join(repeated, "key", "left_anti").union(one)
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, sizes: pa.Array, ranges: pa.Array) -> pa.Array:

@@ -47,6 +47,7 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit, width
 CHUNK = 2048  # fingerprints of one key searched together
 PRINTS_PER_TASK = 8192
 SHARED_BROADCAST_BYTES = 16 << 20  # beyond it the keys are joined by a shuffle
+IDS_BROADCAST = 1_000_000  # ids that go; more of them meet the rows by a shuffle
 
 # ----------------------------------------------------------- fingerprints
 SLICE_WORDS = 1 << 18
@@ -258,14 +259,47 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS)
 
 def one_per_component(docs: DataFrame, shingle: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one row of each component: the one whose doc_id names the component (of rows
-    that repeat this doc_id, the smallest). All columns stay."""
+    that repeat this doc_id, the smallest; columns without an order compare as JSON). All columns
+    stay.
+
+    Rows are decided as (doc_id, fingerprint); whole rows meet only the list of ids that go, by an
+    anti-join. A doc_id that several rows have (null counts as one) cannot decide alone: where such
+    a row may stay, its fingerprint says which component it is of.
+    """
     ship_package(docs.sparkSession)
-    printed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                          fingerprint(F.col("text"), shingle).alias("fp"))
-    prints = stage_table(printed.select(F.col("row.doc_id").cast("long").alias("doc_id"), "fp"), "simhash")
-    kept = (printed.join(classes(prints, max_bits), "fp")
-            .filter(F.col("row.doc_id").cast("long").eqNullSafe(F.col("component_id"))))
-    return kept.groupBy("root").agg(F.min("row").alias("row")).select("row.*")
+    prints = stage_table(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                     fingerprint(F.col("text"), shingle).alias("fp")), "simhash")
+    found = stage_table(classes(prints, max_bits), "simhash_classes")
+    named = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    several = F.col("doc_id").isNull() | (F.col("n") > 1)
+    listed = stage_table(
+        prints.join(found, "fp").groupBy("doc_id").agg(F.count("*").alias("n"), F.max(named).alias("named"))
+        .filter(several | ~F.col("named"))
+        .select("doc_id", (several & F.col("named")).alias("again")), "simhash_ids")
+    gone = listed.filter("doc_id is not null").select("doc_id")
+    if gone.count() <= IDS_BROADCAST:
+        gone = F.broadcast(gone)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row)
+    kept = rows.filter("doc_id is not null").join(gone, "doc_id", "left_anti").select("row.*")
+    again = listed.filter("again").select(F.col("doc_id").alias("id"))
+    if again.isEmpty():
+        return kept
+    rest = (rows.join(again, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+            .select("doc_id", "row", fingerprint(F.col("row.text"), shingle).alias("fp"))
+            .join(found, "fp").filter(named))
+    return kept.union(rest.groupBy("root").agg(smallest_row(docs, "row").alias("row")).select("row.*"))
+
+
+def smallest_row(docs: DataFrame, row: str) -> Column:
+    """The smallest struct ``row`` of all columns of ``docs``; maps, which have no order, as JSON."""
+    def key(f):
+        value = F.col(row)[f.name]
+        return F.to_json(F.struct(value)) if "map<" in f.dataType.simpleString() else value
+
+    if all("map<" not in f.dataType.simpleString() for f in docs.schema.fields):
+        return F.min(row)
+    return F.min_by(row, F.struct(*[key(f).alias(f"k{i}") for i, f in enumerate(docs.schema.fields)]))
 
 
 @register("op6_simhash_golay")
