@@ -137,6 +137,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
             yield flush()
         packer.finish()
         yield flush()
+        tok.forget()  # the worker may be kept for other stages
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, schema)
 
