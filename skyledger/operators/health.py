@@ -1,7 +1,7 @@
 """Health-check state from a probe log.
 
-A probe succeeds when the target answered and within the timeout; probes
-in the first ``initial_delay_s`` of an instance do not count. An instance
+A probe succeeds when the target answered and within the timeout; a probe without an
+answer or a latency (null) is a failure, one without a time does not count. Probes in the first ``initial_delay_s`` of an instance do not count. An instance
 turns UNHEALTHY after ``unhealthy_threshold`` failures in a row and HEALTHY
 after ``healthy_threshold`` successes in a row; otherwise it keeps its
 state (UNKNOWN before the first decision).
@@ -16,7 +16,7 @@ one shuffle and a very busy one is split (see ``scan``):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.scan import hot_keys, running
@@ -32,16 +32,23 @@ def probe_outcomes(probes: DataFrame, timeout_s: float = HC["timeout_s"],
     d = running(probes, ["instance"], ["ts", "probe_id"], {"first_ts": ("min", F.col("ts"))})
     return d.select(
         "probe_id", "instance", "ts",
-        (F.col("ok") & (F.col("latency_s") <= F.lit(float(timeout_s)))).alias("success"),
-        (F.col("ts") >= F.col("first_ts") + F.expr(f"INTERVAL {int(initial_delay_s)} SECONDS")).alias("counted"))
+        _known(F.col("ok") & (F.col("latency_s") <= F.lit(float(timeout_s)))).alias("success"),
+        _known(F.col("ts") >= F.col("first_ts") + F.expr(f"INTERVAL {int(initial_delay_s)} SECONDS")).alias("counted"))
+
+
+def _known(condition: Column) -> Column:
+    """The condition, false where it is unknown."""
+    return F.coalesce(condition, F.lit(False))
 
 
 def health_state(outcomes: DataFrame, healthy_threshold: int = HC["healthy_threshold"],
                  unhealthy_threshold: int = HC["unhealthy_threshold"]) -> DataFrame:
-    """State after each probe (probe_id, instance, ts, success, counted, state)."""
+    """State after each probe (probe_id, instance, ts, success, counted, state). An unknown outcome
+    (null) is a failure, an unknown ``counted`` does not count."""
     columns = ["probe_id", "instance", "ts", "success", "counted"]
     order = ["ts", "probe_id"]
-    c = outcomes.select(*columns)
+    c = outcomes.select("probe_id", "instance", "ts", _known(F.col("success")).alias("success"),
+                        _known(F.col("counted")).alias("counted"))
     scan = {"keys": ["instance"], "order": order, "hot": hot_keys(c, ["instance"], order)}
     counted, ok = F.col("counted"), F.col("success")
     c = running(c, aggs={"pos": ("sum", F.when(counted, F.lit(1).cast("bigint")))}, **scan)

@@ -93,10 +93,10 @@ def rekey_roundtrip(spark, sf):
 
 
 _OUTCOMES = """
-SELECT p.probe_id, p.instance, p.ts, p.ok AND p.latency_s <= 5.0 AS success,
-       p.ts >= f.first_ts + INTERVAL 60 SECOND AS counted
+SELECT p.probe_id, p.instance, p.ts, COALESCE(p.ok AND p.latency_s <= 5.0, FALSE) AS success,
+       COALESCE(p.ts >= f.first_ts + INTERVAL 60 SECOND, FALSE) AS counted
 FROM probes p JOIN (SELECT instance, min(ts) AS first_ts FROM probes GROUP BY instance) f
-  ON p.instance = f.instance"""
+  ON p.instance IS NOT DISTINCT FROM f.instance"""
 
 
 @register("probe_outcomes", _OUTCOMES, ("probes",))
