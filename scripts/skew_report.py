@@ -4,7 +4,8 @@ A grant log is derived from the events table with one key (member,
 resource, role) owning a third of all rows, once with its dense sequence and once
 with a sparse one. The same "last action before each row" is computed (a) with a
 plain window partitioned by key and (b) with ``operators.scan.running`` at its
-default settings. The per-task shuffle records are taken from Spark's event log, written to a
+default settings; a third case, ``deep``, sets the bucket size so low that the key needs more
+buckets than one cut makes, so it is cut twice. The per-task shuffle records are taken from Spark's event log, written to a
 fresh scratch folder. Usage: python scripts/skew_report.py [sf_dir]
 """
 
@@ -21,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from skyledger.operators.scan import running  # noqa: E402
+from skyledger.operators.scan import FAN, hot_keys, running  # noqa: E402
 from skyledger.sources import fixtures as fx  # noqa: E402
 
 
@@ -41,7 +42,8 @@ def main() -> None:
         F.when(hot, F.lit("roles/viewer")).otherwise(F.col("role")).alias("role"))
     total = base.count()
     same = True
-    for kind, seq in (("dense", F.col("seq")), ("sparse", F.col("seq") * F.col("seq") * 131_071)):
+    deep_rows = total // 3 * 2 // (2 * FAN)
+    for kind, seq in (("dense", F.col("seq")), ("sparse", F.col("seq") * F.col("seq") * 131_071), ("deep", F.col("seq"))):
         g = base.withColumn("seq", seq)
         act = F.struct("seq", "action")
         spark.sparkContext.setJobGroup(f"plain_{kind}", "plain window")
@@ -50,13 +52,17 @@ def main() -> None:
         plain.write.format("noop").mode("overwrite").save()
 
         spark.sparkContext.setJobGroup(f"scan_{kind}", "running scan")
-        scan = running(g, ["member", "resource", "role"], ["seq"], {"last_act": ("last", act)}, exclusive=True)
+        keys = ["member", "resource", "role"]
+        found = hot_keys(g, keys, ["seq"], deep_rows if kind == "deep" else None)
+        scan = running(g, keys, ["seq"], {"last_act": ("last", act)}, exclusive=True, hot=found)
+        if kind == "deep":
+            levels = len(found.levels)
         scan.write.format("noop").mode("overwrite").save()
         spark.sparkContext.setJobGroup("check", "compare results")
         same &= plain.select("seq", "last_act").exceptAll(scan.select("seq", "last_act")).count() == 0
     spark.stop()
 
-    per_group: dict[str, list[int]] = {f"{how}_{kind}": [] for how in ("plain", "scan") for kind in ("dense", "sparse")}
+    per_group: dict[str, list[int]] = {f"{how}_{kind}": [] for how in ("plain", "scan") for kind in ("dense", "sparse", "deep")}
     stage_group: dict[int, str] = {}
     for path in sorted(glob.glob(f"{logdir}/**/*", recursive=True)):
         if os.path.isdir(path):
@@ -75,6 +81,7 @@ def main() -> None:
                     if grp in per_group:
                         per_group[grp].append(m.get("Total Records Read", 0))
     report = {"rows": total, "hot_key_share": round(1 / 3, 3), "results_equal": same,
+              "deep": {"hot_rows": deep_rows, "levels": levels, "fan": FAN},
               "max_shuffle_records_per_task": {k: max(v or [0]) for k, v in per_group.items()},
               "event_log": logdir}
     print(json.dumps(report))

@@ -52,9 +52,12 @@ def list_versions(objects: DataFrame, name: str = "name", generation: str = "gen
     """All generations of each object, oldest first, numbered 1..n.
 
     The version number is a running count per object, computed by a scan
-    that splits an object with very many versions.
+    that splits an object with very many versions. Equal generations are numbered in the order of
+    the other columns.
     """
-    return running(objects, [name], [generation], {"version_no": ("sum", F.lit(1))})
+    ties = [f.name for f in objects.schema.fields if f.name not in (name, generation)
+            and not isinstance(f.dataType, T.MapType)]
+    return running(objects, [name], [generation, *ties], {"version_no": ("sum", F.lit(1))})
 
 
 def oldest_vs_current(objects: DataFrame, name: str = "name", generation: str = "generation",
