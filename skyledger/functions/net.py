@@ -72,3 +72,77 @@ def spec_matches(spec: Column, protocol: Column, port: Column) -> Column:
     """Does one parsed (protocol, low, high) spec admit this connection?"""
     return ((spec["protocol"] == F.lit("all")) | (spec["protocol"] == protocol)) & (
         spec["low"].isNull() | port.between(spec["low"], spec["high"]))
+
+
+# ------------------------------------------------------- 128-bit addresses
+_V4_MAPPED = "0" * 20 + "ffff"  # IPv4 addresses stand at ::ffff:a.b.c.d
+_GROUPS = "[0-9a-f]{1,4}(:[0-9a-f]{1,4})*"
+
+
+def _ipv6_hex(ip: Column) -> Column:
+    """IPv6 text (with '::', an IPv4 tail, any case) -> 32 hex digits; NULL for anything else."""
+    low = F.lower(ip)
+    tail = F.regexp_extract(low, r":([0-9.]+)\z", 1)
+    octets = F.lpad(F.lower(F.hex(ip_to_long(tail))), 8, "0")
+    text = F.when(tail.contains("."), F.concat(
+        F.substring(low, F.lit(1), F.length(low) - F.length(tail)), F.substring(octets, 1, 4), F.lit(":"),
+        F.substring(octets, 5, 4))).otherwise(low)
+    halves = F.split(text, "::", 2)
+
+    def groups(side):
+        return F.filter(F.split(F.coalesce(F.get(halves, side), F.lit("")), ":"), lambda g: g != "")
+
+    parsed = F.array(F.struct(groups(0).alias("left"), groups(1).alias("right"), (F.size(halves) == 2).alias("short")))
+
+    def digits(p):
+        n = F.size(p["left"]) + F.size(p["right"])
+        zeros = F.array_repeat(F.lit("0"), F.when(p["short"], 8 - n).otherwise(0))
+        whole = F.when(p["short"], n <= 7).otherwise(n == 8)
+        return F.when(whole, F.array_join(F.transform(F.concat(p["left"], zeros, p["right"]),
+                                                      lambda g: F.lpad(g, 4, "0")), ""))
+
+    shape = text.rlike(rf"\A({_GROUPS})?(::({_GROUPS})?)?\z") & (text != "")
+    return F.when(shape, F.get(F.transform(parsed, digits), 0))
+
+
+def ip_hex(ip: Column) -> Column:
+    """IPv4 or IPv6 text -> 32 lower-case hex digits of the 128-bit address, NULL for anything else."""
+    return F.when(ip.contains(":"), _ipv6_hex(ip)).otherwise(
+        F.concat(F.lit(_V4_MAPPED), F.lpad(F.lower(F.hex(ip_to_long(ip))), 8, "0")))
+
+
+def ip_binary(ip: Column) -> Column:
+    """IPv4 or IPv6 text -> binary(16), which compares as the unsigned number does."""
+    return F.unhex(ip_hex(ip))
+
+
+def long_to_ip_binary(n: Column) -> Column:
+    """An IPv4 address as bigint -> binary(16)."""
+    return F.unhex(F.concat(F.lit(_V4_MAPPED), F.lpad(F.lower(F.hex(n)), 8, "0")))
+
+
+def cidr_bounds_hex(cidr: Column) -> Column:
+    """'address/n' of either family (or '*', or a bare address) -> struct(start, end) of 32 hex digits
+    each, NULL fields for anything else. '*' covers all addresses of both families."""
+    parts = F.split(cidr, "/", 2)
+    base = F.get(parts, 0)
+    width = F.when(base.contains(":"), 128).otherwise(32)
+    given = F.when(F.size(parts) == 1, width).otherwise(F.get(parts, 1).try_cast("int"))
+    parsed = F.array(F.struct(ip_hex(base).alias("digits"),
+                              F.when(given.between(0, width), given + 128 - width).alias("prefix")))
+
+    def bounds(p):
+        whole, rest = F.floor(p["prefix"] / 4).cast("int"), p["prefix"] % 4
+        kept = F.substring(p["digits"], F.lit(1), whole)
+        nibble = F.conv(F.substring(p["digits"], whole + 1, F.lit(1)), 16, 10).cast("int")
+        keep = F.call_function("shiftleft", F.lit(15), F.lit(4) - rest).bitwiseAND(F.lit(15))
+
+        def side(value, fill):
+            part = F.when(rest > 0, F.lower(F.hex(value.cast("long")))).otherwise(F.lit(""))
+            return F.rpad(F.concat(kept, part), 32, fill)
+
+        return F.struct(side(nibble.bitwiseAND(keep), "0").alias("start"),
+                        side(nibble.bitwiseOR(F.bitwise_not(keep).bitwiseAND(F.lit(15))), "f").alias("end"))
+
+    every = F.struct(F.lit("0" * 32).alias("start"), F.lit("f" * 32).alias("end"))
+    return F.when(cidr == "*", every).otherwise(F.get(F.transform(parsed, bounds), 0))

@@ -1,9 +1,8 @@
 """Network rules over connection and request logs.
 
-Firewall rules are gathered per network and joined to the connections by
-network (broadcast while their estimated size stays under the bound, shuffled
-beyond it); the first match is found inside the row with higher-order
-functions. A security policy is one document, parsed once as a literal.
+Firewall rules become decision tables over disjoint address ranges (``ranges``), which
+connections meet by network and slab; the first match is found inside the row. A security
+policy is one document, swept once and searched as a literal.
 """
 
 from __future__ import annotations
@@ -12,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.functions.net import cidr_bounds, ip_to_long, parse_rule_spec, spec_matches
+from skyledger.functions.net import cidr_bounds_hex, ip_binary, long_to_ip_binary, parse_rule_spec, spec_matches
+from skyledger.operators import ranges
 from skyledger.operators.sizing import bounded_broadcast, literal_table
 from skyledger.sources import literals
 
@@ -26,43 +26,53 @@ def firewall_rules(spark) -> DataFrame:
     return literal_table(spark, literals.FIREWALL_RULES, RULE_SCHEMA)
 
 
+def _condition(r: DataFrame, specs: str, tags: str) -> tuple[Column, Column]:
+    """A text that is equal for rules that match the same rows of their ranges, and whether a rule
+    matches all of them."""
+    tagged = F.coalesce(F.col(tags), F.array().cast("array<string>"))
+    text = F.concat_ws("|", F.regexp_replace(F.lower(F.col(specs)), r"\s", ""), F.array_join(F.array_sort(tagged), ","))
+    return text, (F.lower(F.trim(F.col(specs))) == "all") & (F.size(tagged) == 0)
+
+
 def prepare_rules(rules: DataFrame) -> DataFrame:
-    """Parse specs and source ranges of ingress rules once."""
-    return rules.where(F.upper(F.col("direction")) == "INGRESS").select(
-        "name", "network", "priority", F.upper(F.col("action")).alias("action"),
-        parse_rule_spec(F.col("rules")).alias("specs"),
-        F.transform("source_ranges", lambda r: cidr_bounds(r)).alias("ranges"),
-        F.coalesce(F.col("target_tags"), F.array().cast("array<string>")).alias("tags"))
-
-
-def _rule_applies(r: Column, network: Column, ip_num: Column, protocol: Column, port: Column,
-                  tags: Column) -> Column:
-    return ((r["network"] == network)
-            & F.exists(r["ranges"], lambda g: (ip_num >= g["start"]) & (ip_num <= g["end"]))
-            & F.exists(r["specs"], lambda s: spec_matches(s, protocol, port))
+    """Ingress rules for ``ranges.decision_tables``: one row per rule and source range (IPv4, IPv6 or
+    '*'), with the specs parsed once."""
+    condition, always = _condition(rules, "rules", "target_tags")
+    bounds = F.transform("source_ranges", lambda r: cidr_bounds_hex(r))
+    return (rules.where(F.upper(F.col("direction")) == "INGRESS")
+            .select(F.col("network").alias("group"), F.explode(bounds).alias("b"), "priority", "name",
+                    F.struct("priority", "name", F.upper(F.col("action")).alias("action"),
+                             parse_rule_spec(F.col("rules")).alias("specs"),
+                             F.coalesce(F.col("target_tags"), F.array().cast("array<string>")).alias("tags")).alias("rule"),
+                    condition.alias("condition"), always.alias("always"))
+            .select("group", F.unhex("b.start").alias("start"), F.unhex("b.end").alias("end"),
+                    F.coalesce("priority", F.lit((1 << 31) - 1)).alias("priority"),  # unknown: last
+                    F.coalesce("name", F.lit("")).alias("name"), "rule", "condition", "always"))
+
+
+def _matches(r: Column, protocol: Column, port: Column, tags: Column) -> Column:
+    return (F.exists(r["specs"], lambda s: spec_matches(s, protocol, port))
             & ((F.size(r["tags"]) == 0) | F.arrays_overlap(r["tags"], F.coalesce(
                 tags, F.array().cast("array<string>")))))
 
 
-def firewall_decide(conns: DataFrame, rules: DataFrame) -> DataFrame:
+def firewall_decide(conns: DataFrame, rules: DataFrame, slab_rules: int = ranges.SLAB_RULES) -> DataFrame:
     """Ingress decision per connection: among the rules of its network whose
     source range, protocol/port and target tags match, the lowest priority
     number wins (ties: rule name); no match means DENY.
 
-    The rules of a network are one array, so a connection meets one row and
-    needs no identity: rows with equal or null ids are decided one by one. A
-    null network (of a rule or a connection) matches nothing.
+    The rules of a network become a decision table over disjoint address ranges (see
+    ``ranges``); a connection finds its range by binary search and takes the first rule of the
+    range's short list that matches. It needs no identity: rows with equal or null ids are
+    decided one by one. A null network or address matches nothing.
 
-    ``conns`` needs: network, ip_num, protocol, port, target_tags.
+    ``conns`` needs: network, protocol, port, target_tags, and the source as ``ip_num`` (an
+    IPv4 number) or ``ip`` (text of either family, used where there is no ``ip_num``).
     """
-    prepared = prepare_rules(rules).where(F.col("network").isNotNull())
-    per_network = prepared.groupBy("network").agg(F.collect_list(F.struct(
-        "priority", "name", "action", "network", "specs", "ranges", "tags")).alias("__rules"))
-    met = conns.join(bounded_broadcast(per_network, MAX_BROADCAST_BYTES), on="network", how="left")
-    matched = F.filter("__rules", lambda r: _rule_applies(
-        r, F.col("network"), F.col("ip_num"), F.col("protocol"), F.col("port"), F.col("target_tags")))
-    best = F.array_min(F.transform(matched, lambda r: F.struct(
-        r["priority"].alias("priority"), r["name"].alias("name"), r["action"].alias("action"))))
+    cuts, tables = ranges.decision_tables(prepare_rules(rules), slab_rules)
+    source = long_to_ip_binary(F.col("ip_num")) if "ip_num" in conns.columns else ip_binary(F.col("ip"))
+    met = ranges.candidates(conns.withColumn("__address", source), cuts, tables, "network", "__address", "__rules")
+    best = F.get(F.filter("__rules", lambda r: _matches(r, F.col("protocol"), F.col("port"), F.col("target_tags"))), 0)
     return met.withColumn("__best", best).select(
         *conns.columns, F.coalesce(F.col("__best.action"), F.lit("DENY")).alias("decision"),
         F.col("__best.name").alias("rule_name"), F.col("__best.priority").alias("rule_priority"))
@@ -104,20 +114,28 @@ def policy_rules(spark, policy_json: str = literals.SECURITY_POLICY_JSON) -> Dat
 
 def policy_first_match(requests: DataFrame, ip: str = "ip",
                        policy_json: str = literals.SECURITY_POLICY_JSON) -> DataFrame:
-    """First rule (lowest priority number) whose source ranges match the request
-    ('*' matches all, and is the only range that matches an address other than
-    IPv4). The document's ranges are parsed once, as a folded literal; the address
-    is parsed once per request."""
-    rules = F.transform(F.from_json(F.lit(policy_json), SECURITY_POLICY_SCHEMA)["rules"], lambda r: F.struct(
-        r["priority"].alias("priority"), r["action"].alias("action"),
-        F.exists(r["match"]["config"]["srcIpRanges"], lambda g: g == "*").alias("any"),
-        F.transform(r["match"]["config"]["srcIpRanges"], cidr_bounds).alias("ranges")))
-    asked = requests.withColumn("__ip", ip_to_long(F.col(ip)))
-    matched = F.filter(rules, lambda r: r["any"] | F.exists(r["ranges"], lambda g: F.coalesce(
-        F.col("__ip").between(g["start"], g["end"]), F.lit(False))))
-    best = F.array_min(F.transform(matched, lambda r: F.struct(
-        r["priority"].alias("priority"), r["action"].alias("action"))))
-    return asked.select(*requests.columns, best["priority"].alias("rule_priority"), best["action"].alias("rule_action"))
+    """First rule (lowest priority number) whose source ranges match the request, whether they are
+    IPv4 or IPv6 ('*' matches all, and is the only range that matches what is no address).
+
+    A policy is one document of a bounded size, so its sweep runs on the driver and the
+    elementary ranges are a literal; a request's address is parsed once and searched."""
+    doc = requests.sparkSession.range(1).select(F.explode(F.from_json(F.lit(policy_json), SECURITY_POLICY_SCHEMA)["rules"]).alias("r"))
+    rows = doc.select("r.priority", "r.action", F.explode("r.match.config.srcIpRanges").alias("range"))
+    found = rows.select("priority", "action", "range", cidr_bounds_hex(F.col("range")).alias("b")).collect()
+    rules = [(bytes.fromhex(r.b.start), bytes.fromhex(r.b.end), (r.priority, r.action), "", True)
+             for r in found if r.b and r.b.start]
+    lows, lists = ranges.sweep(rules)
+    any_of = min(((r.priority, r.action) for r in found if r.range == "*"), default=(None, None))
+    winner = F.array(*[_rule_literal(*(rules[some[0]][2] if some else (None, None))) for some in lists])
+    asked = requests.withColumn("__ip", ip_binary(F.col(ip)))
+    at = ranges.position(F.col("__ip"), F.array(*[F.lit(low) for low in lows]))
+    met = asked.withColumn("__rule", F.when(F.col("__ip").isNull(), _rule_literal(*any_of)).otherwise(F.get(winner, at - 1)))
+    return met.select(*requests.columns, F.col("__rule.priority").alias("rule_priority"),
+                      F.col("__rule.action").alias("rule_action"))
+
+
+def _rule_literal(priority: int | None, action: str | None) -> Column:
+    return F.struct(F.lit(priority).cast("long").alias("priority"), F.lit(action).cast("string").alias("action"))
 
 
 def resolve_network(instances: DataFrame, subnets: DataFrame) -> DataFrame:

@@ -151,6 +151,31 @@ SELECT l.l_orderkey AS order_key, l.l_linenumber AS line_number, l.l_partkey AS
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""", ())
 
 
+# addresses as 128-bit numbers: IPv4 at ::ffff:a.b.c.d, the IPv6 ones at 2001:db8:<group>::<low>
+_V6 = "(CAST(536939960 AS UHUGEINT) * 4294967296 + CAST({group} AS UHUGEINT) * 65536) * 18446744073709551616 + {low}"
+_V4 = "CAST(281470681743360 AS UHUGEINT) + CAST({v} AS UHUGEINT)"
+FIXTURES["range_rules"] = (f"""
+SELECT name, network, priority, action, spec, addr - addr % size AS low, addr - addr % size + (size - 1) AS high
+FROM (SELECT c_name AS name, 'net-' || CAST(c_custkey % 4 AS VARCHAR) AS network,
+             CAST(c_custkey * 7919 % 1000 AS INTEGER) AS priority,
+             CASE WHEN c_custkey % 3 = 0 THEN 'DENY' ELSE 'ALLOW' END AS action, c_custkey % 5 AS spec,
+             CASE WHEN c_custkey % 7 = 0 THEN {_V6.format(group='c_custkey % 65536', low='0')}
+                  ELSE {_V4.format(v='(c_custkey * 2654435761) % 4294967296')} END AS addr,
+             CASE WHEN c_custkey % 7 = 0 THEN CAST(pow(2, 92 - c_custkey % 60) AS UHUGEINT)
+                  ELSE CAST(pow(2, 28 - c_custkey % 27) AS UHUGEINT) END AS size
+      FROM customer)""", ())
+
+FIXTURES["range_requests"] = (f"""
+SELECT event_id AS request_id, 'net-' || CAST(user_id % 4 AS VARCHAR) AS network,
+       CASE WHEN event_id % 5 = 0 THEN '2001:DB8:' || hex(user_id % 65536) || '::' || hex(event_id % 65536)
+            ELSE {_ip('((event_id * 2246822519) % 4294967296)')} END AS ip,
+       CASE WHEN event_id % 5 = 0 THEN {_V6.format(group='user_id % 65536', low='CAST(event_id % 65536 AS UHUGEINT)')}
+            ELSE {_V4.format(v='(event_id * 2246822519) % 4294967296')} END AS addr,
+       {_case('event_type', [(_q(k), _q(v[0])) for k, v in fx.TYPE_PORTS.items()])} AS protocol,
+       CAST({_case('event_type', [(_q(k), 'NULL' if v[1] is None else v[1]) for k, v in fx.TYPE_PORTS.items()])} AS INTEGER) AS port
+FROM events""", ())
+
+
 def with_fixtures(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the CTEs for the named fixtures (and their dependencies)."""
     order: list[str] = []

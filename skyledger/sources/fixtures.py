@@ -317,3 +317,32 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
 ])
+
+
+# ------------------------------------------------- rules over address ranges
+RANGE_SPECS = ["all", "tcp", "tcp:443,icmp", "icmp", "tcp:22-80"]
+
+
+def range_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingress rules as many as there are customers, each over one IPv4 or IPv6 range."""
+    c = read_table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "c_name AS name")
+    v6 = F.concat(F.lit("2001:db8:"), F.lower(F.hex(F.col("k") % 65536)), F.lit("::/"), (36 + F.col("k") % 60).cast("string"))
+    v4 = F.concat(long_to_ip((F.col("k") * 2654435761) % 4294967296), F.lit("/"), (4 + F.col("k") % 27).cast("string"))
+    return c.select("name", F.concat(F.lit("net-"), (F.col("k") % 4).cast("string")).alias("network"),
+                    F.lit("INGRESS").alias("direction"), (F.col("k") * 7919 % 1000).cast("int").alias("priority"),
+                    F.when(F.col("k") % 3 == 0, "DENY").otherwise("ALLOW").alias("action"),
+                    _case("k % 5", list(enumerate(RANGE_SPECS)), "string").alias("rules"),
+                    F.array(F.when(F.col("k") % 7 == 0, v6).otherwise(v4)).alias("source_ranges"),
+                    F.array().cast("array<string>").alias("target_tags"))
+
+
+def range_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per event, from an IPv4 or (every fifth) IPv6 address."""
+    ev = read_table(spark, sf_dir, "events")
+    v6 = F.concat(F.lit("2001:DB8:"), F.hex(F.col("user_id") % 65536), F.lit("::"), F.hex(F.col("event_id") % 65536))
+    v4 = long_to_ip((F.col("event_id") * 2246822519) % 4294967296)
+    return ev.select(ev.event_id.alias("request_id"), F.concat(F.lit("net-"), (F.col("user_id") % 4).cast("string")).alias("network"),
+                     F.when(F.col("event_id") % 5 == 0, v6).otherwise(v4).alias("ip"),
+                     _case("event_type", [(k, v[0]) for k, v in TYPE_PORTS.items()], "string").alias("protocol"),
+                     _case("event_type", [(k, v[1]) for k, v in TYPE_PORTS.items()], "int").alias("port"),
+                     F.array().cast("array<string>").alias("target_tags"))
