@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from skyledger.operators.network import salted_left_join  # noqa: E402
 from skyledger.operators.scan import FAN, hot_keys, running  # noqa: E402
 from skyledger.sources import fixtures as fx  # noqa: E402
 
@@ -60,9 +61,17 @@ def main() -> None:
         scan.write.format("noop").mode("overwrite").save()
         spark.sparkContext.setJobGroup("check", "compare results")
         same &= plain.select("seq", "last_act").exceptAll(scan.select("seq", "last_act")).count() == 0
+    # a third of the connections come from one machine; shuffled joins, no help at run time
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conns = fx.connections(spark, sf).withColumn("src", F.when(F.col("order_key") % 3 == 0, "vm-c1").otherwise(F.col("src")))
+    place = fx.instances(spark, sf).selectExpr("name AS src", "subnet")
+    for how, joined in (("plain", conns.join(place, "src", "left")), ("salted", salted_left_join(conns, place, "src"))):
+        spark.sparkContext.setJobGroup(f"join_{how}", f"{how} join")
+        joined.write.format("noop").mode("overwrite").save()
     spark.stop()
 
     per_group: dict[str, list[int]] = {f"{how}_{kind}": [] for how in ("plain", "scan") for kind in ("dense", "sparse", "deep")}
+    per_group |= {"join_plain": [], "join_salted": []}
     stage_group: dict[int, str] = {}
     for path in sorted(glob.glob(f"{logdir}/**/*", recursive=True)):
         if os.path.isdir(path):

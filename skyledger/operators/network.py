@@ -17,6 +17,7 @@ from skyledger.operators.sizing import bounded_broadcast, literal_table
 from skyledger.sources import literals
 
 MAX_BROADCAST_BYTES = 256 << 20
+HEAVY_SHARE = 1 / 200  # of all rows: a machine with more is split
 
 RULE_SCHEMA = ("name string, network string, direction string, priority int, action string, "
                "rules string, source_ranges array<string>, target_tags array<string>")
@@ -144,13 +145,38 @@ def resolve_network(instances: DataFrame, subnets: DataFrame) -> DataFrame:
     return instances.join(cat, on="subnet", how="left")
 
 
+def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> dict:
+    """Values of ``key`` with about ``share`` of the rows or more, and their approximate counts. A
+    frequent-items sketch per task, merged: at most 1 / share values reach the driver."""
+    k = int(1 / share)
+    found = df.agg(F.expr(f"approx_top_k({key}, {k}, {4 * k})").alias("top"), F.count(key).alias("n")).first()
+    return {r["item"]: r["count"] for r in found.top or [] if r["count"] >= share * found.n and r["item"] is not None}
+
+
+def salted_left_join(big: DataFrame, small: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
+    """``big`` left join ``small`` (one row per key) on ``key``, its hot keys split: rows of a hot key are
+    dealt over as many salts as it has shares of the rows, and the key's row is copied to each salt.
+    Other keys are not copied. The salt is a hash of the row, so a repeated task deals alike."""
+    heavy = heavy_keys(big, key, share)
+    if not heavy:
+        return big.join(small, key, "left")
+    least = min(heavy.values())
+    salts = F.create_map(*[F.lit(x) for k, n in heavy.items() for x in (k, -(-n // least) + 1)])
+    of = F.coalesce(F.try_element_at(salts, F.col(key)), F.lit(1))
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), of).cast("int")
+    dealt = big.withColumn("__salt", salt)
+    copied = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), of - 1)))
+    return dealt.join(copied, [key, "__salt"], "left").drop("__salt")
+
+
 def reachability(conns: DataFrame, located: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Per connection: 'internal' when both ends are on the same network,
     else 'external' (internal addresses do not route across networks).
-    Linear in the connections — no instance pairs are enumerated."""
+    Linear in the connections — no instance pairs are enumerated, and machines with a large
+    share of the connections are split (see ``salted_left_join``)."""
     loc = located.select("name", "network")
     s = loc.select(F.col("name").alias(src), F.col("network").alias("src_network"))
     d = loc.select(F.col("name").alias(dst), F.col("network").alias("dst_network"))
-    j = conns.join(s, on=src, how="left").join(d, on=dst, how="left")
+    j = salted_left_join(salted_left_join(conns, s, src), d, dst)
     same = F.col("src_network").isNotNull() & (F.col("src_network") == F.col("dst_network"))
     return j.withColumn("path", F.when(same, "internal").otherwise("external"))
