@@ -7,6 +7,8 @@ policy is one document, swept once and searched as a literal.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -146,11 +148,12 @@ def resolve_network(instances: DataFrame, subnets: DataFrame) -> DataFrame:
 
 
 def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> dict:
-    """Values of ``key`` with about ``share`` of the rows or more, and their approximate counts. A
-    frequent-items sketch per task, merged: at most 1 / share values reach the driver."""
+    """Values of ``key`` with about ``share`` of the rows or more, and of how many such shares each
+    has the rows. A frequent-items sketch per task, merged: at most 1 / share values reach the driver."""
     k = int(1 / share)
     found = df.agg(F.expr(f"approx_top_k({key}, {k}, {4 * k})").alias("top"), F.count(key).alias("n")).first()
-    return {r["item"]: r["count"] for r in found.top or [] if r["count"] >= share * found.n and r["item"] is not None}
+    return {r["item"]: math.ceil(r["count"] / (share * found.n)) for r in found.top or []
+            if r["count"] >= share * found.n and r["item"] is not None}
 
 
 def salted_left_join(big: DataFrame, small: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
@@ -160,8 +163,7 @@ def salted_left_join(big: DataFrame, small: DataFrame, key: str, share: float =
     heavy = heavy_keys(big, key, share)
     if not heavy:
         return big.join(small, key, "left")
-    least = min(heavy.values())
-    salts = F.create_map(*[F.lit(x) for k, n in heavy.items() for x in (k, -(-n // least) + 1)])
+    salts = F.create_map(*[F.lit(x) for pair in heavy.items() for x in pair])
     of = F.coalesce(F.try_element_at(salts, F.col(key)), F.lit(1))
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), of).cast("int")
     dealt = big.withColumn("__salt", salt)
