@@ -40,7 +40,7 @@ from skyledger.session import remove_path, scratch_path, stage_table, storage_ro
 MIN_CHARS = 10
 BATCHES = 4
 FANOUT = 2
-HOT_LINES = 4096  # a key with fewer lines in a batch is never broadcast
+HOT_LINES = 256  # a key with fewer lines in a batch is never broadcast
 WHITE = " \t\n\x0b\x0c\r"
 LAST_ID = (1 << 63) - 1
 KEY = ["h1", "h2"]
