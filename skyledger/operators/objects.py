@@ -78,23 +78,27 @@ def sync_plan(src: DataFrame, dst: DataFrame, key: str = "name", size: str = "si
               also: tuple[str, ...] = ()) -> DataFrame:
     """One-way sync plan: new / changed / same for source keys; destination-only
     keys are kept (the sync never deletes). A key is changed if its size or any
-    column of ``also`` (a checksum, say) differs; two unknown sizes are equal."""
+    column of ``also`` (a checksum, say) differs; two unknown sizes are equal, and an
+    unknown key is the same key on both sides."""
     def side(df, name):
         values = F.struct(F.col(size), *[F.col(c) for c in also]).alias(f"__{name}_values")
-        return df.select(F.col(key), F.col(size).alias(f"{name}_size"), values, F.lit(True).alias(f"__in_{name}"))
+        return df.select(F.col(key).alias(f"__{name}_key"), F.col(size).alias(f"{name}_size"), values,
+                         F.lit(True).alias(f"__in_{name}"))
 
-    j = side(src, "src").join(side(dst, "dst"), on=key, how="full_outer")
+    j = side(src, "src").join(side(dst, "dst"), F.col("__src_key").eqNullSafe(F.col("__dst_key")), "full_outer")
     status = (F.when(F.col("__in_dst").isNull(), "new")
               .when(F.col("__in_src").isNull(), "kept")
               .when(F.col("__src_values").eqNullSafe(F.col("__dst_values")), "same")
               .otherwise("changed"))
-    return j.select(key, "src_size", "dst_size", status.alias("status"))
+    return j.select(F.coalesce("__src_key", "__dst_key").alias(key), "src_size", "dst_size", status.alias("status"))
 
 
 def sync_apply(src: DataFrame, dst: DataFrame, key: str = "name") -> DataFrame:
-    """Destination after the sync: every source object plus destination-only objects."""
+    """Destination after the sync: every source object plus destination-only objects (an unknown key
+    is the same key on both sides)."""
     cols = src.columns
-    kept = dst.join(src.select(key), on=key, how="left_anti").select(*cols)
+    names = src.select(F.col(key).alias("__src_key"))
+    kept = dst.join(names, F.col(key).eqNullSafe(F.col("__src_key")), "left_anti").select(*cols)
     return src.withColumn("origin", F.lit("src")).unionByName(kept.withColumn("origin", F.lit("dst")))
 
 

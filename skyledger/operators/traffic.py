@@ -97,6 +97,26 @@ def replica_recommendation(load: DataFrame, group: str, ts: str, interval_s: int
                     need.alias("needed"), rec.alias("recommended"))
 
 
+def replica_timeline(load: DataFrame, group: str, ts: str, interval_s: int = 60,
+                     max_rate_per_instance: float = BACKEND["max_rate_per_instance"],
+                     target_utilization: float = literals.AUTOSCALER["target_utilization"],
+                     capacity_scaler: float = BACKEND["capacity_scaler"],
+                     min_replicas: int = literals.AUTOSCALER["min_replicas"],
+                     max_replicas: int = literals.AUTOSCALER["max_replicas"]) -> DataFrame:
+    """``replica_recommendation`` for every window between a group's first and last request: one
+    without requests needs none, and gets the minimum. Counts are made once per window; the windows
+    between are made from one row per group."""
+    busy = replica_recommendation(load.where(F.col(ts).isNotNull()), group, ts, interval_s, max_rate_per_instance,
+                                  target_utilization, capacity_scaler, min_replicas, max_replicas)
+    span = busy.groupBy(F.col(group).alias("__group")).agg(F.min("window_start").alias("a"), F.max("window_start").alias("b"))
+    every = span.select("__group", F.explode(F.sequence("a", "b", F.expr(f"INTERVAL {_interval(interval_s)}"))).alias("__start"))
+    met = every.join(busy, F.col("__group").eqNullSafe(F.col(group)) & (F.col("__start") == F.col("window_start")), "left")
+    least = min(max(0, min_replicas), max_replicas)
+    return met.select(F.col("__group").alias(group), F.col("__start").alias("window_start"),
+                      F.coalesce("requests", F.lit(0)).cast("long").alias("requests"),
+                      F.coalesce("needed", F.lit(0)).alias("needed"), F.coalesce("recommended", F.lit(least)).alias("recommended"))
+
+
 def capacity_per_instance(interval_s, max_rate_per_instance, target_utilization, capacity_scaler) -> float:
     cap = float(max_rate_per_instance) * float(interval_s) * float(target_utilization) * float(capacity_scaler)
     if not math.isfinite(cap) or cap <= 0:

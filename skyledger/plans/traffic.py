@@ -49,6 +49,19 @@ def replica_recommendation(spark, sf):
     return TR.replica_recommendation(fx.requests(spark, sf), "network", "ts", RR_INTERVAL, RR_RATE, 0.8, 1.0, 1, 2)
 
 
+@register("replica_timeline", f"""
+WITH busy AS (SELECT network, {_RB} AS window_start, COUNT(*) AS requests,
+                     CAST(ceil(COUNT(*) / CAST({_CAP!r} AS DOUBLE)) AS INTEGER) AS needed
+              FROM requests GROUP BY network, {_RB}),
+     spans AS (SELECT network, min(window_start) AS a, max(window_start) AS b FROM busy GROUP BY network),
+     every AS (SELECT network, unnest(generate_series(a, b, INTERVAL {RR_INTERVAL} SECOND)) AS window_start FROM spans)
+SELECT e.network, e.window_start, COALESCE(b.requests, 0) AS requests, COALESCE(b.needed, 0) AS needed,
+       least(greatest(COALESCE(b.needed, 0), 1), 2) AS recommended
+FROM every e LEFT JOIN busy b ON e.network = b.network AND e.window_start = b.window_start""", ("requests",))
+def replica_timeline(spark, sf):
+    return TR.replica_timeline(fx.requests(spark, sf), "network", "ts", RR_INTERVAL, RR_RATE, 0.8, 1.0, 1, 2)
+
+
 _P = "'^([A-Za-z][A-Za-z0-9+.-]*)://'"
 _H = "'^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)'"
 _PA = "'^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)'"

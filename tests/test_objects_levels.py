@@ -111,3 +111,28 @@ def test_hot_keys_are_split_and_nothing_else_changes(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "__salt" in plan
     assert NW.salted_left_join(big.limit(0), small, "k").collect() == []
+
+
+def test_an_unknown_name_is_one_name(spark):
+    df = [spark.createDataFrame(r, "name string, size_bytes long") for r in ([("a", 1), (None, 2)], [(None, 3), ("b", 4)])]
+    assert sorted((tuple(r) for r in O.sync_plan(*df).collect()), key=str) == sorted(
+        [("a", 1, None, "new"), (None, 2, 3, "changed"), ("b", None, 4, "kept")], key=str)
+    assert sorted((r.name or "", r.origin) for r in O.sync_apply(*df).collect()) == [("", "src"), ("a", "src"), ("b", "dst")]
+
+
+def test_windows_without_requests_have_the_minimum(spark):
+    from skyledger.operators import traffic as TR
+    at = dt.datetime(2024, 1, 1)
+    rows = [("n", at)] * 30 + [("n", at + dt.timedelta(minutes=3)), (None, at), ("m", at + dt.timedelta(minutes=9)), ("n", None)]
+    load = spark.createDataFrame(rows, "g string, ts timestamp_ntz")
+    got = sorted((tuple(r) for r in TR.replica_timeline(load, "g", "ts", 60, 0.2, 1.0, 1.0, 1, 2).collect()), key=str)
+    minute = [at + dt.timedelta(minutes=i) for i in range(10)]
+    assert got == sorted([("n", minute[0], 30, 3, 2), ("n", minute[1], 0, 0, 1), ("n", minute[2], 0, 0, 1), ("n", minute[3], 1, 1, 1),
+                          (None, minute[0], 1, 1, 1), ("m", minute[9], 1, 1, 1)], key=str)
+
+
+def test_queries_of_traffic_and_sync_equal_their_oracle(spark):
+    con = duckdb_connection("/root/testdata/sf0.01")
+    for name in ("replica_timeline", "replica_recommendation", "sync_plan", "sync_apply"):
+        r = compare(spark, name, "/root/testdata/sf0.01", con)
+        assert r["status"] == "ok", r
