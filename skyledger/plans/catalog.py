@@ -6,6 +6,7 @@ from skyledger.operators import billing as B
 from skyledger.plans.billing import _FLAT, _Q1
 from skyledger.plans.loaded import billing_table_name as _loaded
 from skyledger.plans.loaded import load_billing as _load
+from skyledger.plans.loaded import load_billing_avro as _load_avro
 from skyledger.plans.registry import register
 from skyledger.session import scratch_path
 from skyledger.sources import catalog as C
@@ -16,6 +17,11 @@ def load_table(spark, sf):
     return B.flatten(spark.table(_load(spark, sf)))
 
 
+@register("load_avro", f"SELECT {_FLAT} FROM billing", ("billing",))
+def load_avro(spark, sf):
+    return B.flatten(spark.table(_load_avro(spark, sf)))
+
+
 @register("describe_table")
 def describe_table(spark, sf):
     return C.describe_table(spark, _loaded(spark, sf))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.session import remove_path, scratch_path
 from skyledger.sources import catalog as C
+from skyledger.sources.avro import register_avro
 from skyledger.sources.fixtures import billing
 
 DATASET, TABLE = "billing_lab", "billing_export"
@@ -49,6 +50,15 @@ def load_billing(spark: SparkSession, sf: str) -> str:
         return _load(spark, sf, _stamp(spark, sf))
 
 
+def load_billing_avro(spark: SparkSession, sf: str) -> str:
+    """Load the billing table of ``sf`` from an export in Avro container files, as the lab's load does."""
+    export = scratch_path(spark, "exports", "billing_avro")
+    billing(spark, sf).write.format(register_avro(spark)).mode("append").save(export)
+    name = C.load_table(spark, export, DATASET, f"{billing_name(sf)}_avro", fmt="avro", mode="overwrite")
+    remove_path(spark, export)
+    return name
+
+
 def billing_table_name(spark: SparkSession, sf: str) -> str:
     """The billing table of ``sf`` as its files are now; loaded if it is missing or stale."""
     name = f"{DATASET}.{billing_name(sf)}"

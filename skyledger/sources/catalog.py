@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from skyledger.session import storage_root
 from skyledger.sources import literals
 from skyledger.sources import versions as V
+from skyledger.sources.avro import register_avro
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -43,16 +44,11 @@ def describe_dataset(spark: SparkSession, name: str) -> DataFrame:
 
 def read_source(spark: SparkSession, path: str, fmt: str, schema: T.StructType | str | None = None,
                 **options: str) -> DataFrame:
-    """Read a self-describing file (parquet, orc, json, csv, avro when its module is present)."""
-    r = spark.read.format(fmt).options(**options)
+    """Read a self-describing file (parquet, orc, json, csv, avro container files)."""
+    r = spark.read.format(register_avro(spark) if fmt == "avro" else fmt).options(**options)
     if schema is not None:
         r = r.schema(schema)
-    try:
-        return r.load(path)
-    except Exception as e:  # avro needs the external spark-avro module
-        if fmt == "avro" and "avro" in str(e).lower():
-            raise RuntimeError("the avro data source module is not installed in this Spark") from e
-        raise
+    return r.load(path)
 
 
 SOURCE_PROPERTY = "skyledger.source"
