@@ -10,10 +10,15 @@ not reported:
 * ``ssh``      base64 or hex of length-prefixed fields with a key algorithm first, or
                an OpenSSH private key container
 * ``jwt``      three base64url parts; the first decodes to a JSON object with ``alg``,
-               the second to a JSON object
+               the second to a JSON object; or five parts whose first has ``alg`` and
+               ``enc`` (an encrypted token)
+* ``pem``      an armoured block whose headers say that it is encrypted, with a whole number
+               of cipher blocks
+* ``pgp``      an armoured OpenPGP private key: packets that fill it exactly, a secret key first
 
 An armoured block (BEGIN ... KEY / END) counts as one candidate, its body joined over
-line ends, real or escaped (``\\n`` and ``\\r\\n`` in a JSON or env string). Other candidates are
+line ends, real or escaped (``\\n`` and ``\\r\\n`` in a JSON or env string). A token may also
+begin behind a hyphen or underscore of a longer word. Other candidates are
 runs of base64 or hex, joined over line ends in the same way. A structure may begin anywhere
 in a run, at one of the few prefixes its first bytes can have; its own lengths say where it
 ends, and that must be the end of a line or of the run. A structure inside a confirmed one
@@ -42,7 +47,7 @@ from skyledger.llm.registry import register, table
 from skyledger.session import ship_package
 
 BASE_KINDS = ("assign", "access", "hex")
-KINDS = BASE_KINDS + ("der", "ssh", "jwt")
+KINDS = BASE_KINDS + ("der", "ssh", "jwt", "pem", "pgp")
 
 #: The base patterns. Letters of the credential names match in either case.
 _NAMES = ("password", "passwd", "secret", "token", "api_?key")
@@ -57,7 +62,14 @@ LINE_END = r"[ \t]*+(?:\r?\n|\r|(?:\\++r)?\\++n)[ \t]*+"
 ESCAPED = re.compile(r"\\+[rn]|\s")
 PADDING = re.compile("={0,2}")
 MIN_RUN = 24
+HEADED = re.compile(rf"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY( BLOCK|)-----{LINE_END}((?:[A-Za-z-]++:[^\r\n\\]*+{LINE_END})*+)"
+                    r"((?:[A-Za-z0-9+/=\s]++|\\++[rn])++)-----END \1PRIVATE KEY\2-----")
+HEADER = re.compile(r"([A-Za-z-]++): *([^\r\n\\]*)")
+CHECKSUM = re.compile("=[A-Za-z0-9+/]{4}$")
 SIGNED = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{10,}+)\.([A-Za-z0-9_-]{4,}+)\.([A-Za-z0-9_-]{10,}+))")
+ENCRYPTED = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{10,}+)\.([A-Za-z0-9_-]*+)\.([A-Za-z0-9_-]{4,}+)"
+                       r"\.([A-Za-z0-9_-]*+)\.([A-Za-z0-9_-]{10,}+))")
+OBJECT = re.compile("(?<=[_-])e[w-z0-3]")  # how an encoded brace begins, within a word
 
 KEY_ALGORITHMS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256",
                   b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
@@ -143,6 +155,46 @@ def is_ssh_key(data: bytes) -> bool:
     return bool(fields) and len(fields) >= 2 and fields[0] in KEY_ALGORITHMS
 
 
+def is_encrypted_pem(headers: dict[str, str], data: bytes | None) -> bool:
+    """Headers of an encrypted block: a cipher with its initial vector, and whole cipher blocks."""
+    cipher, _, vector = headers.get("DEK-Info", "").partition(",")
+    if headers.get("Proc-Type", "").replace(" ", "") != "4,ENCRYPTED" or not cipher or not data:
+        return False
+    return re.fullmatch("[0-9A-Fa-f]{16}|[0-9A-Fa-f]{32}", vector.strip()) is not None and len(data) % 8 == 0
+
+
+def openpgp_packets(data: bytes) -> list[tuple[int, bytes]] | None:
+    """(tag, content) of packets that fill ``data`` exactly, or None."""
+    packets, at = [], 0
+    while at < len(data):
+        head, at = data[at], at + 1
+        if not head & 0x80:
+            return None
+        if head & 0x40:  # new format
+            tag, first = head & 0x3F, data[at] if at < len(data) else 224
+            width = 1 if first < 192 else 2 if first < 224 else 5 if first == 255 else 0
+            if not width or at + width > len(data):
+                return None
+            n = (first if width == 1 else (first - 192 << 8) + data[at + 1] + 192 if width == 2
+                 else int.from_bytes(data[at + 1:at + 5], "big"))
+        else:
+            tag, width = head >> 2 & 0x0F, (1, 2, 4, 0)[head & 3]
+            if not width or at + width > len(data):
+                return None
+            n = int.from_bytes(data[at:at + width], "big")
+        at += width
+        if at + n > len(data):
+            return None
+        packets.append((tag, data[at:at + n]))
+        at += n
+    return packets
+
+
+def is_openpgp_key(data: bytes | None) -> bool:
+    packets = openpgp_packets(data) if data else None
+    return bool(packets) and packets[0][0] == 5 and packets[0][1][:1] in (b"\3", b"\4", b"\5", b"\6")
+
+
 def unbase64(text: str) -> bytes | None:
     body = text.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
@@ -331,6 +383,15 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
             if kind:
                 out.append((m.start(), KINDS.index(kind), m.end()))
                 armoured.append((m.start(), m.end()))
+        for m in HEADED.finditer(text):
+            body, headers = ESCAPED.sub("", m[4]), dict(HEADER.findall(re.sub(LINE_END, "\n", m[3])))
+            if m[2]:
+                kind = "pgp" if is_openpgp_key(unbase64(CHECKSUM.sub("", body))) else None
+            else:
+                kind = "pem" if is_encrypted_pem(headers, unbase64(body)) else None
+            if kind:
+                out.append((m.start(), KINDS.index(kind), m.end()))
+                armoured.append((m.start(), m.end()))
 
     def inside(start):
         return any(a <= start < b for a, b in armoured)
@@ -338,10 +399,31 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     for code in codes():
         out += [(a, KINDS.index(kind), b) for a, b, kind in run_spans(text, code) if not inside(a)]
     if "." in text:
-        for m in SIGNED.finditer(text):
-            head = _json_object(m[1])
-            if head is not None and isinstance(head.get("alg"), str) and _json_object(m[2]) is not None:
-                out.append((m.start(), KINDS.index("jwt"), m.end(3)))
+        out += [(a, KINDS.index("jwt"), b) for a, b in token_spans(text)]
+    return out
+
+
+def _header(word: str) -> tuple[int, dict] | None:
+    """Where the JSON object with ``alg`` that ends ``word`` begins, and the object."""
+    for at in (0, *(m.start() for m in OBJECT.finditer(word))):
+        head = _json_object(word[at:])
+        if head is not None and isinstance(head.get("alg"), str):
+            return at, head
+    return None
+
+
+def token_spans(text: str) -> list[tuple[int, int]]:
+    """(start, end) of signed and encrypted tokens."""
+    out = []
+    for m in SIGNED.finditer(text):
+        found = _header(m[1]) if _json_object(m[2]) is not None else None
+        if found:
+            out.append((m.start() + found[0], m.end(3)))
+    if text.count(".") >= 4:
+        for m in ENCRYPTED.finditer(text):
+            found = _header(m[1])
+            if found and isinstance(found[1].get("enc"), str) and all(unbase64(m[k]) is not None for k in range(2, 6)):
+                out.append((m.start() + found[0], m.end(5)))
     return out
 
 
@@ -367,7 +449,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans as one) and n_chars
-    renewed where the text changed. All rows and columns stay."""
+    renewed where the text changed, if there is such a column. All rows and columns stay."""
     ship_package(docs.sparkSession)
 
     @F.arrow_udf("string")
@@ -385,9 +467,11 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     # one Python pass: the cleaned text is kept beside the old one in a struct
     both = docs.withColumn("text", F.struct(F.col("text").alias("old"), clean(F.col("text")).alias("new")))
-    renewed = F.when(F.col("text.old").eqNullSafe(F.col("text.new")), F.col("n_chars")).otherwise(
-        F.length("text.new").cast("long"))
-    return both.withColumns({"n_chars": renewed, "text": F.col("text.new")}).select(docs.columns)
+    new = {"text": F.col("text.new")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("text.old").eqNullSafe(F.col("text.new")), F.col("n_chars")).otherwise(
+            F.length("text.new").cast("long"))
+    return both.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def _digest(spans: Column) -> Column:

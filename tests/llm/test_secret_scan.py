@@ -3,6 +3,7 @@ import hashlib
 import json
 import re
 
+import pytest
 from helpers import COLUMNS, edge_docs, edge_rows, empty_docs
 
 import __spark_entry__ as contract
@@ -138,3 +139,59 @@ def test_signed_tokens_of_any_json_header():
 def test_many_prefixes_take_linear_time():
     for text in ("MIIE" * 100_000, "AAAAB3NzaC1yc2" * 30_000, "b3BlbnNzaC1rZXktdjEA" * 20_000, "3082" * 100_000, "MA\n" * 100_000):
         assert kinds(text) == [] or text[0] == "b"
+
+
+def b64url(data):
+    return base64.urlsafe_b64encode(data).decode().rstrip("=")
+
+
+def kinds_in(text):
+    return [(s["kind"], text[s["start"]:s["end"]]) for s in S.spans_of(text) if s["kind"] not in S.BASE_KINDS]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n"])
+def test_encrypted_pem_blocks(end):
+    body = base64.b64encode(bytes(range(7, 7 + 96))).decode()
+    lines = ["-----BEGIN RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC," + "0A" * 16, "", body[:64], body[64:],
+             "-----END RSA PRIVATE KEY-----"]
+    block = end.join(lines)
+    assert kinds_in(f"key: {block} end") == [("pem", block)]
+    for wrong in (block.replace("4,ENCRYPTED", "4,MIC-ONLY"), block.replace(",0A", ","), block.replace(body[64:], body[64:-4]),
+                  block.replace("DEK-Info", "Other")):
+        assert kinds_in(wrong) == []
+
+
+def pgp_block(packets, end="\n"):
+    body = base64.b64encode(packets).decode()
+    return end.join(["-----BEGIN PGP PRIVATE KEY BLOCK-----", "Version: 1", "", *[body[i:i + 64] for i in range(0, len(body), 64)], "=aB3d",
+                     "-----END PGP PRIVATE KEY BLOCK-----"])
+
+
+def test_openpgp_private_key_blocks():
+    secret = b"\4" + bytes(299)
+    packets = b"\x95" + len(secret).to_bytes(2, "big") + secret + b"\xcd\x05a@b.c"  # old and new lengths
+    block = pgp_block(packets)
+    assert kinds_in(f"x {block} y") == [("pgp", block)]
+    long = bytes([0xC5, 255]) + (500).to_bytes(4, "big") + b"\4" + bytes(499)
+    two = bytes([0xC5, 192, 8]) + b"\6" + bytes(199)
+    assert all(kinds_in(pgp_block(p))[0][0] == "pgp" for p in (long, two))
+    for wrong in (packets[:-1], b"\xcd\x05a@b.c" + packets, b"\x95\0\x05" + b"\2abcd", b"", bytes([0xC5, 230]) + bytes(300)):
+        assert kinds_in(pgp_block(wrong)) == []
+
+
+def test_tokens_of_five_parts_and_behind_an_underscore():
+    signed = ".".join([b64url(b'{"alg":"HS256","typ":"JWT"}'), b64url(b'{"sub":"123456"}'), b64url(bytes(32))])
+    five = ".".join([b64url(b'{"alg":"RSA-OAEP","enc":"A256GCM"}'), b64url(bytes(range(64))), b64url(bytes(12)), b64url(bytes(40)), b64url(bytes(16))])
+    direct = ".".join([b64url(b'{"alg":"dir","enc":"A128GCM"}'), "", b64url(bytes(12)), b64url(bytes(40)), b64url(bytes(16))])
+    for token in (signed, five, direct):
+        assert kinds_in(f"see {token} here") == [("jwt", token)]
+        assert kinds_in(f"id_{token}") == [("jwt", token)] and kinds_in(f"a-b_{token}") == [("jwt", token)]
+        assert kinds_in("x" + token) == []
+    assert kinds_in(five.replace(b64url(b'{"alg":"RSA-OAEP","enc":"A256GCM"}'), b64url(b'{"alg":"RSA-OAEP","zip":"A256GCM"}'))) == []
+
+
+def test_redact_with_any_columns(spark):
+    signed = ".".join([b64url(b'{"alg":"none"}'), b64url(b'{"a":1}'), b64url(bytes(20))])
+    df = spark.createDataFrame([(1, f"t {signed}", 2), (2, None, 3), (3, "plain", 4)], "doc_id long, text string, `a.b` int")
+    got = sorted(tuple(r) for r in S.redact(df).collect())
+    assert got == [(1, "t [SECRET]", 2), (2, None, 3), (3, "plain", 4)] and S.redact(df).columns == df.columns
