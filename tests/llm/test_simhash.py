@@ -106,3 +106,22 @@ def test_edges(spark):
     want = {c for _, _, c in plain_rows(rows)}
     got = [r.doc_id for r in kept.collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_one_row_stays_whatever_the_columns(spark):
+    """Repeated and null ids, a map column (which has no order) and names that the operator uses."""
+    a, b, c = ("one two three four five six seven", "other words entirely in this text here", "third text of its own kind now")
+    rows = [(5, a, {"k": 2}, 1), (5, a, {"k": 1}, 1), (5, b, {}, 2), (9, a, {}, 3), (None, c, {"z": 0}, 4), (None, c, {"y": 0}, 4), (7, b, {}, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp map<string,int>, root int")
+    kept = S.one_per_component(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text, r.fp, r.root) for r in kept.collect()), key=str)
+    assert got == sorted([(5, a, {"k": 1}, 1), (5, b, {}, 2), (None, c, {"y": 0}, 4)], key=str)
+
+
+def test_many_ids_that_go_meet_the_rows_by_a_shuffle(spark, monkeypatch):
+    rows = [(i, ["same words over and over again", f"text {i} alone " * 9][i % 2], i) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    want = sorted(r.doc_id for r in S.one_per_component(docs).collect())
+    monkeypatch.setattr(S, "IDS_BROADCAST", 3)
+    assert sorted(r.doc_id for r in S.one_per_component(docs).collect()) == want and 0 in want and 2 not in want
