@@ -96,3 +96,39 @@ def test_edges(spark):
     check(M.mix(same.repartition(4)).collect(), [(1, "a b c d e", "s")] * 40 + [(2, "f g", "t")])
     with pytest.raises(ValueError):
         M.mix(edge_docs(spark), max_sources=1)
+
+
+def plain_place(i, n, key):
+    """The same four rounds with whole numbers, one index at a time."""
+    mod = 1 << 64
+
+    def scramble(x):
+        x = (x ^ x >> 30) * int(M._M1) % mod
+        x = (x ^ x >> 27) * int(M._M2) % mod
+        return x ^ x >> 31
+
+    half = max(1, ((n - 1).bit_length() + 1) // 2)
+    rounds = [scramble((key + r * 0x9E3779B97F4A7C15) % mod) for r in range(1, 5)]
+    while True:
+        left, right = i >> half, i & (1 << half) - 1
+        for r in rounds:
+            left, right = right, left ^ scramble(right ^ r) & (1 << half) - 1
+        i = left << half | right
+        if i < n:
+            return i
+
+
+def test_words_taken_equal_a_plain_recomputation(spark):
+    """Every source has the slots up to its quota, whatever the shards drew; slot j takes the block at
+    its place in pass j div blocks; a document's words are counted block by block."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = M.Mix(docs, block_words=64, shard_slots=500)
+    times = []
+    for s, (n, quota) in enumerate(zip(plan.blocks, plan.quota)):
+        count = Counter(plain_place(j % n, n, M.SEED + 1_000_003 * s + j // n) for j in range(quota))
+        assert max(count.values(), default=0) <= M.MAX_REPEATS
+        times.append(count)
+    want = sorted((r.doc_id, sum(times[r.source_no][w // r.block_words] for w in range(r.start, r.start + r.size)))
+                  for r in plan.documents().collect())
+    got = sorted((r.doc_id, r.taken) for r in M.mix(docs, block_words=64, shard_slots=500).collect())
+    assert got == want and sum(t for _, t in got) > 0
