@@ -151,7 +151,7 @@ def heavy_keys(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> dict:
     """Values of ``key`` with about ``share`` of the rows or more, and of how many such shares each
     has the rows. A frequent-items sketch per task, merged: at most 1 / share values reach the driver."""
     k = int(1 / share)
-    found = df.agg(F.expr(f"approx_top_k({key}, {k}, {4 * k})").alias("top"), F.count(key).alias("n")).first()
+    found = df.agg(F.expr(f"approx_top_k(`{key}`, {k}, {4 * k})").alias("top"), F.count(F.col(f"`{key}`")).alias("n")).first()
     return {r["item"]: math.ceil(r["count"] / (share * found.n)) for r in found.top or []
             if r["count"] >= share * found.n and r["item"] is not None}
 

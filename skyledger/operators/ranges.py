@@ -103,14 +103,15 @@ def decision_tables(rules: DataFrame, slab_rules: int = SLAB_RULES) -> tuple[Dat
 def candidates(rows: DataFrame, cuts: DataFrame, tables: DataFrame, group: str, address: str, out: str) -> DataFrame:
     """``rows`` with the column ``out``: the rules that may win at the row's address, in order (null
     where its group has no rules or its address is null)."""
-    cuts = cuts.select(F.col("group").alias("__range_group"), "cuts")
-    tables = tables.select(F.col("group").alias("__table_group"), F.col("slab").alias("__slab"), "lows", "lists")
+    cuts = cuts.select(F.col("group").alias("__range_group"), F.col("cuts").alias("__cuts"))
+    tables = tables.select(F.col("group").alias("__table_group"), F.col("slab").alias("__slab"),
+                           F.col("lows").alias("__lows"), F.col("lists").alias("__lists"))
     met = rows.join(bounded_broadcast(cuts, MAX_BROADCAST_BYTES), F.col(group) == F.col("__range_group"), "left")
-    met = met.withColumn("__row_slab", _bucket_of(_number(F.col(address)), F.col("cuts")))
+    met = met.withColumn("__row_slab", _bucket_of(_number(F.col(address)), F.col("__cuts")))
     met = met.join(bounded_broadcast(tables, MAX_BROADCAST_BYTES), (F.col("__range_group") == F.col("__table_group"))
                    & (F.col("__row_slab") == F.col("__slab")), "left")
-    found = met.withColumn("__at", position(F.col(address), F.col("lows")))
-    return found.select(*[F.col(f"`{c}`") for c in rows.columns], F.get("lists", F.col("__at") - 1).alias(out))
+    found = met.withColumn("__at", position(F.col(address), F.col("__lows")))
+    return found.select(*[F.col(f"`{c}`") for c in rows.columns], F.get("__lists", F.col("__at") - 1).alias(out))
 
 
 def position(value: Column, lows: Column) -> Column:

@@ -115,6 +115,16 @@ def test_slabs_do_not_change_decisions(spark):
     assert whole == parts and len({r[2] for r in whole}) > 3
 
 
+def test_rows_may_have_any_columns(spark):
+    rules = spark.createDataFrame([("r", "n", "INGRESS", 1, "ALLOW", "all", ["10.0.0.0/8", "nonsense"], [])], RULES)
+    rows = spark.createDataFrame([("n", "10.1.2.3", "tcp", 1, None, 1, 2, 3, 4), ("n", "x", "tcp", 1, None, 1, 2, 3, 4), (None, "10.0.0.1", "tcp", 1, None, 1, 2, 3, 4)],
+                                 "network string, ip string, protocol string, port int, target_tags array<string>, cuts int, lows int, lists int, slab int")
+    out = NW.firewall_decide(rows, rules)
+    assert out.columns == [*rows.columns, "decision", "rule_name", "rule_priority"]
+    assert sorted(((r.network or "", r.ip, r.decision) for r in out.collect())) == [("", "10.0.0.1", "DENY"), ("n", "10.1.2.3", "ALLOW"), ("n", "x", "DENY")]
+    assert [r.decision for r in NW.firewall_decide(rows, rules.limit(0)).collect()] == ["DENY"] * 3
+
+
 def test_policy_over_both_families(spark):
     doc = """{"rules": [{"priority": 5, "action": "deny(403)", "match": {"config": {"srcIpRanges": ["2001:db8::/32", "10.0.0.0/8"]}}},
       {"priority": 1, "action": "allow", "match": {"config": {"srcIpRanges": ["2001:db8:1::/48", "bad"]}}},
