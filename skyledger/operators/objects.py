@@ -308,9 +308,9 @@ def ordered_plan(plan: DataFrame, edges: DataFrame, name: str = "name", action:
     acts = plan.select(F.col(name).alias("name"), F.explode(F.when(F.col(action) == "recreate", F.array(F.lit("delete"), F.lit("create")))
                        .when(F.col(action).isin("create", "delete"), F.array(F.col(action))).otherwise(F.array().cast("array<string>")))
                        .alias("operation"))
-    top = levels.agg(F.max("level").alias("top"))
-    met = acts.join(levels.withColumn("listed", F.lit(True)), "name", "left").crossJoin(F.broadcast(top))  # one row
+    top = levels.agg(F.max("level")).first()[0] or 0  # one number
+    met = acts.join(levels.withColumn("listed", F.lit(True)), "name", "left")
     level = F.when(F.col("listed"), F.col("level")).otherwise(F.lit(0))
     delete = F.col("operation") == "delete"
     return met.select("name", "operation", F.when(delete, 1).otherwise(2).alias("phase"),
-                      F.when(delete, F.coalesce("top", F.lit(0)) - level).otherwise(level).alias("step"))
+                      F.when(delete, F.lit(top) - level).otherwise(level).alias("step"))

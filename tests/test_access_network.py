@@ -105,7 +105,8 @@ def test_addresses_that_are_not_ipv4(spark):
         {"action": "deny(403)", "priority": 1, "match": {"config": {"srcIpRanges": ["10.0.0.0/8", "2001:db8::/32"]}}},
         {"action": "allow", "priority": 9, "match": {"config": {"srcIpRanges": ["*"]}}}]})
     got = {r.c: r.rule_action for r in NW.policy_first_match(df, "c", doc).collect()}
-    assert got["10.0.0.1"] == "deny(403)" and got["2001:db8::1"] == "allow" and got[None] == "allow"
+    assert got["10.0.0.1"] == "deny(403)" and got["2001:db8::1"] == "deny(403)"  # an IPv6 range matches IPv6
+    assert got["1.2.3"] == "allow" and got[None] == "allow"
 
 
 def test_policy_first_match_prefers_throttle(spark):
