@@ -13,6 +13,9 @@ centroids closer to a chosen one than to the vector. Lists are gathered into gro
 about ``GROUP_ROWS`` rows; a longer list is split by hash, so no list, however hot, is
 one task's work.
 
+Centroids are put back on the sphere, so a vector between lists is about as near to their
+centroids as these are to each other, and is replicated.
+
 Search: a best-first walk of a neighbour graph of the centroids, in memory and for a
 block of queries at a time, gives a query's nearest centroids. Distance-ratio pruning
 keeps lists whose centroid is at most ``ratio`` times as far as the nearest one, and more
@@ -20,7 +23,9 @@ while they hold too few vectors. ``ratio`` is measured, not guessed: for ``PROBE
 vectors the true neighbours are found by a full scan, and the ratio is the one at which
 ``COVER`` of them are in a selected list. Candidates are shortlisted by matrix products
 and scored again in double precision, component by component in order, so equal vectors
-have equal scores wherever they are found.
+have equal scores wherever they are found. Queries are blocked with those of the same
+nearest list, so a block asks for few groups, and a group of lists is copied only to the
+blocks that ask for it.
 
 Only bounded data reaches the driver or a closure: the sample, the centroids, one count
 per list, and the probes' neighbours.
@@ -40,6 +45,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.registry import register, table
 from skyledger.llm.vectors import best, smallest_copies, usable
+from skyledger.operators.sizing import bounded_broadcast
 from skyledger.session import ship_package, stage_table
 
 SAMPLE = 32_768
@@ -47,7 +53,8 @@ LIST_ROWS, MAX_LISTS = 256, 4096
 REPLICAS, BOUNDARY = 4, 0.1
 DEGREE, BEAM = 24, 256
 PROBES, COVER = 64, 0.97
-GROUP_ROWS, QUERY_ROWS = 16_384, 1024
+GROUP_ROWS, QUERY_ROWS = 16_384, 4096
+PRODUCTS = 1 << 22  # of one matrix
 ROUNDS, CHARGE = 8, 0.05
 SEED = 17
 
@@ -84,6 +91,8 @@ def balanced_centroids(points: np.ndarray, lists: int) -> np.ndarray:
         centroids[full] = sums / size[full][:, None]
         empty = np.nonzero(size == 0)[0]
         centroids[empty] = points[rng.choice(len(points), len(empty))]
+        # back onto the sphere: inside it, centroids lie nearer to each other than to the points
+        centroids /= np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
         share = size * lists / len(points)
     return centroids
 
@@ -199,6 +208,21 @@ def first_k(q, ids, score, k):
     return q, ids, score
 
 
+def query_blocks(sizes: list[int]) -> list[tuple[int, int, int]]:
+    """(home group, first block, blocks) for groups with so many queries each: neighbours share a block
+    of at most about QUERY_ROWS queries, a larger group has blocks of its own."""
+    out, block, filled = [], 0, 0
+    for home, n in enumerate(sizes):
+        if filled and filled + n > QUERY_ROWS:
+            block, filled = block + 1, 0
+        own = max(1, -(-n // QUERY_ROWS))
+        out.append((home, block, own))
+        filled += n
+        if own > 1:
+            block, filled = block + own, 0
+    return out
+
+
 class Index:
     """Posting lists over (vec_id, vector: array<double>) rows, unique by vec_id."""
 
@@ -290,8 +314,9 @@ class Index:
         self.groups = groups + 1
 
     def select(self, points: np.ndarray):
-        """Lists to search for points on the sphere: (point number, list)."""
+        """Lists to search for points on the sphere: (point number, list), and each point's nearest list."""
         lists, far = graph_search(points, self.centroids, self.graph, BEAM)
+        nearest = lists[:, 0]
         wide = (np.isfinite(far).all(axis=1) & (far[:, -1] <= self.ratio * far[:, 0])
                 & (lists.shape[1] < len(self.centroids)))
         chosen = (far <= self.ratio * far[:, :1]) & (lists >= 0)
@@ -306,7 +331,7 @@ class Index:
             q, c = np.nonzero((gap <= self.ratio * gap.min(axis=1)[:, None]) | short[whole[a:a + 1024]][:, None])
             number.append(whole[a + q])
             lists.append(c)
-        return np.concatenate(number), np.concatenate(lists)
+        return np.concatenate(number), np.concatenate(lists), nearest
 
     def search(self, queries: DataFrame) -> DataFrame:
         """query_id, rank, vec_id, score for (vec_id, vector) query rows of the index's dimension."""
@@ -315,13 +340,12 @@ class Index:
         plain = Index.__new__(Index)
         for name in ("centroids", "graph", "ratio", "own", "k", "group", "parts"):
             setattr(plain, name, getattr(self, name))
-        per_group = max(1, -(-queries.count() // QUERY_ROWS))
-
         def ask(batches):
             for batch in batches:
                 if not len(batch):
                     continue
-                number, lists = plain.select(query_on_sphere(_matrix(batch.column(1), dim)))
+                number, lists, nearest = plain.select(query_on_sphere(_matrix(batch.column(1), dim)))
+                home = plain.group[nearest]
                 copies = plain.parts[lists]
                 number, lists = np.repeat(number, copies), np.repeat(lists, copies)
                 turn = np.arange(len(lists)) - np.repeat(np.cumsum(copies) - copies, copies)
@@ -334,19 +358,24 @@ class Index:
                                                   pa.array(lists.astype(np.int32)))
                 take = pa.array(number[start])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(group[start].astype(np.int32)), batch.column(0).take(take),
-                     batch.column(1).take(take), wanted], ["g", "vec_id", "vector", "lists"])
-
-        asked = (queries.select("vec_id", "vector")
-                 .mapInArrow(ask, "g int, vec_id long, vector array<double>, lists array<int>")
-                 .withColumn("q", F.pmod(F.xxhash64("vec_id"), F.lit(per_group)).cast("int")))
+                    [pa.array(group[start].astype(np.int32)), pa.array(home[number[start]].astype(np.int32)),
+                     batch.column(0).take(take), batch.column(1).take(take), wanted],
+                    ["g", "home", "vec_id", "vector", "lists"])
+
+        asked = stage_table(queries.select("vec_id", "vector").mapInArrow(
+            ask, "g int, home int, vec_id long, vector array<double>, lists array<int>"), "ann_asked")
+        counts = {r.home: r.n for r in asked.filter("g = home").groupBy("home").agg(F.count("*").alias("n")).collect()}
+        blocks = F.broadcast(self.spark.createDataFrame(  # one row a group, at most MAX_LISTS
+            query_blocks([counts.get(h, 0) for h in range(self.groups)]), "home int, block int, blocks int"))
+        asked = asked.join(blocks, "home").withColumn(
+            "q", F.col("block") + F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).drop("home", "block", "blocks")
+        cells = stage_table(asked.select("g", "q").distinct(), "ann_cells")
         homes = F.broadcast(self.spark.createDataFrame(  # one row a list, at most MAX_LISTS
             [(c, int(g), int(p)) for c, (g, p) in enumerate(zip(self.group, self.parts, strict=True))],
             "list int, home int, parts int"))
         posted = (self.postings.join(homes, "list")
                   .select((F.col("home") + F.pmod(F.xxhash64("vec_id"), F.col("parts"))).cast("int").alias("g"),
-                          F.explode(F.sequence(F.lit(0), F.lit(per_group - 1))).alias("q"),
-                          "list", "vec_id", "vector"))
+                          "list", "vec_id", "vector").join(bounded_broadcast(cells, 16 << 20), "g"))
 
         def cell(left: pa.Table, right: pa.Table) -> pa.Table:
             q_out, id_out, s_out = [], [], []
@@ -365,10 +394,12 @@ class Index:
                     some = asker[wanted == c]
                     if len(some):
                         a, b = np.searchsorted(lists, [c, c + 1])
-                        q, i, s = top_of(points[some], vectors[a:b], ids[a:b], query_ids[some], k)
-                        q_out.append(some[q])
-                        id_out.append(i)
-                        s_out.append(s)
+                        step = max(1, PRODUCTS // (b - a))
+                        for part in (some[at:at + step] for at in range(0, len(some), step)):
+                            q, i, s = top_of(points[part], vectors[a:b], ids[a:b], query_ids[part], k)
+                            q_out.append(part[q])
+                            id_out.append(i)
+                            s_out.append(s)
             if q_out:
                 q, i, s = first_k(np.concatenate(q_out), np.concatenate(id_out), np.concatenate(s_out), k)
                 q = query_ids[q]

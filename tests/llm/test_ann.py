@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from skyledger.llm import ann as A
+from skyledger.llm.vectors import usable
 
 
 def recall(rows, ids, x, queries, k):
@@ -85,3 +86,25 @@ def test_edges(spark):
                                              (40, 1, 0, 0.0), (40, 2, 7, 0.0), (40, 3, 8, -3.0)]
     assert A.search(table.limit(0), F.col("vec_id") % 20 == 0, 20).count() == 0
     assert A.search(table, F.col("vec_id") < 0, 20).count() == 0
+
+
+def test_vectors_between_lists_are_replicated_and_few_postings_are_read(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(20_000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lists = A.balanced_centroids(A.on_sphere(x[:8000], 1.0), 80)
+    assert np.allclose(np.linalg.norm(lists, axis=1), 1)
+    number, _, first = A.postings_of(A.on_sphere(x, 1.0), lists)
+    assert first.sum() == len(x) and 1.3 < len(number) / len(x) <= A.REPLICAS
+    centre = rng.normal(size=(60, 16))
+    near = centre[rng.integers(0, 60, 6000)] + 0.2 * rng.normal(size=(6000, 16))
+    index = A.Index(usable(frame(spark, np.arange(6000), near)), 10)
+    asked, chosen, _ = index.select(A.query_on_sphere(near[:300]))
+    assert index.size[chosen].sum() / 300 < 0.25 * index.size.sum()  # of all postings, by a query
+
+
+def test_query_blocks(monkeypatch):
+    monkeypatch.setattr(A, "QUERY_ROWS", 100)
+    assert A.query_blocks([40, 50, 30, 250, 10, 0, 90]) == [
+        (0, 0, 1), (1, 0, 1), (2, 1, 1), (3, 2, 3), (4, 5, 1), (5, 5, 1), (6, 5, 1)]
+    assert A.query_blocks([]) == []
