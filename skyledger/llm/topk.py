@@ -1,7 +1,14 @@
 """Exact top-k by inner product with norm buckets.
 
-Vectors are dealt by hash into candidate blocks of bounded size, queries into query
-blocks; every query block meets every candidate block in its own cell (block nested
+Vectors are grouped by length into global buckets whose lengths lie within ``RATIO`` of each
+other, and taken from the longest down in rounds (adjacent buckets together, each round about
+as many rows as all before it, so there are few rounds). A query carries its k-th best score
+so far as its threshold from round to round. A round's rows are only joined with the queries
+whose threshold its longest vector can reach; when there are none, this and all shorter
+vectors are never shuffled.
+
+Within a round vectors are dealt by hash into candidate blocks of bounded size, queries into
+query blocks; every query block meets every candidate block in its own cell (block nested
 loop, one equi-join of cell numbers). Within a cell the candidates are sorted by length
 and cut into buckets whose lengths lie within ``RATIO`` of each other. Buckets are taken
 from the longest down with each query's k-th best score so far as its threshold t:
@@ -29,9 +36,11 @@ no queries or an empty table give no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.registry import register, table
@@ -43,11 +52,13 @@ BUCKET_ROWS = 1024
 COORDINATE = 0.8
 FOCUS = 4
 BLOCK_ROWS, QUERY_ROWS = 16_384, 1024
+ROUND_ROWS = 65_536
 EXACT = float(1 << 53)
 
 
-def cell_top(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int):
-    """Rows (query number, id, score) of the k best candidates of each query; integer matrices."""
+def cell_top(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, bar=None):
+    """Rows (query number, id, score) of the k best candidates of each query; integer matrices. ``bar``
+    has scores below which a query needs none."""
     q_len = np.sqrt((queries.astype(np.float64) ** 2).sum(axis=1))
     length = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
     order = np.lexsort((ids, -length))
@@ -59,7 +70,7 @@ def cell_top(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, id
     q_unit = queries / np.maximum(q_len, 1e-300)[:, None]
     scores = [np.zeros(0, dtype=np.int64)] * len(queries)
     found = [np.zeros(0, dtype=np.int64)] * len(queries)
-    threshold = np.full(len(queries), -np.inf)
+    threshold = np.full(len(queries), -np.inf) if bar is None else bar.copy()
     at = 0
     while at < len(vectors):
         longest = length[at]
@@ -104,7 +115,7 @@ def _merge(q, product, ids, query_ids, scores, found, threshold, k):
     order = np.lexsort((i, -s))[:k]
     scores[q], found[q] = s[order], i[order]
     if len(order) == k:
-        threshold[q] = scores[q][-1]
+        threshold[q] = max(threshold[q], scores[q][-1])
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -112,12 +123,57 @@ def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), dim)
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def _length() -> Column:
+    return F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+
+
+def rounds(vectors: DataFrame, least_rows: int) -> list[tuple[float, float, float]]:
+    """(shortest, longest, rows) of each round from the longest vectors down: whole buckets, at least
+    ``least_rows`` rows and as many as all rounds before."""
+    bucket = F.when(F.col("length") > 0, F.floor(F.log("length") / math.log(1 / RATIO))).alias("bucket")
+    sizes = vectors.groupBy(bucket).agg(F.count("*").alias("n"), F.min("length").alias("low"), F.max("length").alias("high"))
+    out, done, held = [], 0, None
+    for r in sorted(sizes.collect(), key=lambda r: -r.high):  # a double has at most 13,500 buckets
+        held = (r.low, held[1] if held else r.high, (held[2] if held else 0) + r.n)
+        if held[2] >= max(least_rows, done):
+            out.append(held)
+            done, held = done + held[2], None
+    return [*out, held] if held else out
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int, round_rows: int = ROUND_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k highest integer inner products; both sides
     have (vec_id, vector: array<bigint>). A query's own id is no candidate."""
     ship_package(vectors.sparkSession)
+    vectors = stage_table(vectors.select("vec_id", "vector").withColumn("length", _length()), "topk_lengths")
+    queries = stage_table(queries.select("vec_id", "vector").withColumn("length", _length()), "topk_queries")
+    found = None
+    for low, high, n in rounds(vectors, round_rows):
+        some = vectors.filter(F.col("length").between(low, high)).drop("length")
+        if found is None:
+            live = queries.select("vec_id", "vector", F.lit(None).cast("double").alias("bar"))
+        else:
+            bars = found.groupBy(F.col("query_id").alias("vec_id")).agg(
+                F.when(F.count("*") == k, F.min("score").cast("double")).alias("bar"))
+            reach = F.col("length") * F.lit(high * (1 + 1e-9))
+            live = stage_table(queries.join(bars, "vec_id", "left").filter(F.col("bar").isNull() | (F.col("bar") <= reach))
+                               .select("vec_id", "vector", "bar"), "topk_live")
+            if live.isEmpty():
+                break
+        more = best(_cells(some, live, k, n), k)
+        if found is not None:
+            columns = ["query_id", "vec_id", "score"]
+            more = best(found.select(*columns).union(more.select(*columns)), k)
+        found = stage_table(more, "topk_found")
+    if found is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return found
+
+
+def _cells(vectors: DataFrame, queries: DataFrame, k: int, n: int) -> DataFrame:
+    """query_id, vec_id, score of k candidates per cell and query; queries have a ``bar`` (null: none)."""
     vectors, queries = vectors.withColumn("dim", F.size("vector")), queries.withColumn("dim", F.size("vector"))
-    n, m = vectors.count(), queries.count()
+    m = queries.count()
     parts, query_parts = max(1, -(-n // BLOCK_ROWS)), max(1, -(-m // QUERY_ROWS))
 
     def numbers(count):
@@ -125,7 +181,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
 
     side = [F.pmod(F.xxhash64("vec_id"), F.lit(p)).cast("int") for p in (parts, query_parts)]
     candidates = vectors.select("dim", side[0].alias("c"), numbers(query_parts).alias("q"), "vec_id", "vector")
-    asked = queries.select("dim", numbers(parts).alias("c"), side[1].alias("q"), "vec_id", "vector")
+    asked = queries.select("dim", numbers(parts).alias("c"), side[1].alias("q"), "vec_id", "vector",
+                           F.coalesce("bar", F.lit(float("-inf"))).alias("bar"))
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"query_id": [], "vec_id": [], "score": []}
@@ -133,13 +190,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             dim = left.column("dim")[0].as_py()
             query_ids = right.column("vec_id").to_numpy()
             number, ids, scores = cell_top(_matrix(right.column("vector"), dim), query_ids,
-                                           _matrix(left.column("vector"), dim), left.column("vec_id").to_numpy(), k)
+                                           _matrix(left.column("vector"), dim), left.column("vec_id").to_numpy(), k,
+                                           right.column("bar").to_numpy())
             out = {"query_id": query_ids[number], "vec_id": ids, "score": scores}
         return pa.table(out, schema=pa.schema([(c, pa.int64()) for c in out]))
 
-    found = (candidates.groupBy("dim", "c", "q").cogroup(asked.groupBy("dim", "c", "q"))
-             .applyInArrow(cell, "query_id long, vec_id long, score long"))
-    return best(found, k)
+    return (candidates.groupBy("dim", "c", "q").cogroup(asked.groupBy("dim", "c", "q"))
+            .applyInArrow(cell, "query_id long, vec_id long, score long"))
 
 
 def to_integers(vectors: DataFrame, scale: int) -> DataFrame:

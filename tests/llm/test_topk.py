@@ -76,3 +76,33 @@ def test_copies_lose_nothing(spark):
     whole = [(r.vec_id, r.vector) for r in v.collect()]
     got = T.top_k(smallest_copies(v, "vector", 11), v.filter("vec_id % 20 = 0"), 10).collect()
     assert sorted(tuple(r) for r in got) == plain([x for x in whole if x[0] % 20 == 0], whole, 10)
+
+
+def test_rounds_stop_where_no_query_is_reached(spark, monkeypatch):
+    """Spread lengths in many rounds: equal to all products, and the short blocks are never joined."""
+    rng = np.random.default_rng(6)
+    v = np.floor(rng.normal(size=(3000, 6)) * 1000 * np.exp(rng.normal(size=(3000, 1)) * 1.5)).astype(np.int64)
+    v[5], v[6] = 0, v[7]
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], "vec_id long, vector array<bigint>")
+    asked, cells = [], T._cells
+
+    def counted(vectors, queries, k, n):
+        asked.append((vectors.count(), queries.count()))
+        return cells(vectors, queries, k, n)
+
+    monkeypatch.setattr(T, "_cells", counted)
+    queries = [(i, v[i].tolist()) for i in range(0, 3000, 100)]
+    got = T.top_k(df, spark.createDataFrame(queries, df.schema), 10, round_rows=100).collect()
+    want = plain(queries, [(i, r.tolist()) for i, r in enumerate(v)], 10)
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
+    assert asked[0][1] == 30 and all(a[1] >= b[1] for a, b in zip(asked, asked[1:]))  # fewer and fewer are asked
+    assert sum(n for n, _ in asked) < 3000  # the shortest vectors never meet a query
+    joined = sum(n * q for n, q in asked)
+    assert joined < 0.6 * 3000 * 30
+
+
+def test_few_candidates_and_zero_vectors_need_every_round(spark):
+    rows = [(0, [0, 0]), (1, [5, 0]), (2, [0, 0]), (3, [-400, 1]), (4, [1, 1])]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<bigint>")
+    got = T.top_k(df, df, 4, round_rows=1).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == plain(rows, rows, 4)
