@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.registry import register, table
+from skyledger.llm.workers import give_back
 from skyledger.session import ship_package
 
 DIMENSIONS = 1024
@@ -258,12 +259,13 @@ def identify(docs: DataFrame, names: list[str], prototypes: np.ndarray) -> DataF
 
 
 def keep_identified(docs: DataFrame, names: list[str], prototypes: np.ndarray,
-                    lowest: np.ndarray | None = None) -> DataFrame:
+                    lowest: np.ndarray | None = None, judged_chars: int = JUDGED_CHARS) -> DataFrame:
     """Rows of ``docs`` written in a learned language. A text is rejected if it has no letter, or if
-    it has ``JUDGED_CHARS`` characters, its best cosine is one that a random vector reaches (three
+    it has ``judged_chars`` characters, its best cosine is one that a random vector reaches (three
     standard deviations) and no language in ``lowest`` (``floors``) has training texts as low: its
     cosine lies by three standard deviations below that of the lowest one, at the trigram count of
-    this text, for every language. A shorter text shows too little to be judged and stays."""
+    this text, for every language. A shorter text shows too little to be judged and stays, and where
+    nothing was learned nothing can be judged: every text with a letter stays."""
     dimensions = prototypes.shape[1]
     chance = 3 / dimensions ** 0.5
     lowest = np.full(len(names), np.nan) if lowest is None else lowest
@@ -273,13 +275,14 @@ def keep_identified(docs: DataFrame, names: list[str], prototypes: np.ndarray,
         out = []
         for some, size, cosine in _cosines(texts, prototypes):
             for t, n, row in zip(some, size.tolist(), cosine, strict=True):
-                if not len(row) or not (n or has_letter(t)):
+                if not (n or has_letter(t)):
                     out.append(False)
-                elif len(t) < JUDGED_CHARS or row.max() > chance:
+                elif not len(row) or len(t) < judged_chars or row.max() > chance:
                     out.append(True)
                 else:
                     usual = lowest * (letters(t) * dimensions ** 0.5 / max(n, 1e-12))
                     out.append(bool((row > usual - chance).any()))  # never by NaN
+        give_back()
         return pa.array(out, pa.bool_())
 
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])

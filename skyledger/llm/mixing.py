@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.registry import register, table
 from skyledger.llm.simhash import smallest_row
+from skyledger.llm.workers import give_back
 from skyledger.session import ship_package, stage_table
 
 #: Fixed values of the mix.
@@ -242,17 +243,25 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
                                  F.xxhash64("text").alias("text_hash")).alias("key"), row.alias("row"))
     repeated = stage_table(plan.units.groupBy(F.struct("source", "doc_id", "text_hash").alias("key"))
                            .agg(F.sum("copies").alias("n")).filter("n > 1").select("key"), "mix_repeated")
-    if not repeated.isEmpty():  # only rows that repeat a key need an aggregate
+    # texts stream past the ranges of a key that occurs once (at most MAX_REPEATS of them) unsorted;
+    # a key that repeats may have any number of ranges, so it is aggregated and merged
+    if repeated.isEmpty():
+        met = wanted.hint("shuffle_hash").join(whole, "key")
+    else:
         one = (whole.join(repeated, "key", "left_semi").groupBy("key")
                .agg(smallest_row(docs, "row").alias("row")))
-        whole = whole.join(repeated, "key", "left_anti").union(one)
+        met = (wanted.join(repeated, "key", "left_anti").hint("shuffle_hash")
+               .join(whole.join(repeated, "key", "left_anti"), "key")
+               .union(wanted.join(repeated, "key", "left_semi").hint("merge").join(one, "key")))
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, sizes: pa.Array, ranges: pa.Array) -> pa.Array:
-        return pa.array([cut_words(t.as_py(), n.as_py(), r.as_py()) for t, n, r in
-                         zip(texts, sizes, ranges, strict=True)], pa.string())
+        out = pa.array([cut_words(t.as_py(), n.as_py(), r.as_py()) for t, n, r in
+                        zip(texts, sizes, ranges, strict=True)], pa.string())
+        give_back()
+        return out
 
-    taken = wanted.hint("merge").join(whole, "key").select("row", cut(F.col("row.text"), F.col("size"), F.col("ranges")).alias("cut"))
+    taken = met.select("row", cut(F.col("row.text"), F.col("size"), F.col("ranges")).alias("cut"))
     new = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
     return taken.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 

@@ -44,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.registry import register, table
+from skyledger.llm.workers import give_back
 from skyledger.session import ship_package
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -463,7 +464,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
                     parts += [text[at:span["start"]], mark]
                 at = max(at, span["end"])
             out.append("".join([*parts, text[at:]]) if parts else text)
-        return pa.array(out, pa.string())
+        out = pa.array(out, pa.string())
+        give_back()
+        return out
 
     # one Python pass: the cleaned text is kept beside the old one in a struct
     both = docs.withColumn("text", F.struct(F.col("text").alias("old"), clean(F.col("text")).alias("new")))

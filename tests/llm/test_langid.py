@@ -101,3 +101,16 @@ def test_fitted_bounds_still_reject(spark):
     rows += [(50, "zqx wvk " * 40, None), (51, spread_text(1, 300), None), (52, "zqx", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {r.doc_id for r in pipeline.language_id(spark, docs, "").collect()} == {*range(50), 52}
+
+
+def test_where_nothing_was_learned_letters_stay(spark):
+    docs = spark.createDataFrame([(1, "word " * 100), (2, "12 !!"), (3, None), (4, "x")], "doc_id long, text string")
+    kept = L.keep_identified(docs, [], np.zeros((0, L.DIMENSIONS)))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
+def test_judged_length_is_a_parameter(spark):
+    names, prototypes = ["en"], np.ones((1, L.DIMENSIONS)) / L.DIMENSIONS ** 0.5
+    docs = spark.createDataFrame([(1, "zq xw vk jj " * 12)], "doc_id long, text string")  # 144 characters
+    assert L.keep_identified(docs, names, prototypes).count() == 1
+    assert L.keep_identified(docs, names, prototypes, judged_chars=100).count() == 0
