@@ -2,9 +2,9 @@
 
 The schema comes from a file's header. A file is read in splits of ``split_bytes``: a block
 belongs to the split in which the sync marker before it begins, so a task looks for the first
-marker of its split, and reads whole blocks from there. Tasks return Arrow batches. Writing
-gives one file per task; files get their names when all tasks are done, and those of failed
-attempts are deleted.
+marker of its split, and reads whole blocks from there. Tasks take and return Arrow batches, and
+rows are coded a column at a time (``avro_columns``). Writing gives one file per task; files get
+their names when all tasks are done, and those of failed attempts are deleted.
 
 Files are opened through pyarrow's file systems (local, HDFS, S3, ...). Codecs: null, deflate,
 zstandard. Types: records, arrays, maps, unions with null, enums, fixed, and the logical types
@@ -21,18 +21,21 @@ import uuid
 import zlib
 from dataclasses import dataclass
 
-import pyarrow as pa
+import numpy as np
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from skyledger.session import ship_package
+from skyledger.sources import avro_columns
 
 FORMAT = "avro_container"
 MAGIC = b"Obj\x01"
 SPLIT_BYTES = 64 << 20
 BATCH_ROWS = 8192
-BLOCK_BYTES = 64 << 10
+GROUP_BYTES = 16 << 20  # blocks that are decoded side by side
+BLOCK_BYTES = 16 << 10
+WINDOW_BYTES = 4 << 20
 _EPOCH = dt.datetime(1970, 1, 1)
 _UTC = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -233,6 +236,18 @@ def read_header(file) -> Header:
         size *= 4
 
 
+class Window:
+    """A file read in pieces of some MB, whatever the lengths asked for."""
+
+    def __init__(self, file):
+        self.file, self.size, self.at, self.data = file, file.size(), 0, b""
+
+    def read(self, n: int, at: int) -> bytes:
+        if not self.at <= at <= at + n <= self.at + len(self.data):
+            self.data, self.at = self.file.read_at(min(max(n, WINDOW_BYTES), self.size - at), at), at
+        return self.data[at - self.at:at - self.at + n]
+
+
 def blocks(file, header: Header, begin: int, end: int):
     """(count, records) of the blocks whose preceding sync marker begins in [begin, end)."""
     size, at, step = file.size(), begin, 1 << 20
@@ -245,10 +260,11 @@ def blocks(file, header: Header, begin: int, end: int):
         if at + step >= end or at + len(data) >= size:
             return
         at += step
+    window = Window(file)
     while at < size and at - 16 < end:
-        c = Cursor(file.read_at(min(20, size - at), at))
+        c = Cursor(window.read(min(20, size - at), at))
         count, n = c.long(), c.long()
-        data = file.read_at(n + 16, at + c.at)
+        data = window.read(n + 16, at + c.at)
         if len(data) < n + 16 or data[n:] != header.sync:
             raise ValueError("a block of an Avro file is damaged")
         yield count, _unpacked(header.codec, data[:n])
@@ -278,18 +294,24 @@ class ContainerReader(DataSourceReader):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         system, _ = _file_system(self.path)
-        arrow, rows = to_arrow_schema(self.schema), []
+        arrow = to_arrow_schema(self.schema)
         with system.open_input_file(split.path) as file:
             header = read_header(file)
-            one = reader_of(header.schema)
+
+            def batches(group):
+                rows = avro_columns.decode(group, header.schema, arrow, reader_of)
+                for a in range(0, rows.num_rows, BATCH_ROWS):
+                    yield rows.slice(a, BATCH_ROWS)
+
+            group, size = [], 0
             for count, data in blocks(file, header, split.begin, split.end):
-                c = Cursor(data)
-                rows += [one(c) for _ in range(count)]
-                if len(rows) >= BATCH_ROWS:
-                    yield pa.RecordBatch.from_pylist(rows, arrow)
-                    rows = []
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, arrow)
+                group.append((count, data))
+                size += len(data)
+                if size >= GROUP_BYTES:
+                    yield from batches(group)
+                    group, size = [], 0
+            if group:
+                yield from batches(group)
 
 
 # ---------------------------------------------------------------- writing
@@ -303,21 +325,21 @@ def _long(value: int) -> bytes:
 
 
 def writer_of(of: T.DataType, nullable: bool):
-    """A function from a value to its bytes."""
+    """A function from a value, as Arrow gives it, to its bytes."""
     import struct
 
     if nullable:
         one = writer_of(of, False)
         return lambda v: b"\0" if v is None else b"\2" + one(v)
     if isinstance(of, T.StructType):
-        fields = [(i, writer_of(f.dataType, f.nullable)) for i, f in enumerate(of.fields)]
-        return lambda v: b"".join([write(v[i]) for i, write in fields])
+        fields = [(f.name, writer_of(f.dataType, f.nullable)) for f in of.fields]
+        return lambda v: b"".join([write(v[name]) for name, write in fields])
     if isinstance(of, T.ArrayType | T.MapType):
         items = isinstance(of, T.ArrayType)
         item = writer_of(of.elementType, of.containsNull) if items else writer_of(of.valueType, of.valueContainsNull)
         text = writer_of(T.StringType(), False)
         one = item if items else lambda kv: text(kv[0]) + item(kv[1])
-        return lambda v: (_long(len(v)) + b"".join(map(one, v if items else v.items())) if v else b"") + b"\0"
+        return lambda v: (_long(len(v)) + b"".join(map(one, v)) if v else b"") + b"\0"
     if isinstance(of, T.DecimalType):
         def number(v):
             n = int(v.scaleb(of.scale))
@@ -351,16 +373,16 @@ class Written(WriterCommitMessage):
     path: str | None
 
 
-class ContainerWriter(DataSourceWriter):
+class ContainerWriter(DataSourceArrowWriter):
     def __init__(self, options: dict, schema: T.StructType, overwrite: bool):
         if overwrite:
             raise ValueError("container files are never overwritten; write to a new folder")
         self.root, self.schema = options["path"], schema
         self.block = int(options.get("block_bytes", BLOCK_BYTES))
 
-    def write(self, rows):
+    def write(self, batches):
         system, root = _file_system(self.root)
-        one, sync = writer_of(self.schema, False), uuid.uuid4().bytes
+        sync = uuid.uuid4().bytes
         path, held, n, size = f"{root}/.{uuid.uuid4().hex}.part", [], 0, 0
         system.create_dir(root, recursive=True)
         meta = {"avro.schema": json.dumps(avro_schema(self.schema)).encode(), "avro.codec": b"deflate"}
@@ -371,17 +393,22 @@ class ContainerWriter(DataSourceWriter):
             out.write(MAGIC + _long(len(meta)) + b"".join(text(k.encode()) + text(v) for k, v in meta.items()) + b"\0" + sync)
 
             def flush():
-                pack = zlib.compressobj(wbits=-15)
+                pack = zlib.compressobj(zlib.Z_BEST_SPEED, wbits=-15)
                 data = pack.compress(b"".join(held)) + pack.flush()
                 out.write(_long(n) + _long(len(data)) + data + sync)
 
-            for row in rows:
-                data = one(row)
-                held.append(data)
-                n, size = n + 1, size + len(data)
-                if size >= self.block:
-                    flush()
-                    held, n, size = [], 0, 0
+            for batch in batches:
+                data, ends = avro_columns.encode(batch, self.schema, lambda of: writer_of(of, False))
+                row = start = 0
+                while row < len(ends):  # a block is full with the row that fills it
+                    cut = min(int(np.searchsorted(ends, start + self.block - size)) + 1, len(ends))
+                    end = int(ends[cut - 1])
+                    held.append(data[start:end].tobytes())
+                    n, size = n + cut - row, size + end - start
+                    if size >= self.block:
+                        flush()
+                        held, n, size = [], 0, 0
+                    row, start = cut, end
             if n:
                 flush()
         return Written(path)

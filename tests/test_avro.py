@@ -110,3 +110,48 @@ def test_a_billing_export_in_blocks_equals_its_parquet_twin(spark, tmpdir_path):
     name = C.load_table(spark, back, "t_ds", "t_avro", mode="overwrite")
     want = B.flatten(spark.read.parquet(f"{tmpdir_path}/twin"))
     assert sorted(B.flatten(spark.table(name)).collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_rows_are_coded_by_column_not_by_value(spark, tmpdir_path, monkeypatch):
+    df = spark.range(6000).selectExpr(
+        "id AS l", "if(id % 7 = 0, null, concat('é', id)) AS s", "if(id % 5 = 0, null, named_struct('x', cast(id AS int) - 3000, 'm', "
+        "if(id % 3 = 0, null, cast(id * 7919 - 20000000 AS decimal(12,2))))) AS r", "cast(id AS double) / 3 AS d", "id % 2 = 0 AS b",
+        "date_add(date'1969-12-01', cast(id % 90 AS int)) AS day", "cast(concat('b', id * id) AS binary) AS y",
+        "cast(id - 3000 AS decimal(30,4)) AS wide", "cast(1e-3 * id AS float) AS f", "timestamp_micros(id * 1000003 - 9) AS t")
+    df.repartition(2).write.format(A.register_avro(spark)).mode("append").save(f"{tmpdir_path}/t")
+    back = C.read_source(spark, f"{tmpdir_path}/t", "avro", split_bytes="30000")
+    assert back.count() == 6000
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+    calls, plain = [], A.Cursor.long
+    monkeypatch.setattr(A.Cursor, "long", lambda c: calls.append(1) or plain(c))
+    narrow = T.StructType([f for f in back.schema.fields if f.name != "day"])
+    reader = A.ContainerReader({"path": f"{tmpdir_path}/t"}, narrow)
+    rows = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+    assert sorted(r["l"] for r in rows) == list(range(6000)) and "day" not in rows[0]
+    assert len(calls) < len(rows) / 4  # headers and blocks, no values
+
+
+def test_columns_are_the_bytes_of_the_values(spark):
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from skyledger.sources import avro_columns as AC
+
+    schema = T.StructType([T.StructField("i", T.LongType(), False), T.StructField("m", T.DecimalType(18, 2)),
+                           T.StructField("r", T.StructType([T.StructField("s", T.StringType(), False), T.StructField("z", T.ArrayType(T.IntegerType()))]))])
+    ends = [0, 1, -1, 63, 64, -64, -65, 8191, 8192, (1 << 62) - 1, -(1 << 62), (1 << 63) - 1, -(1 << 63)]
+    cents = [0, 127, 128, -127, -128, -129, 32767, 32768, -32768, 10**18 - 1, 1 - 10**18, None, 5]
+    rows = [{"i": i, "m": None if c is None else Decimal(c).scaleb(-2), "r": None if k % 4 == 3 else {"s": "ü" * k, "z": [k, None] if k % 2 else None}}
+            for k, (i, c) in enumerate(zip(ends, cents))]
+    arrow = to_arrow_schema(schema)
+    batch, one = pa.RecordBatch.from_pylist(rows, arrow), A.writer_of(schema, False)
+    data, at = AC.encode(batch.slice(2), schema, lambda of: A.writer_of(of, False))
+    assert data.tobytes() == b"".join(map(one, rows[2:])) and at[-1] == len(data)
+    blocks = [(3, b"".join(map(one, rows[:3]))), (0, b""), (10, b"".join(map(one, rows[3:])))]
+    assert AC.decode(blocks, A.avro_schema(schema), arrow, A.reader_of).to_pylist() == rows
+    long = [(500, b"".join(map(one, rows[:1])) * 500)] * 9  # few long blocks, by value
+    assert AC.decode(long, A.avro_schema(schema), arrow, A.reader_of).to_pylist() == rows[:1] * 4500
+    assert AC.decode(long[:2] * 2 + long[:5], A.avro_schema(schema), arrow, A.reader_of).num_rows == 4500
+    with pytest.raises(ValueError):
+        AC.decode([(3, blocks[0][1][:-1])], A.avro_schema(schema), arrow, A.reader_of)
