@@ -38,7 +38,7 @@ def billing_name(sf: str) -> str:
 
 def _load(spark: SparkSession, sf: str, stamp: str) -> str:
     export = scratch_path(spark, "exports", "billing")
-    billing(spark, sf).write.mode("errorifexists").parquet(export)
+    billing(spark, sf).write.mode("errorifexists").option("compression", "zstd").parquet(export)
     name = C.load_table(spark, export, DATASET, billing_name(sf), fmt="parquet", mode="overwrite", source_tag=stamp)
     remove_path(spark, export)
     return name
