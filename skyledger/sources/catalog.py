@@ -30,11 +30,14 @@ def _ident(name: str) -> str:
 def create_dataset(spark: SparkSession, name: str, description: str = "",
                    default_ttl_s: int = literals.DATASET_DEFAULT_TTL_S, location: str = "US",
                    if_not_exists: bool = True) -> DataFrame:
-    """A namespace with a description and a default table TTL (database properties)."""
+    """A namespace with a description and a default table TTL (database properties). One that exists
+    without a description, as a load makes it, takes the one given."""
     desc = description.replace("'", "''")
     spark.sql(f"CREATE DATABASE {'IF NOT EXISTS ' if if_not_exists else ''}{_ident(name)} "
               f"COMMENT '{desc}' WITH DBPROPERTIES ('default_table_ttl_s'='{int(default_ttl_s)}', "
               f"'data_location'='{location}')")
+    if description and describe_dataset(spark, name).where("info_name = 'Comment' AND info_value = ''").count():
+        spark.sql(f"COMMENT ON DATABASE {name} IS '{desc}'")
     return describe_dataset(spark, name)
 
 
