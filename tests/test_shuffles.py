@@ -52,6 +52,8 @@ def test_billing_of_odd_keys_is_the_plain_join(spark, tmpdir_path):
                * cast(l_discount AS decimal(4,2)) * cast(l_tax AS decimal(4,2)) * 0.05BD, 2) AS decimal(18,2)) AS cost
         FROM odd_lineitem, odd_orders, odd_part, odd_supplier, odd_customer, odd_nation WHERE l_orderkey = o_orderkey
          AND l_partkey = p_partkey AND l_suppkey = s_suppkey AND o_custkey = c_custkey AND s_nationkey = n_nationkey""").collect()
+    for name in tables:
+        spark.catalog.dropTempView(f"odd_{name}")
     got = fx.billing(spark, tmpdir_path).selectExpr(
         "line_item.order_key", "line_item.part_key", "line_item.supp_key", "line_item.line_number", "cast(substring(project.id, 6) AS bigint)",
         "project.name", "sku.description", "service.description AS s", "location.country", "cost").collect()
